@@ -27,13 +27,18 @@ TAGS = ("Month", "Trimester", "Year")
 DATE_TEXT = "dd/MM/yyyy"
 
 
+def text_array(values) -> Column:
+    """A literal array of strings as one SQL expression (one JVM call)."""
+    return F.expr("array(" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + ")")
+
+
 def month_abbr(month_number: Column) -> Column:
     """1..12 -> 'Jan'..'Dec' (NULL outside)."""
-    return F.element_at(F.array(*[F.lit(m) for m in MONTH_ABBR]), month_number)
+    return F.element_at(text_array(MONTH_ABBR), month_number)
 
 
 def month_name(month_number: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(m) for m in MONTH_NAMES]), month_number)
+    return F.element_at(text_array(MONTH_NAMES), month_number)
 
 
 def month_index(month: str) -> int:

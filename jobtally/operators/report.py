@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtally.functions import jobcols as J
-from jobtally.functions.calendar import TAGS
+from jobtally.functions.calendar import TAGS, text_array
 
 # Capacity constants printed in the report header.
 CAPACITY = (
@@ -85,8 +85,8 @@ def float_text(x: Column) -> Column:
 def _window_cluster_catalogue(spark: SparkSession) -> DataFrame:
     """All 3 windows x 3 clusters (9 literal rows)."""
     return (spark.range(0, 1, 1, 1)
-            .select(F.explode(F.array(*[F.lit(t) for t in TAGS])).alias("tag"))
-            .select("tag", F.explode(F.array(*[F.lit(c) for c in J.CLUSTERS])).alias("cluster")))
+            .select(F.explode(text_array(TAGS)).alias("tag"))
+            .select("tag", F.explode(text_array(J.CLUSTERS)).alias("cluster")))
 
 
 def fill_groups(spark: SparkSession, metrics: DataFrame) -> DataFrame:
@@ -145,7 +145,7 @@ def header_long(calendar: DataFrame) -> DataFrame:
 def report_long(spark: SparkSession, metrics: DataFrame, calendar: DataFrame) -> DataFrame:
     """The 70-row report: (ord, name, value, value_num)."""
     rows = header_long(calendar).unionByName(measures_long(fill_groups(spark, metrics)))
-    order = F.array(*[F.lit(n) for n in REPORT_ORDER])
+    order = text_array(REPORT_ORDER)
     return rows.select(F.array_position(order, F.col("name")).cast("int").alias("ord"),
                        "name", "value", "value_num")
 

@@ -65,6 +65,7 @@ def read_job_files(
     period_aliases: Mapping[str, str] | None = None,
     infer_types: bool = False,
     legacy_naming: bool = False,
+    layout: str = "flat",
 ) -> DataFrame:
     """One scan over every monthly file of ``data_dir``.
 
@@ -76,6 +77,9 @@ def read_job_files(
     malformed number then breaks the later cast instead of becoming NULL).
     ``legacy_naming``: period = text after the first '_' up to the first '.'
     of any ``jobs*`` file, instead of the ``jobs_(\\w+).txt`` rule.
+    ``layout="partitioned"``: files live in ``Period=<Mon>/`` folders (as
+    written by :func:`write_job_files`); the period is the folder value and a
+    months filter prunes folders.
     """
     reader = (spark.read.option("sep", DELIMITER).option("header", True)
               .option("mode", "PERMISSIVE"))
@@ -83,6 +87,10 @@ def read_job_files(
         reader = reader.option("inferSchema", True)
     else:
         reader = reader.schema(JOB_SCHEMA)
+    if layout == "partitioned":
+        df = reader.csv(data_dir)
+        df = _period_filter(df, months, period_aliases)
+        return _apply_aliases(df, period_aliases)
     if legacy_naming:
         df = reader.option("pathGlobFilter", "jobs*").csv(data_dir)
         pattern = LEGACY_PERIOD_PATTERN
@@ -94,6 +102,14 @@ def read_job_files(
     return _apply_aliases(df, period_aliases)
 
 
+def write_job_files(raw: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write raw job rows as ``|``-delimited text with header, one folder per
+    month (``Period=<Mon>/part-*.csv``), readable with
+    ``read_job_files(..., layout="partitioned")``."""
+    (raw.write.mode(mode).partitionBy("Period")
+     .option("sep", DELIMITER).option("header", True).csv(path))
+
+
 def union_months(frames: Iterable[DataFrame]) -> DataFrame:
     """Append per-month frames (by column name, not position)."""
     frames = list(frames)
