@@ -1,6 +1,6 @@
 """Run metrics from Spark event logs: one grouped aggregate per run.
 
-Input: (run_label, ord, line) rows, e.g. from
+Input: (run_label, seq, ord, line) rows, e.g. from
 :func:`jobtally.sources.eventlog.read_event_logs`. Each line is parsed with
 ``from_json`` against the few fields read; blank lines are skipped, lines
 that do not parse are counted as parse errors. Every measure is a
@@ -17,7 +17,7 @@ task_span_s, executor_run_s, executors, lines, parse_errors.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,7 +104,14 @@ def _bytes_to_mb(b: Column) -> Column:
 
 
 def run_totals(lines: DataFrame) -> DataFrame:
-    """Raw per-run totals (integers, ms and bytes), before unit conversion."""
+    """Raw per-run totals (integers, ms and bytes), before unit conversion.
+
+    All aggregation buffers are fixed-width (counts, sums, min/max, and
+    ``max_by`` keyed on the long ``ord``), so Spark plans a hash aggregate
+    with map-side partial results: a run spread over many files or holding
+    most of the lines still costs one small partial row per task. The last
+    application start/end is taken by ``ord`` (a run has one of each).
+    """
     p = parse_lines(lines)
     ev = lambda path: F.col(f"ev.{path}")
     task_end = _is(TASK_END)
@@ -172,35 +179,43 @@ def run_metrics(lines: DataFrame) -> DataFrame:
 def stage_table(lines: DataFrame) -> DataFrame:
     """One row per (run, stage): last submission merged with its completion.
 
-    A resubmitted stage keeps its last submission (in line order) and forgets earlier completions; a completion counts only when it
-    comes after that submission; completions of never-submitted stages are
-    dropped. ``attempts`` counts every submission.
+    A resubmitted stage keeps its last submission (in line order, see
+    ``seq``/``ord`` of :func:`jobtally.sources.eventlog.read_event_logs`) and
+    forgets earlier completions; a completion counts only when it comes after
+    that submission (the latest such one wins); completions of never-submitted
+    stages are dropped. ``attempts`` counts every submission.
+
+    Plan: the log is parsed once; only stage events are hash-partitioned by
+    (run, stage); everything after that is window functions over the rows of
+    one stage (a handful per stage), so there is one shuffle and no join.
     """
-    p = parse_lines(lines)
-    sid = F.col("ev.`Stage Info`.`Stage ID`")
-    sub = (p.filter(_is(STAGE_SUBMITTED))
-           .select("run_label", sid.alias("stage_id"), F.col("ord"),
-                   F.col("ev.`Stage Info`.`Stage Name`").alias("stage_name"),
-                   F.col("ev.`Stage Info`.`Number of Tasks`").alias("num_tasks"),
-                   F.col("ev.`Stage Info`.`Submission Time`").alias("submission_time"))
-           .groupBy("run_label", "stage_id")
-           .agg(F.max_by(F.struct("ord", "stage_name", "num_tasks", "submission_time"),
-                         F.col("ord")).alias("s"),
-                F.count(F.lit(1)).alias("attempts"))
-           .select("run_label", "stage_id", "attempts", "s.*"))
-    comp = (p.filter(_is(STAGE_COMPLETED))
-            .select("run_label", sid.alias("stage_id"), F.col("ord").alias("c_ord"),
-                    F.col("ev.`Stage Info`.`Completion Time`").alias("completion_time"),
-                    F.col("ev.`Stage Info`.`Failure Reason`").alias("failure_reason")))
-    last_comp = (comp.join(sub.select("run_label", "stage_id", "ord"), ["run_label", "stage_id"])
-                 .filter(F.col("c_ord") > F.col("ord"))
-                 .groupBy("run_label", "stage_id")
-                 .agg(F.max_by(F.struct("completion_time", "failure_reason"), F.col("c_ord"))
-                      .alias("c"))
-                 .select("run_label", "stage_id", "c.*"))
-    return (sub.join(last_comp, ["run_label", "stage_id"], "left")
+    si = lambda f: F.col(f"ev.`Stage Info`.`{f}`")
+    is_sub = F.col("etype") == STAGE_SUBMITTED
+    events = (parse_lines(lines)
+              .filter(F.col("etype").isin(STAGE_SUBMITTED, STAGE_COMPLETED))
+              .select("run_label", si("Stage ID").alias("stage_id"), is_sub.alias("is_sub"),
+                      F.struct(F.col("seq"), F.col("ord")).alias("pos"),
+                      si("Stage Name").alias("stage_name"),
+                      si("Number of Tasks").alias("num_tasks"),
+                      si("Submission Time").alias("submission_time"),
+                      si("Completion Time").alias("completion_time"),
+                      si("Failure Reason").alias("failure_reason"))
+              .repartition("run_label", "stage_id"))
+    stage = Window.partitionBy("run_label", "stage_id")
+    pos, sub = F.col("pos"), F.col("is_sub")
+    with_last = (events
+                 .withColumn("last_sub", F.max(F.when(sub, pos)).over(stage))
+                 .withColumn("attempts", F.count(F.when(sub, 1)).over(stage)))
+    with_comp = with_last.withColumn(
+        "last_comp", F.max(F.when(~sub & (pos > F.col("last_sub")), pos)).over(stage))
+    chosen = ~sub & (pos == F.col("last_comp"))
+    merged = (with_comp
+              .withColumn("c_time", F.max(F.when(chosen, F.col("completion_time"))).over(stage))
+              .withColumn("c_fail", F.max(F.when(chosen, F.col("failure_reason"))).over(stage)))
+    return (merged.filter(sub & (pos == F.col("last_sub")))
             .select("run_label", "stage_id", "stage_name", "num_tasks", "submission_time",
-                    "completion_time", "failure_reason", "attempts"))
+                    F.col("c_time").alias("completion_time"),
+                    F.col("c_fail").alias("failure_reason"), "attempts"))
 
 
 def write_run_metrics(metrics: DataFrame, path: str, all_columns: bool = False) -> None:

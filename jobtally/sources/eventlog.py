@@ -1,10 +1,12 @@
-"""Spark event logs as (run_label, ord, line) rows.
+"""Spark event logs as (run_label, seq, ord, line) rows.
 
 ``read_event_logs`` reads any number of JSON-lines event logs in one scan
 (``spark.read.text`` over a glob); each line keeps its run label (file name
-without ``.json``, or the parent folder for rolling logs) and an ordinal
-that follows the line order within a file. Compressed logs are read through
-the codecs Hadoop offers for their extension.
+without ``.json``, or the parent folder for rolling logs), the file's
+sequence number within a rolling log (``events_<n>_...``; 0 otherwise) and
+an ordinal that follows the line order within a file. Both are fixed-width
+longs, so the per-run aggregates stay hash-based. Compressed logs are read
+through the codecs Hadoop offers for their extension.
 
 ``events_as_listener_lines`` turns the supplied ``events`` table into
 listener-event lines, one run per user, so the run-log job can be exercised
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 
 def read_event_logs(spark: SparkSession, paths: str | list[str],
                     label: str | None = None, label_from: str = "file") -> DataFrame:
-    """(run_label, ord, line) for every line of the given log files.
+    """(run_label, seq, ord, line) for every line of the given log files.
 
     ``label``: one fixed run label for everything read; otherwise the label
     is the file name with ``.json`` removed (``label_from="file"``) or the
@@ -32,10 +34,12 @@ def read_event_logs(spark: SparkSession, paths: str | list[str],
         run = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
     else:
         run = F.regexp_replace(F.col("_metadata.file_name"), r"\.json", "")
-    ord_ = F.struct(F.col("_metadata.file_name").alias("f"),
-                    F.col("_metadata.file_block_start").alias("b"),
-                    F.monotonically_increasing_id().alias("i"))
-    return df.select(run.alias("run_label"), ord_.alias("ord"), F.col("value").alias("line"))
+    # Splits of one file are scanned in offset order, so the generated id
+    # grows with the line number within a file.
+    seq = F.coalesce(F.regexp_extract(F.col("_metadata.file_name"), r"^events_(\d+)_", 1)
+                     .try_cast("bigint"), F.lit(0).cast("bigint"))
+    return df.select(run.alias("run_label"), seq.alias("seq"),
+                     F.monotonically_increasing_id().alias("ord"), F.col("value").alias("line"))
 
 
 def _ms(ts_col: str = "ts"):
@@ -89,4 +93,5 @@ def events_as_listener_lines(events: DataFrame) -> DataFrame:
             .when(et == "click", task)
             .otherwise(F.lit("")))
     return events.select(F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("run_label"),
+                         F.lit(0).cast("bigint").alias("seq"),
                          F.col("event_id").alias("ord"), line.alias("line"))
