@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import os
+import subprocess
 import sys
 import tempfile
 import time
@@ -24,6 +25,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from jobtally.functions.calendar import window_months  # noqa: E402
 from jobtally.operators import metrics as M  # noqa: E402
 from jobtally.operators.derive import derive_jobs  # noqa: E402
+from jobtally.operators.runlog import run_metrics  # noqa: E402
+from jobtally.sources.eventlog import read_event_logs  # noqa: E402
 from jobtally.plans.catalog import SPARK_QUERIES  # noqa: E402
 from jobtally.plans.report_job import monthly_report  # noqa: E402
 from jobtally.session import build_session  # noqa: E402
@@ -80,6 +83,24 @@ def main() -> None:
                  "state_histogram", "runlog_metrics", "stage_merge"):
         timings[name] = _best_of(lambda n=name: _run(SPARK_QUERIES[n](spark, sf_dir)))
 
+    # The report as its own application (session start to stop), with the
+    # event log on, analysed by the run-log job: the reference's protocol.
+    events = os.path.join(scratch, "eventlog")
+    os.makedirs(events)
+    here = os.path.dirname(os.path.abspath(__file__))
+    t1 = time.perf_counter()
+    subprocess.run([sys.executable, "-m", "jobtally.plans.report_job", "--files", files,
+                    "--layout", "partitioned", "--month", MONTH, "--year", str(YEAR),
+                    "--out", os.path.join(scratch, "report"), "--master", f"local[{cpus}]",
+                    "--event-log-dir", events], cwd=here, check=True, timeout=900,
+                   stdout=subprocess.DEVNULL, stderr=subprocess.DEVNULL)
+    app_wall = time.perf_counter() - t1
+    logs = os.path.join(events, "*", "events_*")  # rolling, zstd (Spark 4 default)
+    app = run_metrics(read_event_logs(spark, logs, label="report_app",
+                                      compression="zstd")).first().asDict()
+    app.pop("parsed_at", None)
+    app["process_wall_s"] = round(app_wall, 3)
+
     rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
     print(json.dumps({
         "metric": "report_from_files_wall",
@@ -90,6 +111,7 @@ def main() -> None:
         "job_rows": rows,
         "cpus": cpus,
         "session_start_sec": round(session_s, 3),
+        "report_app": app,
     }))
     spark.stop()
 

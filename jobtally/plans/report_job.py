@@ -76,3 +76,49 @@ def report_from_files(spark: SparkSession, data_dir: str, month: str | None = No
     raw = read_job_files(spark, data_dir, months=window_months(m)["Year"],
                          period_aliases=period_aliases)
     return monthly_report(spark, raw, month, year, start, form)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Entry point for ``spark-submit jobtally/plans/report_job.py``.
+
+    Writes the report as ordered text (``<out>/text``) and as a parquet
+    table (``<out>/table``). Settings such as event logging, executor sizing
+    or shuffle width come from the submit command / session config.
+    """
+    import argparse
+
+    from jobtally.operators.report import write_report_table, write_report_text
+    from jobtally.session import build_session
+
+    ap = argparse.ArgumentParser(description="monthly job-accounting report")
+    ap.add_argument("--files", required=True, help="folder of job exports")
+    ap.add_argument("--layout", default="flat", choices=("flat", "partitioned"))
+    ap.add_argument("--month", help="month token, e.g. Jan (default: previous month)")
+    ap.add_argument("--year", type=int)
+    ap.add_argument("--start", help="first day of the year window, YYYY-MM-DD")
+    ap.add_argument("--alias", action="append", default=[], metavar="RAW=MONTH",
+                    help="map a file token onto a month, e.g. Ago=Aug")
+    ap.add_argument("--form", default="fused", choices=FORMS)
+    ap.add_argument("--out", required=True)
+    ap.add_argument("--master")
+    ap.add_argument("--event-log-dir")
+    args = ap.parse_args(argv)
+
+    if args.master:
+        spark = build_session(args.master, event_log_dir=args.event_log_dir)
+    else:
+        spark = SparkSession.builder.getOrCreate()
+    aliases = dict(a.split("=", 1) for a in args.alias) or None
+    m, _ = resolve_month(args.month, args.year)
+    raw = read_job_files(spark, args.files, months=window_months(m)["Year"],
+                         period_aliases=aliases, layout=args.layout)
+    report = monthly_report(spark, raw, args.month, args.year, args.start, args.form)
+    report = report.persist()  # two sinks read the 70 rows
+    write_report_text(report, f"{args.out.rstrip('/')}/text")
+    write_report_table(report, f"{args.out.rstrip('/')}/table")
+    report.unpersist()
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()

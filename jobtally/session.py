@@ -27,13 +27,21 @@ def build_session(
     shuffle_partitions: int = 8,
     app_name: str = "jobtally",
     conf: dict[str, str] | None = None,
+    event_log_dir: str | None = None,
 ) -> SparkSession:
-    """Local/test session: AQE on, UI off, UTC, small shuffle width."""
+    """Local/test session: AQE on, UI off, UTC, small shuffle width.
+
+    ``event_log_dir``: write the Spark event log there (input of the
+    run-log job).
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     settings = dict(_DEFAULTS)
     settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if event_log_dir:
+        settings["spark.eventLog.enabled"] = "true"
+        settings["spark.eventLog.dir"] = event_log_dir
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)

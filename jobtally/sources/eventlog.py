@@ -15,33 +15,89 @@ on data that grows with the test tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+ZSTD_SUFFIXES = (".zstd", ".zst")
+_LINES_PER_BATCH = 20000
+
+
+def _labels(path: Column, label: str | None, label_from: str) -> tuple[Column, Column]:
+    name = F.element_at(F.split(path, "/"), -1)
+    if label is not None:
+        run = F.lit(label)
+    elif label_from == "folder":
+        run = F.element_at(F.split(path, "/"), -2)
+    else:
+        run = F.regexp_replace(name, r"\.json", "")
+    seq = F.coalesce(F.regexp_extract(name, r"^events_(\d+)_", 1).try_cast("bigint"),
+                     F.lit(0).cast("bigint"))
+    return run, seq
+
+
 def read_event_logs(spark: SparkSession, paths: str | list[str],
-                    label: str | None = None, label_from: str = "file") -> DataFrame:
+                    label: str | None = None, label_from: str = "file",
+                    compression: str = "auto") -> DataFrame:
     """(run_label, seq, ord, line) for every line of the given log files.
 
     ``label``: one fixed run label for everything read; otherwise the label
     is the file name with ``.json`` removed (``label_from="file"``) or the
     parent folder name (``label_from="folder"``, for rolling logs).
+    ``compression``: ``"zstd"`` for zstd-compressed logs (Spark's default
+    event-log codec), ``"none"`` for plain text (gzip/bzip2 are decoded by
+    the text reader itself), ``"auto"`` picks zstd when the paths say so.
     """
-    df = spark.read.text(paths)
-    if label is not None:
-        run = F.lit(label)
-    elif label_from == "folder":
-        run = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    else:
-        run = F.regexp_replace(F.col("_metadata.file_name"), r"\.json", "")
+    path_list = [paths] if isinstance(paths, str) else list(paths)
+    if compression == "zstd" or (compression == "auto" and
+                                 any(p.endswith(ZSTD_SUFFIXES) or p.endswith(".zst*")
+                                     or p.endswith(".zstd*") for p in path_list)):
+        return _read_zstd_logs(spark, path_list, label, label_from)
+    df = spark.read.text(path_list)
+    run, seq = _labels(F.col("_metadata.file_path"), label, label_from)
     # Splits of one file are scanned in offset order, so the generated id
     # grows with the line number within a file.
-    seq = F.coalesce(F.regexp_extract(F.col("_metadata.file_name"), r"^events_(\d+)_", 1)
-                     .try_cast("bigint"), F.lit(0).cast("bigint"))
     return df.select(run.alias("run_label"), seq.alias("seq"),
                      F.monotonically_increasing_id().alias("ord"), F.col("value").alias("line"))
 
 
+def _zstd_file_lines(batches):
+    """mapInPandas body: stream each listed file through a zstd decoder."""
+    import io
+
+    import pandas as pd
+    import pyarrow.fs as pafs
+    import zstandard
+
+    for pdf in batches:
+        for path in pdf["path"]:
+            fs, inner = pafs.FileSystem.from_uri(path)
+            with fs.open_input_stream(inner, compression=None) as raw:
+                reader = zstandard.ZstdDecompressor().stream_reader(raw, read_across_frames=True)
+                text = io.TextIOWrapper(reader, encoding="utf-8", errors="replace", newline="\n")
+                ords, lines = [], []
+                for i, ln in enumerate(text):
+                    ords.append(i)
+                    lines.append(ln[:-1] if ln.endswith("\n") else ln)
+                    if len(lines) >= _LINES_PER_BATCH:
+                        yield pd.DataFrame({"path": path, "ord": ords, "line": lines})
+                        ords, lines = [], []
+                if lines:
+                    yield pd.DataFrame({"path": path, "ord": ords, "line": lines})
+
+
+def _read_zstd_logs(spark: SparkSession, paths: list[str], label: str | None,
+                    label_from: str) -> DataFrame:
+    """zstd logs: Spark lists and spreads the files; each task streams its
+    files (one rolling chunk, 128 MB by default, at a time) and emits lines
+    in batches, with the exact line number as ``ord``."""
+    files = (spark.read.format("binaryFile").load(paths).select("path")
+             .repartition("path"))
+    lines = files.mapInPandas(_zstd_file_lines, "path string, ord long, line string")
+    run, seq = _labels(F.col("path"), label, label_from)
+    return lines.select(run.alias("run_label"), seq.alias("seq"), "ord", "line")
+
+
 def _ms(ts_col: str = "ts"):
     """Epoch milliseconds of a timestamp without time zone (session-TZ free)."""
     return F.expr(f"timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts_col})")
