@@ -1,0 +1,25 @@
+"""Incremental landing: each run lands only newly arrived exports."""
+
+from pyspark.sql import functions as F
+
+from jobtally.sources.jobfiles import read_landed_jobs
+from jobtally.streaming.landing import land_new_files
+from test_sources import _write
+
+
+def test_landing_is_incremental(spark, tmp_path):
+    src, land, ckpt = tmp_path / "src", str(tmp_path / "land"), str(tmp_path / "ckpt")
+    src.mkdir()
+    _write(str(src), "jobs_Jan.txt", 3, 0)
+    _write(str(src), "notes.txt", 2, 50)
+    land_new_files(spark, str(src), land, ckpt)
+    assert read_landed_jobs(spark, land).count() == 3
+    _write(str(src), "jobs_Feb.txt", 4, 100)
+    land_new_files(spark, str(src), land, ckpt)
+    df = read_landed_jobs(spark, land)
+    counts = {r["Period"]: r["n"] for r in df.groupBy("Period").agg(F.count("*").alias("n")).collect()}
+    assert counts == {"Jan": 3, "Feb": 4}
+    assert read_landed_jobs(spark, land, ["Feb"]).count() == 4
+    # a third run with nothing new lands nothing
+    land_new_files(spark, str(src), land, ckpt)
+    assert read_landed_jobs(spark, land).count() == 7
