@@ -61,10 +61,23 @@ def test_legacy_naming_and_inference(spark, tmp_path):
     assert dict(inferred.dtypes)["ElapsedRaw"] in ("int", "bigint")
 
 
-def test_month_filter_reaches_the_scan(spark, tmp_path):
+def _files_scanned(df) -> int:
+    """numFiles metric of the (single) file scan after running ``df``."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    scans = [leaves.apply(i) for i in range(leaves.size())
+             if leaves.apply(i).getClass().getSimpleName() == "FileSourceScanExec"]
+    assert len(scans) == 1
+    return scans[0].metrics().apply("numFiles").value()
+
+
+def test_month_filter_prunes_files(spark, tmp_path):
     d = _files(tmp_path)
-    plan = read_job_files(spark, d, months=["Jan"])._jdf.queryExecution().executedPlan().toString()
-    assert "file_name" in plan and "FileScan csv" in plan
+    assert _files_scanned(read_job_files(spark, d, months=["Jan"]).select("JobID")) == 1
+    assert _files_scanned(read_job_files(spark, d, months=["Jan", "Feb"]).select("JobID")) == 2
+    aliased = read_job_files(spark, d, months=["Aug"], period_aliases={"Ago": "Aug"})
+    assert _files_scanned(aliased.select("JobID", "Period")) == 1
+    assert _files_scanned(read_job_files(spark, d).select("JobID")) == 3
 
 
 def test_partitioned_layouts(spark, tmp_path):
