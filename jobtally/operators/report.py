@@ -69,6 +69,13 @@ REPORT_ORDER = (
 )
 
 
+def float_text_sql(x: str) -> str:
+    """SQL text of :func:`float_text` for the expression ``x``."""
+    t = f"regexp_replace(CAST(CAST({x} AS DECIMAL(38,20)) AS STRING), '0+$', '')"
+    return (f"CASE WHEN {x} IS NULL THEN CAST(NULL AS STRING) "
+            f"WHEN endswith({t}, '.') THEN concat({t}, '0') ELSE {t} END")
+
+
 def float_text(x: Column) -> Column:
     """Double -> shortest round-trip decimal text, never exponent form.
 
@@ -82,6 +89,15 @@ def float_text(x: Column) -> Column:
         F.when(trimmed.endswith("."), F.concat(trimmed, F.lit("0"))).otherwise(trimmed))
 
 
+def _sql_text(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _entry(name: str, value_sql: str, num_sql: str) -> str:
+    return (f"named_struct('name', {name}, 'value', {value_sql}, "
+            f"'value_num', CAST({num_sql} AS DOUBLE))")
+
+
 def _window_cluster_catalogue(spark: SparkSession) -> DataFrame:
     """All 3 windows x 3 clusters (9 literal rows)."""
     return (spark.range(0, 1, 1, 1)
@@ -109,37 +125,31 @@ def measures_long(filled: DataFrame) -> DataFrame:
     """Wide -> long: (name, value, value_num) for every measure of a group.
 
     Each measure is rendered to text before stacking, so counts stay
-    integers ('5', not '5.0').
+    integers ('5', not '5.0'). One SQL projection (``inline`` of an array of
+    structs), so the plan is built in a single call.
     """
-    sfx = F.when(F.col("tag") == "Month", F.lit("")).otherwise(F.col("tag"))
+    sfx = "CASE WHEN tag = 'Month' THEN '' ELSE tag END"
     entries = []
     for stem, src, kind in REPORT_MEASURES:
-        col = F.col(src) if kind == "count" else F.col(src.replace("Secs", "Hours"))
-        text = col.cast("string") if kind == "count" else float_text(col)
-        entries.append(F.struct(
-            F.concat(F.lower(F.col("cluster")), F.lit(stem), sfx).alias("name"),
-            text.alias("value"),
-            col.cast("double").alias("value_num")))
-    return filled.select(F.inline(F.array(*entries)))
+        col = f"`{src}`" if kind == "count" else f"`{src.replace('Secs', 'Hours')}`"
+        text = f"CAST({col} AS STRING)" if kind == "count" else float_text_sql(col)
+        entries.append(_entry(f"concat(lower(cluster), '{stem}', {sfx})", text, col))
+    return filled.selectExpr(f"inline(array({', '.join(entries)}))")
 
 
 def header_long(calendar: DataFrame) -> DataFrame:
     """Header values from the one-row calendar plus the capacity constants."""
     entries = []
     for name in ("reportPeriod", "reportPeriodTrimester", "reportPeriodYear", "reportMonth"):
-        entries.append(F.struct(F.lit(name).alias("name"), F.col(name).alias("value"),
-                                F.lit(None).cast("double").alias("value_num")))
+        entries.append(_entry(f"'{name}'", name, "NULL"))
     for name in ("reportYear", "ndays", "ndaysTrimester", "ndaysYear"):
-        entries.append(F.struct(F.lit(name).alias("name"), F.col(name).cast("string").alias("value"),
-                                F.col(name).cast("double").alias("value_num")))
+        entries.append(_entry(f"'{name}'", f"CAST({name} AS STRING)", name))
     for name, value in CAPACITY:
-        text = F.lit(str(value)) if isinstance(value, int) else float_text(F.lit(float(value)))
-        entries.append(F.struct(F.lit(name).alias("name"), text.alias("value"),
-                                F.lit(float(value)).alias("value_num")))
+        text = f"'{value}'" if isinstance(value, int) else float_text_sql(f"CAST({value!r} AS DOUBLE)")
+        entries.append(_entry(f"'{name}'", text, repr(value)))
     for name, days, macro in HOUR_MACROS:
-        entries.append(F.struct(F.lit(name).alias("name"), F.lit(macro).alias("value"),
-                                (F.col(days) * 24).cast("double").alias("value_num")))
-    return calendar.select(F.inline(F.array(*entries)))
+        entries.append(_entry(f"'{name}'", _sql_text(macro), f"{days} * 24"))
+    return calendar.selectExpr(f"inline(array({', '.join(entries)}))")
 
 
 def report_long(spark: SparkSession, metrics: DataFrame, calendar: DataFrame) -> DataFrame:
