@@ -55,10 +55,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder there; we only set our own (a fresh
-    scratch folder) when nothing is configured, as in local tests.
+    scratch folder) when nothing is configured in local mode, as in tests.
+    On a cluster an unset value is an error: a machine-local folder would
+    not survive the loss of that machine.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         current = tempfile.mkdtemp(prefix="jobtally-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)

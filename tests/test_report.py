@@ -104,3 +104,37 @@ def test_text_sink_round_trip(spark, tmp_path):
     R.write_report_table(rep, str(tmp_path / "table"), fmt="csv")
     back = spark.read.option("header", True).csv(str(tmp_path / "table"))
     assert back.count() == 70
+
+
+# Published January report: hour values and the integer seconds behind them.
+GOLDEN_HOURS = {
+    418133043: "116148.0675",
+    137871747: "38297.7075",
+    82241196: "22844.77666666667",
+    143552: "39.87555555555556",
+    5589280: "1552.5777777777778",
+    11438940: "3177.483333333333",
+}
+
+
+def test_golden_hour_text(spark):
+    df = spark.createDataFrame([(s,) for s in GOLDEN_HOURS], "s bigint")
+    got = {r["s"]: r["t"] for r in
+           df.select("s", R.float_text(R.J.hours(F.col("s"))).alias("t")).collect()}
+    assert got == GOLDEN_HOURS
+
+
+def test_report_values_from_known_sums(spark):
+    """Counts and sums of the published January report flow into the right names."""
+    metrics = spark.createDataFrame(
+        [("Month", "ARM", 6242, 4051, 418133043, 9135, 11438940, 4209),
+         ("Month", "GPU", 754, 1421, 82241196, 1492, 143552, 52)],
+        "tag string, cluster string, completedJobs long, failedJobs long, totalSecs long, "
+        "jobCount long, ehpcSecs long, ehpcJobCount long")
+    p = R.report_params(R.report_long(spark, metrics, period_calendar(spark, 1, 2026)))
+    assert p["armusedhours"] == "116148.0675" and p["armJobs"] == "9135"
+    assert p["armCompletedJobs"] == "6242" and p["armFailedJobs"] == "4051"
+    assert p["gpuusedhoursEuroHPC"] == "39.87555555555556" and p["gpuJobsEuroHPC"] == "52"
+    assert p["armusedhoursEuroHPC"] == "3177.483333333333"
+    assert p["amdJobs"] == "0" and p["amdusedhours"] == "0.0"   # group absent -> 0
+    assert p["armJobsYear"] == "0"                               # other windows absent
