@@ -27,9 +27,13 @@ TAGS = ("Month", "Trimester", "Year")
 DATE_TEXT = "dd/MM/yyyy"
 
 
+def _sql_array(values) -> str:
+    return "array(" + ", ".join("'" + v.replace("'", "\\'") + "'" for v in values) + ")"
+
+
 def text_array(values) -> Column:
     """A literal array of strings as one SQL expression (one JVM call)."""
-    return F.expr("array(" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + ")")
+    return F.expr(_sql_array(values))
 
 
 def month_abbr(month_number: Column) -> Column:
@@ -84,16 +88,13 @@ def period_dimension(spark: SparkSession, m: int) -> DataFrame:
     """
     if not 1 <= m <= 12:
         raise ValueError(f"month number out of range: {m}")
-    mm = F.lit(m)
-    windows = F.array(
-        F.struct(F.lit("Month").alias("tag"), F.sequence(mm, mm).alias("ms")),
-        F.struct(F.lit("Trimester").alias("tag"),
-                 F.sequence(F.greatest(mm - 2, F.lit(1)), mm).alias("ms")),
-        F.struct(F.lit("Year").alias("tag"), F.sequence(F.lit(1), mm).alias("ms")),
-    )
+    windows = (f"inline(array("
+               f"named_struct('tag', 'Month', 'ms', sequence({m}, {m})), "
+               f"named_struct('tag', 'Trimester', 'ms', sequence(greatest({m} - 2, 1), {m})), "
+               f"named_struct('tag', 'Year', 'ms', sequence(1, {m}))))")
     return (spark.range(0, 1, 1, 1)
-            .select(F.inline(windows))
-            .select("tag", F.explode("ms").alias("mi"))
+            .selectExpr(windows)
+            .selectExpr("tag", "explode(ms) AS mi")
             .select(month_abbr(F.col("mi")).alias("Period"), "tag"))
 
 
@@ -105,25 +106,25 @@ def period_calendar(spark: SparkSession, m: int, year: int,
     the Year label, the Trimester label in January-March and the Year day
     count; it never changes which months are counted.
     """
-    mm, yy = F.lit(m), F.lit(year)
-    smonth = F.make_date(yy, mm, F.lit(1))
-    emonthd = F.last_day(smonth)
-    emonth = F.date_add(emonthd, 1)
-    jan1 = F.make_date(yy, F.lit(1), F.lit(1))
-    syear = F.to_date(F.lit(start)) if start else jan1
-    tmonth = F.when(mm <= 3, jan1).otherwise(F.add_months(smonth, -2))
-
-    def span(a: Column, b: Column) -> Column:
-        return F.concat(F.date_format(a, DATE_TEXT), F.lit(" - "), F.date_format(b, DATE_TEXT))
-
-    return spark.range(0, 1, 1, 1).select(
-        span(smonth, emonthd).alias("reportPeriod"),
-        F.when(mm <= 3, span(syear, emonthd)).otherwise(span(tmonth, emonthd))
-        .alias("reportPeriodTrimester"),
-        span(syear, emonthd).alias("reportPeriodYear"),
-        month_name(mm).alias("reportMonth"),
-        yy.cast("bigint").alias("reportYear"),
-        F.datediff(emonth, smonth).cast("bigint").alias("ndays"),
-        F.datediff(emonth, tmonth).cast("bigint").alias("ndaysTrimester"),
-        F.datediff(emonth, syear).cast("bigint").alias("ndaysYear"),
+    if start:
+        _dt.date.fromisoformat(start)  # reject malformed text early
+    smonth = f"make_date({year}, {m}, 1)"
+    emonthd = f"last_day({smonth})"
+    emonth = f"date_add({emonthd}, 1)"
+    jan1 = f"make_date({year}, 1, 1)"
+    syear = f"DATE'{start}'" if start else jan1
+    tmonth = jan1 if m <= 3 else f"add_months({smonth}, -2)"
+
+    def span(a: str, b: str) -> str:
+        return f"concat(date_format({a}, '{DATE_TEXT}'), ' - ', date_format({b}, '{DATE_TEXT}'))"
+
+    return spark.range(0, 1, 1, 1).selectExpr(
+        f"{span(smonth, emonthd)} AS reportPeriod",
+        f"{span(syear if m <= 3 else tmonth, emonthd)} AS reportPeriodTrimester",
+        f"{span(syear, emonthd)} AS reportPeriodYear",
+        f"element_at({_sql_array(MONTH_NAMES)}, {m}) AS reportMonth",
+        f"CAST({year} AS BIGINT) AS reportYear",
+        f"CAST(datediff({emonth}, {smonth}) AS BIGINT) AS ndays",
+        f"CAST(datediff({emonth}, {tmonth}) AS BIGINT) AS ndaysTrimester",
+        f"CAST(datediff({emonth}, {syear}) AS BIGINT) AS ndaysYear",
     )
