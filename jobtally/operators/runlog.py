@@ -16,11 +16,12 @@ task_span_s, executor_run_s, executors, lines, parse_errors.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from jobtally.functions.numbers import round2_sql
+
 L = T.LongType()
 S = T.StringType()
 
@@ -61,18 +62,6 @@ METRICS_FILE_COLUMNS = (
 )
 
 
-@F.pandas_udf(T.DoubleType())
-def round2(values: pd.Series) -> pd.Series:
-    """Round to 2 decimals exactly as the metrics file always has.
-
-    Python's ``round`` rounds the binary value half-to-even; Spark's
-    ``round``/``bround`` round the shortest decimal text, which differs at
-    ties (2.675 -> 2.67 here, 2.68 there). Applied only to the handful of
-    output values per run.
-    """
-    return values.map(lambda v: None if pd.isna(v) else round(float(v), 2)).astype("float64")
-
-
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Add ``ev`` (parsed struct), ``etype``, ``blank`` and ``bad`` flags."""
     ev = F.from_json(F.col("line"), EVENT_SCHEMA,
@@ -94,13 +83,15 @@ def _truthy_num(c: Column) -> Column:
     return c.isNotNull() & (c != 0)
 
 
-def _ms_to_s(ms: Column) -> Column:
-    """ms -> s rounded to 2; zero or missing -> NULL."""
-    return F.when(_truthy_num(ms), round2(ms / F.lit(1000.0)))
+def ms_to_s_sql(ms: str) -> str:
+    """ms -> s rounded to 2 like Python's round; zero or missing -> NULL."""
+    return (f"CASE WHEN {ms} IS NOT NULL AND {ms} <> 0 THEN "
+            f"{round2_sql(f'CAST({ms} AS DOUBLE) / CAST(1000 AS DOUBLE)')} END")
 
 
-def _bytes_to_mb(b: Column) -> Column:
-    return round2(b / F.lit(1048576.0))
+def bytes_to_mb_sql(b: str) -> str:
+    """bytes -> MB rounded to 2 like Python's round."""
+    return round2_sql(f"CAST({b} AS DOUBLE) / CAST(1048576 AS DOUBLE)")
 
 
 def run_totals(lines: DataFrame) -> DataFrame:
@@ -162,16 +153,16 @@ def run_metrics(lines: DataFrame) -> DataFrame:
     return t.select(
         "run_label",
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("parsed_at"),
-        _ms_to_s(F.col("app_duration_ms")).alias("app_duration_s"),
-        _ms_to_s(F.col("driver_time_ms")).alias("driver_time_s"),
+        F.expr(ms_to_s_sql("app_duration_ms")).alias("app_duration_s"),
+        F.expr(ms_to_s_sql("driver_time_ms")).alias("driver_time_s"),
         "stages_submitted", "total_tasks",
-        _bytes_to_mb(F.col("input_bytes")).alias("input_read_mb"),
-        _bytes_to_mb(F.col("shuffle_write_bytes")).alias("shuffle_write_mb"),
-        _bytes_to_mb(F.col("shuffle_read_bytes")).alias("shuffle_read_mb"),
-        _ms_to_s(F.col("executor_gc_ms")).alias("executor_gc_s"),
+        F.expr(bytes_to_mb_sql("input_bytes")).alias("input_read_mb"),
+        F.expr(bytes_to_mb_sql("shuffle_write_bytes")).alias("shuffle_write_mb"),
+        F.expr(bytes_to_mb_sql("shuffle_read_bytes")).alias("shuffle_read_mb"),
+        F.expr(ms_to_s_sql("executor_gc_ms")).alias("executor_gc_s"),
         "stages_completed", "stages_failed", "completed_tasks", "failed_tasks",
-        _ms_to_s(F.col("task_span_ms")).alias("task_span_s"),
-        _ms_to_s(F.col("executor_run_ms")).alias("executor_run_s"),
+        F.expr(ms_to_s_sql("task_span_ms")).alias("task_span_s"),
+        F.expr(ms_to_s_sql("executor_run_ms")).alias("executor_run_s"),
         "executors", "lines", "parse_errors",
     )
 

@@ -17,9 +17,9 @@ def test_entry(spark):
                           "jobCount", "ehpcSecs", "ehpcJobCount"]
 
 
-def test_every_query_but_rows_only_ones_has_a_twin():
+def test_every_query_has_a_twin():
     assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"runlog_metrics"}
+    assert set(queries()) == set(oracle_sql())
 
 
 @pytest.fixture(scope="module")
