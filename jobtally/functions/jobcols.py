@@ -80,10 +80,12 @@ def billed_nodes(
     Every other partition bills NNodes.
     """
     p, tres, n = _c(partition), _c(alloc_tres), _c(nnodes)
+    # One regex pass: the group is \d+, so it is non-empty exactly when the
+    # pattern matches (no match -> '').
+    gres = F.regexp_extract(tres, GPU_GRES_PATTERN, 1)
     gpu_units = (
         F.when(tres.isNull(), n)
-        .when(tres.rlike(GPU_GRES_PATTERN),
-              F.regexp_extract(tres, GPU_GRES_PATTERN, 1).try_cast("bigint"))
+        .when(gres != "", gres.try_cast("bigint"))
         .otherwise(n * F.lit(GPU_NODE_SHARE))
     )
     return F.when(p.contains(GPU_MARK), gpu_units).otherwise(n)
