@@ -138,3 +138,24 @@ def test_report_values_from_known_sums(spark):
     assert p["armusedhoursEuroHPC"] == "3177.483333333333"
     assert p["amdJobs"] == "0" and p["amdusedhours"] == "0.0"   # group absent -> 0
     assert p["armJobsYear"] == "0"                               # other windows absent
+
+
+def test_submit_entry_point(spark, tmp_path):
+    """The spark-submit entry point runs as its own application."""
+    import subprocess
+    import sys
+
+    from jobtally.sources.jobfiles import write_job_files
+
+    files = str(tmp_path / "exports")
+    write_job_files(read_job_view(spark, SMALL), files)
+    out = str(tmp_path / "out")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-m", "jobtally.plans.report_job", "--files", files,
+                    "--layout", "partitioned", "--month", "May", "--year", "2025",
+                    "--out", out, "--master", "local[2]"],
+                   cwd=repo, check=True, timeout=600, capture_output=True)
+    lines = open(glob.glob(os.path.join(out, "text", "part-*"))[0]).read().splitlines()
+    want = R.report_params(monthly_report(spark, read_job_view(spark, SMALL), "May", 2025))
+    assert lines == [f"\\def\\{k}{{{v}}}" for k, v in want.items()]
+    assert spark.read.parquet(os.path.join(out, "table")).count() == 70
