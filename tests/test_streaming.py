@@ -23,3 +23,18 @@ def test_landing_is_incremental(spark, tmp_path):
     # a third run with nothing new lands nothing
     land_new_files(spark, str(src), land, ckpt)
     assert read_landed_jobs(spark, land).count() == 7
+
+
+def test_report_from_landing_matches_files(spark, tmp_path):
+    from jobtally.operators.report import report_params
+    from jobtally.plans.report_job import report_from_files, report_from_landing
+
+    src, land, ckpt = tmp_path / "src", str(tmp_path / "land"), str(tmp_path / "ckpt")
+    src.mkdir()
+    for i, m in enumerate(["Jan", "Feb", "Mar", "Apr"]):
+        _write(str(src), f"jobs_{m}.txt", 5 + i, 100 * i)
+    land_new_files(spark, str(src), land, ckpt)
+    a = report_params(report_from_landing(spark, land, "Mar", 2025))
+    b = report_params(report_from_files(spark, str(src), "Mar", 2025))
+    assert a == b
+    assert a["armJobs"] == "7" and a["armJobsYear"] == "18" and a["armJobsTrimester"] == "18"
