@@ -38,7 +38,7 @@ def _labels(path: Column, label: str | None, label_from: str) -> tuple[Column, C
 
 def read_event_logs(spark: SparkSession, paths: str | list[str],
                     label: str | None = None, label_from: str = "file",
-                    compression: str = "auto") -> DataFrame:
+                    compression: str = "auto", zstd_reader: str = "auto") -> DataFrame:
     """(run_label, seq, ord, line) for every line of the given log files.
 
     ``label``: one fixed run label for everything read; otherwise the label
@@ -47,12 +47,14 @@ def read_event_logs(spark: SparkSession, paths: str | list[str],
     ``compression``: ``"zstd"`` for zstd-compressed logs (Spark's default
     event-log codec), ``"none"`` for plain text (gzip/bzip2 are decoded by
     the text reader itself), ``"auto"`` picks zstd when the paths say so.
+    ``zstd_reader``: ``"stream"`` (tasks open the files), ``"spark"`` (Spark
+    reads the bytes) or ``"auto"`` (stream where the scheme allows).
     """
     path_list = [paths] if isinstance(paths, str) else list(paths)
     if compression == "zstd" or (compression == "auto" and
                                  any(p.endswith(ZSTD_SUFFIXES) or p.endswith(".zst*")
                                      or p.endswith(".zstd*") for p in path_list)):
-        return _read_zstd_logs(spark, path_list, label, label_from)
+        return _read_zstd_logs(spark, path_list, label, label_from, zstd_reader)
     df = spark.read.text(path_list)
     run, seq = _labels(F.col("_metadata.file_path"), label, label_from)
     # Splits of one file are scanned in offset order, so the generated id
@@ -61,39 +63,69 @@ def read_event_logs(spark: SparkSession, paths: str | list[str],
                      F.monotonically_increasing_id().alias("ord"), F.col("value").alias("line"))
 
 
-def _zstd_file_lines(batches):
-    """mapInPandas body: stream each listed file through a zstd decoder."""
+# URI schemes the task-side reader opens itself; other file systems (s3a,
+# abfs, ...) are read through Spark's binaryFile source instead.
+STREAMED_SCHEMES = ("file:", "hdfs:", "s3:", "gs:")
+
+
+def _decode_lines(path: str, raw):
+    """Yield (path, ord, line) batches from a zstd byte stream."""
     import io
 
     import pandas as pd
-    import pyarrow.fs as pafs
     import zstandard
 
+    reader = zstandard.ZstdDecompressor().stream_reader(raw, read_across_frames=True)
+    text = io.TextIOWrapper(reader, encoding="utf-8", errors="replace", newline="\n")
+    ords, lines = [], []
+    for i, ln in enumerate(text):
+        ords.append(i)
+        lines.append(ln[:-1] if ln.endswith("\n") else ln)
+        if len(lines) >= _LINES_PER_BATCH:
+            yield pd.DataFrame({"path": path, "ord": ords, "line": lines})
+            ords, lines = [], []
+    if lines:
+        yield pd.DataFrame({"path": path, "ord": ords, "line": lines})
+
+
+def _zstd_file_lines(batches):
+    """mapInPandas body: open each listed file and stream it through zstd."""
+    import pyarrow.fs as pafs
+
     for pdf in batches:
         for path in pdf["path"]:
             fs, inner = pafs.FileSystem.from_uri(path)
             with fs.open_input_stream(inner, compression=None) as raw:
-                reader = zstandard.ZstdDecompressor().stream_reader(raw, read_across_frames=True)
-                text = io.TextIOWrapper(reader, encoding="utf-8", errors="replace", newline="\n")
-                ords, lines = [], []
-                for i, ln in enumerate(text):
-                    ords.append(i)
-                    lines.append(ln[:-1] if ln.endswith("\n") else ln)
-                    if len(lines) >= _LINES_PER_BATCH:
-                        yield pd.DataFrame({"path": path, "ord": ords, "line": lines})
-                        ords, lines = [], []
-                if lines:
-                    yield pd.DataFrame({"path": path, "ord": ords, "line": lines})
+                yield from _decode_lines(path, raw)
+
+
+def _zstd_content_lines(batches):
+    """mapInPandas body: decode file contents read by Spark itself."""
+    import io
+
+    for pdf in batches:
+        for path, content in zip(pdf["path"], pdf["content"]):
+            yield from _decode_lines(path, io.BytesIO(content))
 
 
 def _read_zstd_logs(spark: SparkSession, paths: list[str], label: str | None,
-                    label_from: str) -> DataFrame:
+                    label_from: str, reader: str = "auto") -> DataFrame:
     """zstd logs: Spark lists and spreads the files; each task streams its
     files (one rolling chunk, 128 MB by default, at a time) and emits lines
-    in batches, with the exact line number as ``ord``."""
-    files = (spark.read.format("binaryFile").load(paths).select("path")
-             .repartition("path"))
-    lines = files.mapInPandas(_zstd_file_lines, "path string, ord long, line string")
+    in batches, with the exact line number as ``ord``. File systems the task
+    cannot open itself are read by Spark (``binaryFile`` content, one chunk
+    per row; Arrow batches are capped by
+    ``spark.sql.execution.arrow.maxBytesPerBatch``, 64 MB by default, so a
+    batch holds one large chunk)."""
+    listing = spark.read.format("binaryFile").load(paths)
+    schema = "path string, ord long, line string"
+    streamable = all(p.startswith(STREAMED_SCHEMES) or ":" not in p.split("/")[0]
+                     for p in paths)
+    if reader == "stream" or (reader == "auto" and streamable):
+        lines = listing.select("path").repartition("path").mapInPandas(_zstd_file_lines, schema)
+    else:
+        lines = (listing.select("path", "content").repartition("path")
+                 .mapInPandas(_zstd_content_lines, schema))
     run, seq = _labels(F.col("path"), label, label_from)
     return lines.select(run.alias("run_label"), seq.alias("seq"), "ord", "line")
 
