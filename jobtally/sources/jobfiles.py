@@ -110,6 +110,48 @@ def write_job_files(raw: DataFrame, path: str, mode: str = "overwrite") -> None:
      .option("sep", DELIMITER).option("header", True).csv(path))
 
 
+def list_job_files(spark: SparkSession, data_dir: str, glob: str = "jobs*",
+                   recursive: bool = False) -> list[str]:
+    """Paths of the export files under ``data_dir`` (a metadata listing:
+    ``binaryFile`` without its content column opens no file)."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True)
+    return sorted(r["path"] for r in reader.load(data_dir).select("path").collect())
+
+
+def period_of_file(path: str, legacy_naming: bool = False) -> str:
+    """Period token of one export file: ``Period=<Mon>`` folder, else the
+    file-name rule (``jobs_(\\w+).txt`` or the older first-'_'-to-first-'.')."""
+    import re
+
+    parts = path.rstrip("/").split("/")
+    for part in reversed(parts[:-1]):
+        if part.startswith("Period="):
+            return part[len("Period="):]
+    m = re.search(LEGACY_PERIOD_PATTERN if legacy_naming else PERIOD_PATTERN, parts[-1])
+    return m.group(1) if m else ""
+
+
+def read_job_files_per_file(spark: SparkSession, paths: Iterable[str],
+                            legacy_naming: bool = False) -> DataFrame:
+    """The per-file form: the files of each period are read on their own,
+    tagged with the period as a literal, and appended by name.
+
+    One branch per period (at most a dozen), each a multi-path scan of just
+    that period's files, so the plan does not grow with the file count and
+    the input read equals the single-glob scan; Catalyst drops branches whose
+    literal period fails a later month filter.
+    """
+    by_period: dict[str, list[str]] = {}
+    for p in paths:
+        by_period.setdefault(period_of_file(p, legacy_naming), []).append(p)
+    reader = (spark.read.schema(JOB_SCHEMA).option("sep", DELIMITER)
+              .option("header", True).option("mode", "PERMISSIVE"))
+    return union_months(reader.csv(files).withColumn("Period", F.lit(period))
+                        for period, files in sorted(by_period.items()))
+
+
 def union_months(frames: Iterable[DataFrame]) -> DataFrame:
     """Append per-month frames (by column name, not position)."""
     frames = list(frames)

@@ -95,3 +95,18 @@ def test_partitioned_layouts(spark, tmp_path):
     land_jobs(raw, pq)
     assert read_landed_jobs(spark, pq, ["Jan", "Feb"]).count() == \
         raw.filter(F.col("Period").isin("Jan", "Feb")).count()
+
+
+def test_per_file_form_matches_glob_scan(spark, tmp_path):
+    from jobtally.sources.jobfiles import list_job_files, read_job_files_per_file
+
+    d = _files(tmp_path)
+    paths = list_job_files(spark, d)                      # jobs* only: notes.txt excluded
+    assert [os.path.basename(p) for p in paths] == ["jobs_Ago.txt", "jobs_Feb.txt", "jobs_Jan.txt"]
+    per_file = read_job_files_per_file(spark, paths)
+    assert _counts(per_file) == _counts(read_job_files(spark, d))
+    legacy = read_job_files_per_file(spark, paths, legacy_naming=True)
+    assert _counts(legacy) == {"Jan": 3, "Feb": 4, "Ago": 5}
+    # a month filter removes whole branches before any file is read
+    jan = per_file.filter(F.col("Period") == "Jan").select("JobID")
+    assert _files_scanned(jan) == 1
