@@ -5,8 +5,9 @@
     per-(tag, cluster) measures --fill/unpivot--> 70-row long report
 
 Only the months of the Year window are read (file or partition pruning on a
-file source). The heavy part is one scan with a map-side partial aggregate;
-the single shuffle carries at most 36 rows per scan task.
+file source). The heavy part is one scan with a map-side partial aggregate:
+the first shuffle carries at most 36 rows per scan task, the second at most
+36 rows in all.
 """
 
 from __future__ import annotations
