@@ -105,7 +105,12 @@ def read_job_files(
 def write_job_files(raw: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write raw job rows as ``|``-delimited text with header, one folder per
     month (``Period=<Mon>/part-*.csv``), readable with
-    ``read_job_files(..., layout="partitioned")``."""
+    ``read_job_files(..., layout="partitioned")``.
+
+    Each task writes one file per month present in its input, so input that
+    is already split by month (the monthly exports) yields one file per
+    task.
+    """
     (raw.write.mode(mode).partitionBy("Period")
      .option("sep", DELIMITER).option("header", True).csv(path))
 
