@@ -5,7 +5,8 @@ Input: (run_label, seq, ord, line) rows, e.g. from
 ``from_json`` against the few fields read; blank lines are skipped, lines
 that do not parse are counted as parse errors. Every measure is a
 conditional count/sum/min/max/max_by over the run's lines, so any number of
-runs costs one scan and one shuffle of per-run partial aggregates.
+runs costs one scan plus shuffles of small per-run partial aggregates (two:
+the distinct-executor count first combines per (run, executor)).
 
 Output columns (first ten as in the metrics file): run_label, parsed_at,
 app_duration_s, driver_time_s, stages_submitted, total_tasks,
