@@ -51,9 +51,9 @@ def read_event_logs(spark: SparkSession, paths: str | list[str],
     reads the bytes) or ``"auto"`` (stream where the scheme allows).
     """
     path_list = [paths] if isinstance(paths, str) else list(paths)
-    if compression == "zstd" or (compression == "auto" and
-                                 any(p.endswith(ZSTD_SUFFIXES) or p.endswith(".zst*")
-                                     or p.endswith(".zstd*") for p in path_list)):
+    if compression == "auto":
+        compression = "zstd" if _has_zstd(spark, path_list) else "none"
+    if compression == "zstd":
         return _read_zstd_logs(spark, path_list, label, label_from, zstd_reader)
     df = spark.read.text(path_list)
     run, seq = _labels(F.col("_metadata.file_path"), label, label_from)
@@ -88,6 +88,18 @@ def _decode_lines(path: str, raw):
         yield pd.DataFrame({"path": path, "ord": ords, "line": lines})
 
 
+def _has_zstd(spark: SparkSession, paths: list[str]) -> bool:
+    """Do the paths (or the files listed under them) carry a zstd suffix?
+    The listing reads file metadata only."""
+    if any(p.rstrip("*").endswith(ZSTD_SUFFIXES) for p in paths):
+        return True
+    if all(p.endswith((".json", ".gz", ".bz2", ".log", ".txt")) for p in paths):
+        return False
+    listing = spark.read.format("binaryFile").load(paths).select("path")
+    cond = F.col("path").endswith(ZSTD_SUFFIXES[0]) | F.col("path").endswith(ZSTD_SUFFIXES[1])
+    return listing.filter(cond).limit(1).count() > 0
+
+
 def _zstd_file_lines(batches):
     """mapInPandas body: open each listed file and stream it through zstd."""
     import pyarrow.fs as pafs
