@@ -110,3 +110,18 @@ def test_per_file_form_matches_glob_scan(spark, tmp_path):
     # a month filter removes whole branches before any file is read
     jan = per_file.filter(F.col("Period") == "Jan").select("JobID")
     assert _files_scanned(jan) == 1
+
+
+def test_gzip_exports(spark, tmp_path):
+    import gzip
+
+    d = tmp_path / "gz"
+    d.mkdir()
+    lines = [HEADER] + [_line(i) for i in range(4)]
+    with gzip.open(d / "jobs_Jan.txt.gz", "wt") as f:
+        f.write("\n".join(lines) + "\n")
+    _write(str(d), "jobs_Feb.txt", 2, 10)
+    df = read_job_files(spark, str(d), glob="jobs_*.txt*")
+    assert _counts(df) == {"Jan": 4, "Feb": 2}
+    assert _files_scanned(read_job_files(spark, str(d), months=["Jan"],
+                                         glob="jobs_*.txt*").select("JobID")) == 1
