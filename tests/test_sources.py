@@ -125,3 +125,19 @@ def test_gzip_exports(spark, tmp_path):
     assert _counts(df) == {"Jan": 4, "Feb": 2}
     assert _files_scanned(read_job_files(spark, str(d), months=["Jan"],
                                          glob="jobs_*.txt*").select("JobID")) == 1
+
+
+def test_ago_file_drops_out_unless_aliased(spark, tmp_path):
+    from jobtally.operators.report import report_params
+    from jobtally.plans.report_job import report_from_files
+
+    d = str(tmp_path)
+    _write(d, "jobs_Jul.txt", 2, 0)
+    _write(d, "jobs_Ago.txt", 3, 100)
+    _write(d, "jobs_Sep.txt", 5, 200)
+    plain = report_params(report_from_files(spark, d, "Sep", 2025))
+    assert plain["armJobs"] == "5" and plain["armJobsTrimester"] == "7"   # Jul + Sep only
+    aliased = report_params(report_from_files(spark, d, "Sep", 2025,
+                                              period_aliases={"Ago": "Aug"}))
+    assert aliased["armJobsTrimester"] == "10" and aliased["armJobsYear"] == "10"
+    assert aliased["armCompletedJobsTrimester"] == "10"
