@@ -46,7 +46,8 @@ def read_event_logs(spark: SparkSession, paths: str | list[str],
     parent folder name (``label_from="folder"``, for rolling logs).
     ``compression``: ``"zstd"`` for zstd-compressed logs (Spark's default
     event-log codec), ``"none"`` for plain text (gzip/bzip2 are decoded by
-    the text reader itself), ``"auto"`` picks zstd when the paths say so.
+    the text reader itself), ``"auto"`` picks zstd when the paths, or the
+    files listed under them, end in ``.zstd``/``.zst``.
     ``zstd_reader``: ``"stream"`` (tasks open the files), ``"spark"`` (Spark
     reads the bytes) or ``"auto"`` (stream where the scheme allows).
     """
