@@ -53,3 +53,12 @@ def test_default_month_is_previous_month():
     assert resolve_month("Jan", 2026) == (1, 2026)
     with pytest.raises(ValueError):
         resolve_month("Ago", 2026)
+
+
+def test_start_override_after_march(spark):
+    r = period_calendar(spark, 5, 2025, start="2025-02-10").first()
+    assert r["reportPeriodTrimester"] == "01/03/2025 - 31/05/2025"   # unchanged
+    assert r["reportPeriodYear"] == "10/02/2025 - 31/05/2025"
+    assert (r["ndaysTrimester"], r["ndaysYear"]) == (92, 111)
+    dec = period_calendar(spark, 12, 2024).first()
+    assert dec["reportPeriod"] == "01/12/2024 - 31/12/2024" and dec["ndaysYear"] == 366
