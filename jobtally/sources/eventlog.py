@@ -140,7 +140,11 @@ def _read_zstd_logs(spark: SparkSession, paths: list[str], label: str | None,
         lines = (listing.select("path", "content").repartition("path")
                  .mapInPandas(_zstd_content_lines, schema))
     run, seq = _labels(F.col("path"), label, label_from)
-    return lines.select(run.alias("run_label"), seq.alias("seq"), "ord", "line")
+    # Exact line numbers are known here, so the ordinal also carries the
+    # rolling-file sequence: seq * 2^40 + line keeps one fixed-width long
+    # that orders lines across all files of a run.
+    return lines.select(run.alias("run_label"), seq.alias("seq"),
+                        (seq * F.lit(1 << 40) + F.col("ord")).alias("ord"), "line")
 
 
 def _ms(ts_col: str = "ts"):
