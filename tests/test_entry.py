@@ -47,3 +47,17 @@ def test_twin(spark, con, name):
     dcols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(dcols)
     assert _norm([tuple(r) for r in df.collect()], df.columns) == _norm(res.fetchall(), dcols)
+
+
+@pytest.mark.parametrize("name", ["event_extrema", "runlog_totals", "stage_merge", "fused_report"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = queries()[name](spark, SMALL)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    res = con.execute(oracle_sql()[name])
+    dcols = [d[0] for d in res.description]
+    assert _norm(rows, df.columns) == _norm(res.fetchall(), dcols)
