@@ -62,3 +62,18 @@ def test_start_override_after_march(spark):
     assert (r["ndaysTrimester"], r["ndaysYear"]) == (92, 111)
     dec = period_calendar(spark, 12, 2024).first()
     assert dec["reportPeriod"] == "01/12/2024 - 31/12/2024" and dec["ndaysYear"] == 366
+
+
+def test_dimension_mirrors_window_months_for_every_month(spark):
+    from pyspark.sql import functions as F
+
+    dims = [period_dimension(spark, m).withColumn("m", F.lit(m)) for m in range(1, 13)]
+    allrows = dims[0]
+    for d in dims[1:]:
+        allrows = allrows.unionByName(d)
+    got = {}
+    for r in allrows.collect():
+        got.setdefault(r["m"], {}).setdefault(r["tag"], []).append(r["Period"])
+    for m in range(1, 13):
+        assert got[m] == window_months(m)
+        assert sum(len(v) for v in got[m].values()) <= 16
