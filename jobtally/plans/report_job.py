@@ -95,8 +95,8 @@ def report_from_landing(spark: SparkSession, landing_path: str, month: str | Non
 def main(argv: list[str] | None = None) -> None:
     """Entry point for ``spark-submit jobtally/plans/report_job.py``.
 
-    Writes the report as ordered text (``<out>/text``) and as a parquet
-    table (``<out>/table``). Settings such as event logging, executor sizing
+    Writes the report as a parquet table (``<out>/table``) and, from that
+    table, as ordered text (``<out>/text``). Settings such as event logging, executor sizing
     or shuffle width come from the submit command / session config.
     """
     import argparse
@@ -127,10 +127,12 @@ def main(argv: list[str] | None = None) -> None:
     raw = read_job_files(spark, args.files, months=window_months(m)["Year"],
                          period_aliases=aliases, layout=args.layout)
     report = monthly_report(spark, raw, args.month, args.year, args.start, args.form)
-    report = report.persist()  # two sinks read the 70 rows
-    write_report_text(report, f"{args.out.rstrip('/')}/text")
-    write_report_table(report, f"{args.out.rstrip('/')}/table")
-    report.unpersist()
+    # The table is written first and the text rendered from it: the second
+    # sink reads 70 stored rows instead of a cached block whose loss (with
+    # its executor) would mean rescanning every export.
+    table = f"{args.out.rstrip('/')}/table"
+    write_report_table(report, table)
+    write_report_text(spark.read.parquet(table), f"{args.out.rstrip('/')}/text")
     spark.stop()
 
 
