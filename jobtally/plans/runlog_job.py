@@ -6,7 +6,8 @@
 
 One scan and one grouped aggregate, whatever the number of runs. The
 optional stage table (last submission merged with its completion per
-stage) is written as parquet.
+stage) is written as parquet by a second scan of the logs rather than from
+a cache, so a lost executor costs recomputation of its own partitions only.
 """
 
 from __future__ import annotations
