@@ -141,3 +141,16 @@ def test_ago_file_drops_out_unless_aliased(spark, tmp_path):
                                               period_aliases={"Ago": "Aug"}))
     assert aliased["armJobsTrimester"] == "10" and aliased["armJobsYear"] == "10"
     assert aliased["armCompletedJobsTrimester"] == "10"
+
+
+def test_landing_month_split_input_writes_one_file_per_month(spark, tmp_path):
+    d = str(tmp_path / "src")
+    os.makedirs(d)
+    for i, m in enumerate(["Jan", "Feb", "Mar"]):
+        _write(d, f"jobs_{m}.txt", 4, 10 * i)
+    out = str(tmp_path / "landing")
+    land_jobs(read_job_files(spark, d), out)
+    for m in ("Jan", "Feb", "Mar"):
+        parts = [f for f in os.listdir(os.path.join(out, f"Period={m}")) if f.startswith("part-")]
+        assert len(parts) == 1, (m, parts)
+    assert read_landed_jobs(spark, out, ["Feb"]).count() == 4
