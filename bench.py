@@ -33,9 +33,11 @@ from jobtally.operators.derive import derive_jobs  # noqa: E402
 from jobtally.operators.runlog import run_metrics  # noqa: E402
 from jobtally.sources.eventlog import read_event_logs  # noqa: E402
 from jobtally.plans.catalog import SPARK_QUERIES  # noqa: E402
-from jobtally.plans.report_job import monthly_report, report_from_landing  # noqa: E402
+from jobtally.plans.report_job import (monthly_report, report_from_landing,  # noqa: E402
+                                      window_measures)
 from jobtally.session import build_session  # noqa: E402
-from jobtally.sources.jobfiles import land_jobs, read_job_files, write_job_files  # noqa: E402
+from jobtally.sources.jobfiles import (land_jobs, list_job_files, read_job_files,  # noqa: E402
+                                      read_job_files_per_file, write_job_files)
 from jobtally.sources.jobview import read_job_view  # noqa: E402
 
 MONTH = "May"
@@ -51,6 +53,42 @@ def _best_of(fn, runs: int = 3) -> float:
     return round(best, 3)
 
 
+def _ladder(spark, files: str, cpus: int) -> dict:
+    """The original optimisation steps re-created with this library's
+    options, same data, warm, best of 2 (cache dropped after each run):
+    baseline per-file reads + 21 queries; + cache; + repartition; broadcast
+    join with grouped queries; wildcard scan with the tagged fused form;
+    and the pre-aggregated fused form used here."""
+    months = window_months(5)["Year"]
+    paths = list_job_files(spark, files, glob="part-*", recursive=True)
+    wide = 2 * cpus
+
+    def glob_jobs():
+        return derive_jobs(read_job_files(spark, files, months=months, layout="partitioned"))
+
+    def per_file_jobs():
+        return derive_jobs(read_job_files_per_file(spark, paths))
+
+    def run(fn):
+        try:
+            fn()
+        finally:
+            spark.catalog.clearCache()
+
+    steps = {
+        "baseline_per_file_21_queries": lambda: M.per_window_params(per_file_jobs(), 5),
+        "opt1_cached": lambda: M.per_window_params(per_file_jobs().persist(), 5),
+        "opt2_cached_repartitioned": lambda: M.per_window_params(
+            per_file_jobs().repartition(wide).persist(), 5),
+        "opt3_broadcast_grouped": lambda: window_measures(
+            spark, per_file_jobs(), 5, form="grouped", persist=True, repartition=wide).collect(),
+        "opt5_wildcard_tagged_fused": lambda: window_measures(
+            spark, glob_jobs(), 5, form="tagged", persist=True, repartition=wide).collect(),
+        "here_preaggregated_fused": lambda: window_measures(spark, glob_jobs(), 5).collect(),
+    }
+    return {name: _best_of(lambda f=fn: run(f), runs=2) for name, fn in steps.items()}
+
+
 def _report_app(spark, scratch: str, files: str, cpus: int) -> dict:
     """Run the report as its own application with the event log on, then
     measure it by analysing that log with the run-log job."""
@@ -118,6 +156,8 @@ def main() -> None:
                  "state_histogram", "runlog_metrics", "stage_merge"):
         timings[name] = _best_of(lambda n=name: _run(SPARK_QUERIES[n](spark, sf_dir)))
 
+    ladder = _ladder(spark, files, cpus)
+
     # The report as its own application (session start to stop), with the
     # event log on, analysed by the run-log job: the reference's protocol.
     try:
@@ -136,6 +176,7 @@ def main() -> None:
         "cpus": cpus,
         "session_start_sec": round(session_s, 3),
         "report_app": app,
+        "ladder": ladder,
     }))
     spark.stop()
 
