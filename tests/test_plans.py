@@ -33,3 +33,14 @@ def test_tagged_form_broadcasts_dimension(spark):
     df = M.tagged_window_metrics(jobs, period_dimension(spark, 5), window_months(5)["Year"])
     plan = _plan(df)
     assert "BroadcastHashJoin" in plan and "BuildRight" in plan
+
+
+def test_runlog_plans_stay_hash_based(spark):
+    from jobtally.operators.runlog import run_totals, stage_table
+    from jobtally.sources.eventlog import events_as_listener_lines
+
+    lines = events_as_listener_lines(spark.read.parquet(f"{SMALL}/events.parquet"))
+    totals = _plan(run_totals(lines))
+    assert "SortAggregate" not in totals and "HashAggregate" in totals
+    stages = _plan(stage_table(lines))
+    assert stages.count("Exchange") == 1 and "Join" not in stages and "Window" in stages
