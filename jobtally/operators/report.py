@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtally.functions import jobcols as J
-from jobtally.functions.calendar import TAGS, text_array
+from jobtally.functions.calendar import text_array
+from jobtally.operators.metrics import group_catalogue
 
 # Capacity constants printed in the report header.
 CAPACITY = (
@@ -98,20 +99,12 @@ def _entry(name: str, value_sql: str, num_sql: str) -> str:
             f"'value_num', CAST({num_sql} AS DOUBLE))")
 
 
-def _window_cluster_catalogue(spark: SparkSession) -> DataFrame:
-    """All 3 windows x 3 clusters (9 literal rows)."""
-    return (spark.range(0, 1, 1, 1)
-            .select(F.explode(text_array(TAGS)).alias("tag"))
-            .select("tag", F.explode(text_array(J.CLUSTERS)).alias("cluster")))
-
-
 def fill_groups(spark: SparkSession, metrics: DataFrame) -> DataFrame:
     """One row per (window, cluster), zeros where no job fell in a group.
 
     Both sides have at most 9 rows (3 windows x 3 clusters).
     """
-    joined = _window_cluster_catalogue(spark).join(
-        F.broadcast(metrics), ["tag", "cluster"], "left")
+    joined = group_catalogue(spark).join(F.broadcast(metrics), ["tag", "cluster"], "left")
     out = [F.col("tag"), F.col("cluster")]
     for _, src, kind in REPORT_MEASURES:
         if kind == "count":
@@ -152,9 +145,25 @@ def header_long(calendar: DataFrame) -> DataFrame:
     return calendar.selectExpr(f"inline(array({', '.join(entries)}))")
 
 
-def report_long(spark: SparkSession, metrics: DataFrame, calendar: DataFrame) -> DataFrame:
-    """The 70-row report: (ord, name, value, value_num)."""
-    rows = header_long(calendar).unionByName(measures_long(fill_groups(spark, metrics)))
+def hours_columns(metrics: DataFrame) -> DataFrame:
+    """Counts as they are, seconds -> hours (NULL sums count as 0)."""
+    out = [F.col("tag"), F.col("cluster")]
+    for _, src, kind in REPORT_MEASURES:
+        out.append(F.col(src) if kind == "count"
+                   else J.hours(F.col(src)).alias(src.replace("Secs", "Hours")))
+    return metrics.select(*out)
+
+
+def report_long(spark: SparkSession, metrics: DataFrame, calendar: DataFrame,
+                complete: bool = False) -> DataFrame:
+    """The 70-row report: (ord, name, value, value_num).
+
+    ``complete``: ``metrics`` already holds all 9 (window, cluster) groups
+    (``window_metrics(..., all_groups=True)``), so no zero-fill join is
+    needed; otherwise missing groups are filled with zeros here.
+    """
+    filled = hours_columns(metrics) if complete else fill_groups(spark, metrics)
+    rows = header_long(calendar).unionByName(measures_long(filled))
     order = text_array(REPORT_ORDER)
     return rows.select(F.array_position(order, F.col("name")).cast("int").alias("ord"),
                        "name", "value", "value_num")

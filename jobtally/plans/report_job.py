@@ -60,8 +60,13 @@ def monthly_report(spark: SparkSession, raw_jobs: DataFrame, month: str | None =
     """The 70-row long report (ord, name, value, value_num) for raw job rows."""
     m, y = resolve_month(month, year)
     jobs = derive_jobs(raw_jobs)
-    measures = window_measures(spark, jobs, m, form=form)
-    return report_long(spark, measures, period_calendar(spark, m, y, start))
+    calendar = period_calendar(spark, m, y, start)
+    if form == "fused":
+        # zero rows for empty groups ride along in the rollup: no fill join
+        measures = M.window_metrics(jobs, period_dimension(spark, m), window_months(m)["Year"],
+                                    all_groups=True)
+        return report_long(spark, measures, calendar, complete=True)
+    return report_long(spark, window_measures(spark, jobs, m, form=form), calendar)
 
 
 def report_from_files(spark: SparkSession, data_dir: str, month: str | None = None,
