@@ -44,3 +44,12 @@ def test_runlog_plans_stay_hash_based(spark):
     assert "SortAggregate" not in totals and "HashAggregate" in totals
     stages = _plan(stage_table(lines))
     assert stages.count("Exchange") == 1 and "Join" not in stages and "Window" in stages
+
+
+def test_report_path_has_no_fill_join(spark):
+    from jobtally.plans.report_job import monthly_report
+
+    rep = monthly_report(spark, read_job_view(spark, SMALL), "May", 2025)
+    plan = _plan(rep)
+    assert "LeftOuter" not in plan and "SortMergeJoin" not in plan
+    assert rep.count() == 70
