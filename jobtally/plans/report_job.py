@@ -106,7 +106,7 @@ def main(argv: list[str] | None = None) -> None:
     """
     import argparse
 
-    from jobtally.operators.report import write_report_table, write_report_text
+    from jobtally.operators.report import report_lines, write_report_table, write_report_text
     from jobtally.session import build_session
 
     ap = argparse.ArgumentParser(description="monthly job-accounting report")
@@ -119,6 +119,7 @@ def main(argv: list[str] | None = None) -> None:
                     help="map a file token onto a month, e.g. Ago=Aug")
     ap.add_argument("--form", default="fused", choices=FORMS)
     ap.add_argument("--out", required=True)
+    ap.add_argument("--params-file", help="also write the 70 lines to this one local file")
     ap.add_argument("--master")
     ap.add_argument("--event-log-dir")
     args = ap.parse_args(argv)
@@ -137,7 +138,11 @@ def main(argv: list[str] | None = None) -> None:
     # its executor) would mean rescanning every export.
     table = f"{args.out.rstrip('/')}/table"
     write_report_table(report, table)
-    write_report_text(spark.read.parquet(table), f"{args.out.rstrip('/')}/text")
+    stored = spark.read.parquet(table)
+    write_report_text(stored, f"{args.out.rstrip('/')}/text")
+    if args.params_file:  # the 70 rows, collected at the edge, as one file
+        with open(args.params_file, "w") as fh:
+            fh.writelines(r["line"] + "\n" for r in report_lines(stored).orderBy("ord").collect())
     spark.stop()
 
 

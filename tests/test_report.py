@@ -153,9 +153,11 @@ def test_submit_entry_point(spark, tmp_path):
     repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     subprocess.run([sys.executable, "-m", "jobtally.plans.report_job", "--files", files,
                     "--layout", "partitioned", "--month", "May", "--year", "2025",
-                    "--out", out, "--master", "local[2]"],
+                    "--out", out, "--master", "local[2]",
+                    "--params-file", str(tmp_path / "params.tex")],
                    cwd=repo, check=True, timeout=600, capture_output=True)
     lines = open(glob.glob(os.path.join(out, "text", "part-*"))[0]).read().splitlines()
     want = R.report_params(monthly_report(spark, read_job_view(spark, SMALL), "May", 2025))
     assert lines == [f"\\def\\{k}{{{v}}}" for k, v in want.items()]
+    assert open(tmp_path / "params.tex").read().splitlines() == lines
     assert spark.read.parquet(os.path.join(out, "table")).count() == 70
