@@ -41,10 +41,6 @@ def month_abbr(month_number: Column) -> Column:
     return F.element_at(text_array(MONTH_ABBR), month_number)
 
 
-def month_name(month_number: Column) -> Column:
-    return F.element_at(text_array(MONTH_NAMES), month_number)
-
-
 def month_index(month: str) -> int:
     """'Jan' -> 1 ... 'Dec' -> 12."""
     if month not in MONTH_ABBR:

@@ -16,10 +16,6 @@ IEEE doubles. Valid for |x| < 2^45.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-
 def _d(v) -> str:
     return f"CAST({v} AS DOUBLE)"
 
@@ -40,11 +36,3 @@ def round2_sql(x: str) -> str:
          f"WHEN {err} > 0 THEN {fl} + 1 WHEN {err} < 0 THEN {fl} "
          f"WHEN {fl} - 2 * floor({fl} / 2) = 0 THEN {fl} ELSE {fl} + 1 END")
     return f"({_d(k)} / {hundred})"
-
-
-def round2(x: Column | str) -> Column:
-    """Python's ``round(x, 2)`` as a Spark column (``x`` a column name or
-    SQL expression text)."""
-    if isinstance(x, Column):
-        raise TypeError("pass the SQL text of the expression")
-    return F.expr(round2_sql(x))

@@ -12,14 +12,6 @@ from pyspark.sql import functions as F
 
 from jobtally.functions import jobcols as J
 
-# Columns kept after derivation (the report reads nothing else).
-DERIVED_COLUMNS = (
-    "State", "EState", "COMPLETED", "Period", "Account", "Partition",
-    "ElapsedRaw", "NNodes", "AllocCPUS", "AllocTRES",
-    "cluster", "Agency", "VNodes", "totalJobSeconds",
-)
-
-
 def derive_jobs(raw: DataFrame, legacy_nodes: bool | str = False,
                 keep: tuple[str, ...] = ()) -> DataFrame:
     """Add outcome, cluster, agency, billing units and weighted seconds.

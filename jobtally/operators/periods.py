@@ -14,8 +14,6 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_DIMENSION_ROWS = 16
-
 
 def keep_months(jobs: DataFrame, months: Iterable[str]) -> DataFrame:
     """Filter on the wanted month tokens before anything else.
