@@ -1,0 +1 @@
+"""Column expressions: job rules, report calendar, exact rounding."""

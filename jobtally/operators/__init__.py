@@ -1,0 +1 @@
+"""DataFrame steps: derivation, window tagging, aggregates, report, run log."""

@@ -1,0 +1 @@
+"""End-to-end jobs and the registered query catalogue."""

@@ -1,0 +1 @@
+"""Structured Streaming: incremental landing of new export files."""

@@ -154,3 +154,18 @@ def test_landing_month_split_input_writes_one_file_per_month(spark, tmp_path):
         parts = [f for f in os.listdir(os.path.join(out, f"Period={m}")) if f.startswith("part-")]
         assert len(parts) == 1, (m, parts)
     assert read_landed_jobs(spark, out, ["Feb"]).count() == 4
+
+
+def test_inferred_types_with_malformed_numbers(spark, tmp_path):
+    from jobtally.operators.derive import derive_jobs
+
+    d = str(tmp_path)
+    with open(os.path.join(d, "jobs_Jan.txt"), "w") as f:
+        f.write(HEADER + "\n" + _line(1) + "\n")
+        vals = _line(2).split("|")
+        vals[JOB_COLUMNS.index("NNodes")] = "1K"
+        f.write("|".join(vals) + "\n")
+    raw = read_job_files(spark, d, infer_types=True)
+    assert dict(raw.dtypes)["NNodes"] == "string"       # '1K' keeps the column text
+    got = {r["JobID"]: r["NNodes"] for r in derive_jobs(raw, keep=("JobID",)).collect()}
+    assert got == {1: 1, 2: None} or got == {"1": 1, "2": None}
