@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtally.llm import mixing, packing
+from jobtally.llm import line_quality, mixing, packing, syncmers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,20 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_quality.judge(_table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", F.col("lq_words").alias("n_words"), F.col("lq_word_chars").alias("word_chars"),
+        F.col("lq_symbols").alias("n_symbols"), F.col("lq_dup_lines").alias("n_dup_lines"),
+        F.col("lq_repeat_words").alias("n_repeat_words"), F.col("lq_base_failed").alias("base_failed"),
+        F.col("lq_kept").alias("kept"),
+    )
+
+
+def op6_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(_table(spark, sf_dir, "documents"))
     return out.select(
@@ -34,10 +48,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_line_quality": op5_line_quality,
+    "op6_closed_syncmers": op6_closed_syncmers,
     "op8_source_mix": op8_source_mix,
     "op10_packing": op10_packing,
 }
 
 ORACLE_SQL = {
+    "op5_line_quality": line_quality.ORACLE,
     "op8_source_mix": mixing.ORACLE,
 }
