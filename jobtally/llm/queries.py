@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtally.llm import line_quality, mixing, packing, syncmers
+from jobtally.llm import chat, line_quality, mixing, packing, syncmers, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op6_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(_table(spark, sf_dir, "documents"))
     return out.select(
@@ -40,6 +44,13 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = [(-1, i, role, chat.PROBE_TEXT) for i, role in enumerate(("user", "assistant"))]
+    rows = rows.unionByName(spark.createDataFrame(probe, rows.schema))
+    return chat.digests(chat.format_conversations(rows, tokenizer_path()))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
     return pieces.select(
@@ -50,11 +61,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op5_line_quality": op5_line_quality,
     "op6_closed_syncmers": op6_closed_syncmers,
+    "op7_toxicity": op7_toxicity,
     "op8_source_mix": op8_source_mix,
+    "op9_chat_format": op9_chat_format,
     "op10_packing": op10_packing,
 }
 
 ORACLE_SQL = {
     "op5_line_quality": line_quality.ORACLE,
     "op8_source_mix": mixing.ORACLE,
+    "op9_chat_format": chat.ORACLE,
 }
