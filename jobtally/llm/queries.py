@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtally.llm import chat, line_quality, mixing, packing, syncmers, toxicity
+from jobtally.llm import chat, line_quality, mixing, packing, suffix_dedup, syncmers, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,14 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(
+        "doc_id", F.col("sd_bytes").alias("n_bytes"), F.col("sd_removed").alias("n_removed"),
+        F.size("sd_begin").cast("long").alias("n_spans"), F.col("sd_sha256").alias("kept_sha256"),
+    )
+
+
 def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_quality.judge(_table(spark, sf_dir, "documents"))
     return out.select(
@@ -59,6 +67,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op5_line_quality": op5_line_quality,
     "op6_closed_syncmers": op6_closed_syncmers,
     "op7_toxicity": op7_toxicity,
