@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,3 +52,20 @@ def block_count(spark: SparkSession, docs: DataFrame, block_bytes: int, text: st
     """How many blocks of about ``block_bytes`` of text ``docs`` makes."""
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     return max(1, -(-total // block_bytes))
+
+
+DEALT = pa.schema([("share", pa.int64()), ("block", pa.int64()), ("sent", pa.binary())])
+DEALT_DDL = "share long, block long, sent binary"
+
+
+def deal(key: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(share, its indices in order) of the elements dealt by ``key`` into ``n`` shares."""
+    share = (key % np.uint64(n)).astype(np.int64)
+    by = np.argsort(share, kind="stable")
+    for part in np.split(by, np.flatnonzero(np.diff(share[by])) + 1):
+        if len(part):
+            yield int(share[part[0]]), part
+
+
+def arrow_rows(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
+    return pa.Table.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtally.llm import chat, line_quality, mixing, packing, suffix_dedup, syncmers, toxicity
+from jobtally.llm import chat, line_quality, mixing, packing, ppm, suffix_dedup, syncmers, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(_table(spark, sf_dir, "documents"), ppm.learned_rows())
+
+
 def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_quality.judge(_table(spark, sf_dir, "documents"))
     return out.select(
@@ -68,6 +72,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op4_ppm_score": op4_ppm_score,
     "op5_line_quality": op5_line_quality,
     "op6_closed_syncmers": op6_closed_syncmers,
     "op7_toxicity": op7_toxicity,

@@ -35,15 +35,13 @@ first keeps; an empty table gives an empty result; other columns pass through
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jobtally.llm.common import block_count, text_bytes
+from jobtally.llm.common import DEALT, DEALT_DDL, arrow_rows, block_count, deal, text_bytes
 
 SPAN = 100
 K = 37
@@ -326,36 +324,19 @@ def _block(table: pa.Table) -> Block:
     return Block(table.column("doc_id").to_pylist(), list(text_bytes(table.column("text"))))
 
 
-def _shares(key: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(share, indices in order) of the elements dealt by ``key`` into ``n`` shares."""
-    share = (key % _U(n)).astype(np.int64)
-    by = np.argsort(share, kind="stable")
-    cuts = np.flatnonzero(np.diff(share[by])) + 1
-    for part in np.split(by, cuts):
-        if len(part):
-            yield int(share[part[0]]), part
-
-
 def _distinct(check: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.unique(check, return_inverse=True, return_counts=True)
 
 
-def _table(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
-    return pa.Table.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
-
-
-_DEALT = pa.schema([("share", pa.int64()), ("block", pa.int64()), ("sent", pa.binary())])
-
-
 def _ask(shares: int):
     def ask(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
         grams = _block(table).runs()[3]
         rows = []
-        for share, part in _shares(grams, shares):
+        for share, part in deal(grams, shares):
             check, _, times = _distinct((grams[part] >> _U(32)).astype(np.uint32))
             rows.append((share, block, check.tobytes() + np.minimum(times, 255).astype(np.uint8).tobytes()))
-        return _table(_DEALT, rows)
+        return arrow_rows(DEALT, rows)
 
     return ask
 
@@ -374,7 +355,7 @@ def _answer(hot: int):
         for share, block, check in zip(table.column("share"), table.column("block"), checks):
             rows.append((share.as_py(), block.as_py(), flag[at:at + len(check)].tobytes()))
             at += len(check)
-        return _table(_DEALT, rows)
+        return arrow_rows(DEALT, rows)
 
     return answer
 
@@ -385,13 +366,13 @@ def _send(shares: int, pools: int):
     def send(docs: pa.Table, flags: pa.Table) -> pa.Table:
         rows: list[tuple] = []
         if not docs.num_rows:
-            return _table(_DEALT, rows)
+            return arrow_rows(DEALT, rows)
         number = docs.column("block")[0].as_py()
         block = _block(docs)
         start, count, off, grams = block.runs()
         known = dict(zip(flags.column("share").to_pylist(), flags.column("sent").to_pylist()))
         state = np.zeros(len(start), np.uint8)
-        for share, part in _shares(grams, shares):
+        for share, part in deal(grams, shares):
             _, of, _ = _distinct((grams[part] >> _U(32)).astype(np.uint32))
             state[part] = np.frombuffer(known[share], np.uint8)[of]
         hot = np.flatnonzero(state == 2)
@@ -404,7 +385,7 @@ def _send(shares: int, pools: int):
         off = np.concatenate([off[state], off[spread] - step])
         count = np.concatenate([count[state], np.ones(len(step), np.int64)])
         if not len(start):
-            return _table(_DEALT, rows)
+            return arrow_rows(DEALT, rows)
         length = count + SPAN - 1
         whole = _mixed(Hashes(block.data).of(start, length) + (off * 256 + count).astype(_U))
         key = np.concatenate([grams[state], whole[len(state):]])
@@ -426,7 +407,7 @@ def _send(shares: int, pools: int):
         keep = np.ones(len(start), bool)
         keep[later] = False
         keep = np.flatnonzero(keep)
-        for share, part in _shares(key[keep], pools):
+        for share, part in deal(key[keep], pools):
             part = keep[part]
             head = np.zeros(len(part), _HEADER)
             head["doc"], head["row"], head["pos"] = block.ids[row[part]], row[part], pos[part]
@@ -435,7 +416,7 @@ def _send(shares: int, pools: int):
             inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             pieces = block.data[np.repeat(start[part], size) + inner]
             rows.append((share, number, len(part).to_bytes(8, "little") + head.tobytes() + pieces.tobytes()))
-        return _table(_DEALT, rows)
+        return arrow_rows(DEALT, rows)
 
     return send
 
@@ -461,7 +442,7 @@ def _meet(table: pa.Table) -> pa.Table:
             marks["row"], marks["pos"], marks["mask"] = heads["row"][at + hit], heads["pos"][at + hit], mask[at + hit]
             rows.append((block.as_py(), marks.tobytes()))
         at += n
-    return _table(pa.schema([_DEALT.field("block"), _DEALT.field("sent")]), rows)
+    return arrow_rows(pa.schema([DEALT.field("block"), DEALT.field("sent")]), rows)
 
 
 def _cut(columns: list[str], schema: pa.Schema):
@@ -505,13 +486,12 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, hot: int = H
     shares, pools = max(16, n // 16), max(16, n // 2)
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
     blocks = docs.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("long"))
-    dealt = "share long, block long, sent binary"
     asked = blocks.select("doc_id", "text", "block") if len(columns) == 2 else blocks
     flags = (
-        asked.groupBy("block").applyInArrow(_ask(shares), dealt)
-        .groupBy("share").applyInArrow(_answer(hot), dealt)
+        asked.groupBy("block").applyInArrow(_ask(shares), DEALT_DDL)
+        .groupBy("share").applyInArrow(_answer(hot), DEALT_DDL)
     )
-    pieces = blocks.groupBy("block").cogroup(flags.groupBy("block")).applyInArrow(_send(shares, pools), dealt)
+    pieces = blocks.groupBy("block").cogroup(flags.groupBy("block")).applyInArrow(_send(shares, pools), DEALT_DDL)
     marks = pieces.groupBy("share").applyInArrow(_meet, "block long, sent binary")
     out = T.StructType(docs.schema.fields + T._parse_datatype_string(
         "sd_bytes long, sd_removed long, sd_begin array<long>, sd_end array<long>, sd_kept binary, sd_sha256 string").fields)
