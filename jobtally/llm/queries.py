@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtally.llm import chat, line_quality, mixing, packing, ppm, suffix_dedup, syncmers, toxicity
+from jobtally.llm import chat, line_quality, mixing, near_dedup, packing, ppm, suffix_dedup, syncmers, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), size=3, percent=85).drop("digest")
+
+
 def op4_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score(_table(spark, sf_dir, "documents"), ppm.learned_rows())
 
@@ -72,6 +76,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op3_near_dedup": op3_near_dedup,
     "op4_ppm_score": op4_ppm_score,
     "op5_line_quality": op5_line_quality,
     "op6_closed_syncmers": op6_closed_syncmers,
