@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtally.llm import chat, line_quality, mixing, near_dedup, packing, ppm, suffix_dedup, syncmers, toxicity
+from jobtally.llm import chat, line_quality, mixing, near_dedup, packing, ppm, revisits, suffix_dedup, syncmers, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,14 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = revisits.resolve(revisits.captures(_table(spark, sf_dir, "pages")))
+    return out.select(
+        "record_id", "url", "canonical_url", F.unix_seconds("date").alias("second"), "outcome", "response_id",
+        revisits.header_lines(F.col("merged_headers")).alias("merged_headers"), F.col("response_digest").alias("payload_sha256"),
+    )
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), size=3, percent=85).drop("digest")
 
@@ -76,6 +84,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_revisits": op2_revisits,
     "op3_near_dedup": op3_near_dedup,
     "op4_ppm_score": op4_ppm_score,
     "op5_line_quality": op5_line_quality,
@@ -87,6 +96,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op2_revisits": revisits.ORACLE,
     "op5_line_quality": line_quality.ORACLE,
     "op8_source_mix": mixing.ORACLE,
     "op9_chat_format": chat.ORACLE,
