@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobtally.llm.common import text_bytes, written
@@ -275,3 +275,19 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     component = F.when(F.col("label").isNull(), F.col("doc_id")).when(F.col("label") < _NO_ID, F.col("label"))
     out = out.select("doc_id", "n_shingles", "digest", component.alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` that stand for their group, in its columns.
+
+    Of each component the document with its id stays; of rows with the same id
+    the one with the smallest text; of rows without an id one of each text.
+    """
+    names = docs.columns
+    found = near_duplicates(docs, size, percent).where(F.col("doc_id").isNotNull())
+    gone = found.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("not kept")
+    gone = gone.select(F.col("doc_id").alias("nd_gone"))
+    rest = docs.join(gone, F.col("doc_id") == F.col("nd_gone"), "left_anti")
+    same = F.when(F.col("doc_id").isNull(), F.md5(F.col("text").cast("binary")))
+    turn = F.row_number().over(Window.partitionBy("doc_id", same).orderBy("text"))
+    return rest.withColumn("nd_turn", turn).where("nd_turn = 1").select(*[F.col(f"`{n}`") for n in names])

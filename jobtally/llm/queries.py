@@ -82,6 +82,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of corpus_pipeline, which lies beside the package and imports this module."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_revisits": op2_revisits,
@@ -93,6 +100,7 @@ QUERIES = {
     "op8_source_mix": op8_source_mix,
     "op9_chat_format": op9_chat_format,
     "op10_packing": op10_packing,
+    "pipeline": pipeline,
 }
 
 ORACLE_SQL = {

@@ -445,7 +445,7 @@ def _meet(table: pa.Table) -> pa.Table:
     return arrow_rows(pa.schema([DEALT.field("block"), DEALT.field("sent")]), rows)
 
 
-def _cut(columns: list[str], schema: pa.Schema):
+def _cut(columns: list[str], schema: pa.Schema, as_text: bool):
     def cut(docs: pa.Table, marked: pa.Table) -> pa.Table:
         block = _block(docs)
         marks = np.concatenate([np.frombuffer(x.as_py(), _MARK) for x in marked.column("sent")] or [np.zeros(0, _MARK)])
@@ -466,7 +466,8 @@ def _cut(columns: list[str], schema: pa.Schema):
                 rows.append((0, [], [], text.tobytes()))
         kept = docs.take(pa.array(block.order, pa.int64())).select(columns)
         more = [
-            block.sizes, [r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows], [r[3] for r in rows],
+            block.sizes, [r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows],
+            [r[3].decode("utf-8", "ignore") if as_text else r[3] for r in rows],
             [hashlib.sha256(r[3]).hexdigest() for r in rows],
         ]
         fields = [schema.field(i) for i in range(len(columns), len(schema))]
@@ -475,9 +476,12 @@ def _cut(columns: list[str], schema: pa.Schema):
     return cut
 
 
-def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, hot: int = HOT, as_text: bool = False) -> DataFrame:
     """``docs`` (doc_id an integer, text, any others) with sd_bytes, sd_removed, sd_begin, sd_end
-    (the removed spans), sd_kept (the remaining bytes) and sd_sha256 of them."""
+    (the removed spans), sd_kept (the remaining bytes) and sd_sha256 of them.
+
+    ``as_text``: sd_kept is a string; a code point that is cut in two goes whole.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = docs.sparkSession
@@ -494,21 +498,17 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, hot: int = H
     pieces = blocks.groupBy("block").cogroup(flags.groupBy("block")).applyInArrow(_send(shares, pools), DEALT_DDL)
     marks = pieces.groupBy("share").applyInArrow(_meet, "block long, sent binary")
     out = T.StructType(docs.schema.fields + T._parse_datatype_string(
-        "sd_bytes long, sd_removed long, sd_begin array<long>, sd_end array<long>, sd_kept binary, sd_sha256 string").fields)
-    cut = _cut(columns, to_arrow_schema(out))
+        "sd_bytes long, sd_removed long, sd_begin array<long>, sd_end array<long>, "
+        f"sd_kept {'string' if as_text else 'binary'}, sd_sha256 string").fields)
+    cut = _cut(columns, to_arrow_schema(out), as_text)
     return blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(cut, out)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """``docs`` without the repeated strings, in its columns; texts of which nothing is left go.
-
-    A code point that is cut in two goes whole.
-    """
+    """``docs`` without the repeated strings, in its columns; texts of which nothing is left go."""
     names = docs.columns
-    out = remove_repeats(docs).where((F.length("sd_kept") > 0) | (F.col("sd_bytes") == 0))
-    text = F.when(F.col("sd_removed") == 0, F.col("text")).otherwise(
-        F.replace(F.decode(F.col("sd_kept"), F.lit("UTF-8")), F.lit("�"), F.lit("")))
-    out = out.withColumn("text", text)
+    out = remove_repeats(docs, as_text=True).where((F.col("sd_kept") != "") | (F.col("sd_bytes") == 0))
+    out = out.withColumn("text", F.when(F.col("sd_removed") == 0, F.col("text")).otherwise(F.col("sd_kept")))
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.coalesce(F.char_length("text"), F.lit(0)).cast("long"))
     return out.select(*[F.col(f"`{n}`") for n in names])
