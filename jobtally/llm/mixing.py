@@ -130,15 +130,16 @@ def mix(docs: DataFrame) -> DataFrame:
     piece = F.explode(F.sequence(F.lit(0), F.lit(_SPLIT - 1))).alias("mix_piece")
     found = found.select(
         F.col("source").alias("mix_source"), F.col("source_size").alias("mix_source_size"),
-        F.col("target").alias("mix_target"), F.col("passes").alias("mix_whole"), "threshold", piece,
+        F.col("target").alias("mix_target"), F.col("passes").alias("mix_whole"),
+        F.col("threshold").alias("mix_threshold"), piece,
     )
     bits = sum(LEVELS) - _SPLIT.bit_length() + 1
     joined = keyed.join(
         found,
         F.col("source").eqNullSafe(F.col("mix_source")) & (F.shiftright("mix_hash", bits) == F.col("mix_piece")),
     )
-    passes = F.col("mix_whole") + (F.col("mix_hash") < F.col("threshold")).cast("long")
-    return joined.withColumn("mix_passes", passes).drop("mix_hash", "mix_source", "mix_whole", "threshold", "mix_piece")
+    passes = F.col("mix_whole") + (F.col("mix_hash") < F.col("mix_threshold")).cast("long")
+    return joined.withColumn("mix_passes", passes).drop("mix_hash", "mix_source", "mix_whole", "mix_threshold", "mix_piece")
 
 
 def mixed(docs: DataFrame) -> DataFrame:

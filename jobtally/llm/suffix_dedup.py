@@ -330,7 +330,7 @@ def _distinct(check: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _ask(shares: int):
     def ask(table: pa.Table) -> pa.Table:
-        block = table.column("block")[0].as_py()
+        block = table.column("sd_block")[0].as_py()
         grams = _block(table).runs()[3]
         rows = []
         for share, part in deal(grams, shares):
@@ -367,7 +367,7 @@ def _send(shares: int, pools: int):
         rows: list[tuple] = []
         if not docs.num_rows:
             return arrow_rows(DEALT, rows)
-        number = docs.column("block")[0].as_py()
+        number = docs.column("sd_block")[0].as_py()
         block = _block(docs)
         start, count, off, grams = block.runs()
         known = dict(zip(flags.column("share").to_pylist(), flags.column("sent").to_pylist()))
@@ -489,19 +489,18 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, hot: int = H
     n = block_count(spark, docs, block_bytes)
     shares, pools = max(16, n // 16), max(16, n // 2)
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    blocks = docs.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("long"))
-    asked = blocks.select("doc_id", "text", "block") if len(columns) == 2 else blocks
+    blocks = docs.withColumn("sd_block", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("long"))
     flags = (
-        asked.groupBy("block").applyInArrow(_ask(shares), DEALT_DDL)
+        blocks.groupBy("sd_block").applyInArrow(_ask(shares), DEALT_DDL)
         .groupBy("share").applyInArrow(_answer(hot), DEALT_DDL)
     )
-    pieces = blocks.groupBy("block").cogroup(flags.groupBy("block")).applyInArrow(_send(shares, pools), DEALT_DDL)
+    pieces = blocks.groupBy("sd_block").cogroup(flags.groupBy("block")).applyInArrow(_send(shares, pools), DEALT_DDL)
     marks = pieces.groupBy("share").applyInArrow(_meet, "block long, sent binary")
     out = T.StructType(docs.schema.fields + T._parse_datatype_string(
         "sd_bytes long, sd_removed long, sd_begin array<long>, sd_end array<long>, "
         f"sd_kept {'string' if as_text else 'binary'}, sd_sha256 string").fields)
     cut = _cut(columns, to_arrow_schema(out), as_text)
-    return blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(cut, out)
+    return blocks.groupBy("sd_block").cogroup(marks.groupBy("block")).applyInArrow(cut, out)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
