@@ -46,11 +46,12 @@ from jobtally.llm.common import DEALT, DEALT_DDL, arrow_rows, block_count, deal,
 SPAN = 100
 K = 37
 RUN = SPAN - K + 1
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2_000_000
 HOT = 100_000
-_CHUNK = 1 << 20
-_SLICE = 16_384
+_CHUNK = 1 << 19
+_SLICE = 4096
 _LONGEST = RUN + SPAN - 1
+_PLACES = np.arange(_LONGEST, dtype=np.uint8)
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -86,10 +87,13 @@ class Hashes:
     def __init__(self, data: np.ndarray, place: np.ndarray | None = None):
         power, self.inverse = _power_tables(len(data) + 1 if place is None else _LONGEST + 1)
         self.place = place
-        terms = _LETTER[data]
-        terms *= power[:len(data)] if place is None else power[place]
         self.prefix = np.zeros(len(data) + 1, _U)
-        np.cumsum(terms, out=self.prefix[1:])
+        for low in range(0, len(data), _CHUNK):
+            part = slice(low, low + _CHUNK)
+            terms = _LETTER[data[part]]
+            terms *= power[part][:len(terms)] if place is None else power[place[part]]
+            np.cumsum(terms, out=terms)
+            np.add(terms, self.prefix[low], out=self.prefix[low + 1:low + 1 + len(terms)])
 
     def of(self, start: np.ndarray, length) -> np.ndarray:
         """Hash of ``length`` bytes from ``start``; equal strings have equal hashes."""
@@ -432,7 +436,7 @@ def _meet(table: pa.Table) -> pa.Table:
     count, off = heads["count"].astype(np.int64), heads["off"].astype(np.int64)
     length = count + SPAN - 1
     start = np.cumsum(length) - length
-    place = np.arange(len(data)) - np.repeat(start, length)
+    place = np.concatenate([_PLACES[:k] for k in length.tolist()])
     mask = resolve(data, place, start, count, off, heads["doc"], heads["row"], heads["pos"])
     rows, at = [], 0
     for block, n in zip(table.column("block"), sizes):
