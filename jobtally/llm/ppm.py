@@ -35,8 +35,8 @@ ORDER = 5
 END = 256
 SYMBOLS = 257
 END_WORD = b"\n"  # the end as a token; no word holds a line break
-BLOCK_BYTES = 8 << 20
-_DENSE = 1 << 26
+BLOCK_BYTES = 4 << 20
+_DENSE = 1 << 25
 
 _U = np.uint64
 _MIX = _U(0x9E3779B97F4A7C15)
@@ -60,7 +60,7 @@ class Block:
         place = np.ones(len(data), bool)
         for k in range(1, ORDER + 1):
             place[self.first - k] = False
-        self.place = np.flatnonzero(place)
+        self.place = np.flatnonzero(place).astype(np.int32)
         self.starts = np.concatenate([[0], np.cumsum(self.size)[:-1]])
         self._pairs(data)
         self._words(texts)
