@@ -1,5 +1,4 @@
-import hashlib
-
+import brute
 import numpy as np
 import pytest
 
@@ -8,21 +7,9 @@ from odd_rows import ODD_ROWS, rows_of
 
 
 def brute_force(rows):
-    """(id, text) to (bytes, removed, spans, digest), by a set of all strings seen."""
-    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0], (rows[i][1] or "").encode()))
-    seen, out = set(), []
-    for i in order:
-        text = (rows[i][1] or "").encode()
-        gone = bytearray(len(text))
-        for p in range(len(text) - S.SPAN + 1):
-            string = text[p:p + S.SPAN]
-            if string in seen:
-                gone[p:p + S.SPAN] = b"\1" * S.SPAN
-            seen.add(string)
-        kept = bytes(c for c, g in zip(text, gone) if not g)
-        spans = sum(1 for p in range(len(gone)) if gone[p] and not (p and gone[p - 1]))
-        out.append((rows[i][0], len(text), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
-    return sorted(out, key=repr)
+    found = brute.remove_repeats(rows)
+    sizes = [len((t or "").encode()) for _, t in brute.ordered(rows)]
+    return sorted(((i, n, gone, spans, brute.sha(kept)) for (i, kept, gone, spans), n in zip(found, sizes)), key=repr)
 
 
 def removed(docs, **more):
