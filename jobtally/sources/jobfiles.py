@@ -102,59 +102,83 @@ def read_job_files(
     return _apply_aliases(df, period_aliases)
 
 
-def write_job_files(raw: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_job_files(raw: DataFrame, path: str) -> None:
     """Write raw job rows as ``|``-delimited text with header, one folder per
     month (``Period=<Mon>/part-*.csv``), readable with
-    ``read_job_files(..., layout="partitioned")``.
+    ``read_job_files(..., layout="partitioned")``. Months that ``raw`` does
+    not hold keep what was written before.
 
     Each task writes one file per month present in its input, so input that
     is already split by month (the monthly exports) yields one file per
     task.
     """
-    (raw.write.mode(mode).partitionBy("Period")
+    (raw.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("Period")
      .option("sep", DELIMITER).option("header", True).csv(path))
 
 
-def list_job_files(spark: SparkSession, data_dir: str, glob: str = "jobs*",
-                   recursive: bool = False) -> list[str]:
-    """Paths of the export files under ``data_dir`` (a metadata listing:
-    ``binaryFile`` without its content column opens no file)."""
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", True)
-    return sorted(r["path"] for r in reader.load(data_dir).select("path").collect())
-
-
-def period_of_file(path: str, legacy_naming: bool = False) -> str:
-    """Period token of one export file: ``Period=<Mon>`` folder, else the
-    file-name rule (``jobs_(\\w+).txt`` or the older first-'_'-to-first-'.')."""
-    import re
-
-    parts = path.rstrip("/").split("/")
-    for part in reversed(parts[:-1]):
-        if part.startswith("Period="):
-            return part[len("Period="):]
-    m = re.search(LEGACY_PERIOD_PATTERN if legacy_naming else PERIOD_PATTERN, parts[-1])
-    return m.group(1) if m else ""
+def write_flat_job_files(raw: DataFrame, path: str) -> None:
+    """Write raw job rows the way the exports arrive: one ``jobs_<Mon>.txt``
+    per month, directly in ``path``.
 
-
-def read_job_files_per_file(spark: SparkSession, paths: Iterable[str],
-                            legacy_naming: bool = False) -> DataFrame:
-    """The per-file form: the files of each period are read on their own,
-    tagged with the period as a literal, and appended by name.
-
-    One branch per period (at most a dozen), each a multi-path scan of just
-    that period's files, so the plan does not grow with the file count and
-    the input read equals the single-glob scan; Catalyst drops branches whose
-    literal period fails a later month filter.
+    One file per month is what the layout asks for, so a month is one task
+    here; use :func:`write_job_files` for large data.
     """
-    by_period: dict[str, list[str]] = {}
-    for p in paths:
-        by_period.setdefault(period_of_file(p, legacy_naming), []).append(p)
-    reader = (spark.read.schema(JOB_SCHEMA).option("sep", DELIMITER)
-              .option("header", True).option("mode", "PERMISSIVE"))
-    return union_months(reader.csv(files).withColumn("Period", F.lit(period))
-                        for period, files in sorted(by_period.items()))
+    spark = raw.sparkSession
+    jvm = spark._jvm
+    folder = f"{path.rstrip('/')}/_months"
+    (raw.repartition("Period").write.mode("overwrite").partitionBy("Period")
+     .option("sep", DELIMITER).option("header", True).csv(folder))
+    # the months (about a dozen folders) are renamed, not copied
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for month in fs.listStatus(root):
+        token = month.getPath().getName().partition("=")[2]
+        for part in fs.listStatus(month.getPath()) if token else ():
+            fs.rename(part.getPath(), jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/jobs_{token}.txt"))
+    fs.delete(root, True)
+
+
+def period_tokens(spark: SparkSession, data_dir: str, glob: str = "jobs*",
+                  layout: str = "flat", legacy_naming: bool = False) -> list[str]:
+    """The distinct period tokens of the exports under ``data_dir``, sorted.
+
+    A metadata listing (``binaryFile`` without its content column opens no
+    file); the tokens are made distinct in Spark, so only the few tokens
+    reach the driver, never the paths.
+    """
+    path = F.col("path")
+    reader = spark.read.format("binaryFile")
+    if layout == "partitioned":
+        token = F.regexp_extract(path, r"/Period=([^/]*)/", 1)
+        reader = reader.option("recursiveFileLookup", True)
+    else:
+        token = F.regexp_extract(F.element_at(F.split(path, "/"), -1),
+                                 LEGACY_PERIOD_PATTERN if legacy_naming else PERIOD_PATTERN, 1)
+        reader = reader.option("pathGlobFilter", glob)
+    rows = reader.load(data_dir).select(token.alias("token")).where("token <> ''").distinct()
+    return sorted(r["token"] for r in rows.collect())
+
+
+def read_job_files_per_month(spark: SparkSession, data_dir: str,
+                             tokens: Iterable[str] | None = None, layout: str = "flat",
+                             legacy_naming: bool = False) -> DataFrame:
+    """The per-month form: each month is read on its own, tagged with the
+    period as a literal, and appended by name.
+
+    One branch per token (about a dozen), so the plan does not grow with the
+    number of files; a month filter drops the branches whose literal does not
+    match. ``tokens`` default to those found by :func:`period_tokens`; none
+    gives an empty frame.
+    """
+    if tokens is None:
+        tokens = period_tokens(spark, data_dir, layout=layout, legacy_naming=legacy_naming)
+    tokens = list(tokens)
+    if not tokens:
+        return spark.createDataFrame([], T.StructType([*JOB_SCHEMA, T.StructField("Period", T.StringType())]))
+    whole = read_job_files(spark, data_dir, legacy_naming=legacy_naming, layout=layout)
+    columns = [*JOB_COLUMNS, "Period"]
+    return union_months(
+        whole.filter(F.col("Period") == t).withColumn("Period", F.lit(t)).select(*columns) for t in tokens)
 
 
 def union_months(frames: Iterable[DataFrame]) -> DataFrame:
@@ -166,21 +190,27 @@ def union_months(frames: Iterable[DataFrame]) -> DataFrame:
     return out
 
 
-def land_jobs(raw: DataFrame, path: str, mode: str = "overwrite") -> None:
+def land_jobs(raw: DataFrame, path: str) -> None:
     """Write raw job rows as parquet partitioned by ``Period``.
 
+    Replaces the months that ``raw`` holds and no others, so landing a month
+    again after its export was rewritten, or a late month, loses nothing.
+
     No shuffle: there are at most a dozen period values, so each scan task
     writes at most that many files. Hashing rows by ``Period`` instead would
     funnel a whole month (a twelfth of the data, or more when one month is
     hot) through a single task.
     """
-    raw.write.mode(mode).partitionBy("Period").parquet(path)
+    (raw.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("Period").parquet(path))
 
 
-def read_landed_jobs(spark: SparkSession, path: str,
-                     months: Iterable[str] | None = None) -> DataFrame:
-    """Read the parquet landing; a months filter becomes partition pruning."""
-    df = spark.read.parquet(path)
-    if months is not None:
-        df = df.filter(F.col("Period").isin(list(months)))
-    return df
+def read_landed_jobs(spark: SparkSession, path: str, months: Iterable[str] | None = None,
+                     period_aliases: Mapping[str, str] | None = None) -> DataFrame:
+    """Read the parquet landing; a months filter becomes partition pruning.
+
+    ``period_aliases`` as in :func:`read_job_files`; the filter is on the
+    landed tokens, so pruning holds with aliases too.
+    """
+    df = _period_filter(spark.read.parquet(path), months, period_aliases)
+    return _apply_aliases(df, period_aliases)

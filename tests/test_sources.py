@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from helpers import SMALL
 from jobtally.sources.jobfiles import (JOB_COLUMNS, land_jobs, read_job_files, read_landed_jobs,
                                        write_job_files)
 from jobtally.sources.jobview import read_job_view
@@ -97,19 +97,21 @@ def test_partitioned_layouts(spark, tmp_path):
         raw.filter(F.col("Period").isin("Jan", "Feb")).count()
 
 
-def test_per_file_form_matches_glob_scan(spark, tmp_path):
-    from jobtally.sources.jobfiles import list_job_files, read_job_files_per_file
+def test_per_month_form_matches_glob_scan(spark, tmp_path):
+    from jobtally.sources.jobfiles import period_tokens, read_job_files_per_month
 
     d = _files(tmp_path)
-    paths = list_job_files(spark, d)                      # jobs* only: notes.txt excluded
-    assert [os.path.basename(p) for p in paths] == ["jobs_Ago.txt", "jobs_Feb.txt", "jobs_Jan.txt"]
-    per_file = read_job_files_per_file(spark, paths)
-    assert _counts(per_file) == _counts(read_job_files(spark, d))
-    legacy = read_job_files_per_file(spark, paths, legacy_naming=True)
+    assert period_tokens(spark, d) == ["Ago", "Feb", "Jan"]   # jobs* only: notes.txt excluded
+    per_month = read_job_files_per_month(spark, d)
+    assert _counts(per_month) == _counts(read_job_files(spark, d))
+    legacy = read_job_files_per_month(spark, d, legacy_naming=True)
     assert _counts(legacy) == {"Jan": 3, "Feb": 4, "Ago": 5}
     # a month filter removes whole branches before any file is read
-    jan = per_file.filter(F.col("Period") == "Jan").select("JobID")
+    jan = per_month.filter(F.col("Period") == "Jan").select("JobID")
     assert _files_scanned(jan) == 1
+    empty = tmp_path / "none"
+    empty.mkdir()
+    assert read_job_files_per_month(spark, str(empty)).count() == 0
 
 
 def test_gzip_exports(spark, tmp_path):
@@ -169,3 +171,57 @@ def test_inferred_types_with_malformed_numbers(spark, tmp_path):
     assert dict(raw.dtypes)["NNodes"] == "string"       # '1K' keeps the column text
     got = {r["JobID"]: r["NNodes"] for r in derive_jobs(raw, keep=("JobID",)).collect()}
     assert got == {1: 1, 2: None} or got == {"1": 1, "2": None}
+
+
+def test_landing_replaces_only_the_months_given(spark, tmp_path):
+    """Months landed in turn, a late old file, a month exported again."""
+    src, land = str(tmp_path / "src"), str(tmp_path / "land")
+    os.makedirs(src)
+    _write(src, "jobs_Apr.txt", 3, 0)
+    land_jobs(read_job_files(spark, src), land)
+    _write(src, "jobs_Mar.txt", 2, 100)
+    os.utime(os.path.join(src, "jobs_Mar.txt"), (1_600_000_000, 1_600_000_000))
+    land_jobs(read_job_files(spark, src, months=["Mar"]), land)
+    assert _counts(read_landed_jobs(spark, land)) == {"Apr": 3, "Mar": 2}
+    _write(src, "jobs_Apr.txt", 9, 0)
+    land_jobs(read_job_files(spark, src, months=["Apr"]), land)
+    assert _counts(read_landed_jobs(spark, land)) == {"Apr": 9, "Mar": 2}
+    other = str(tmp_path / "second")
+    land_jobs(read_job_files(spark, src), other)
+    assert _counts(read_landed_jobs(spark, other)) == {"Apr": 9, "Mar": 2}
+
+
+def test_text_exports_keep_other_months(spark, tmp_path):
+    raw = read_job_view(spark, SMALL)
+    out = str(tmp_path / "text")
+    write_job_files(raw.filter(F.col("Period") == "Jan"), out)
+    write_job_files(raw.filter(F.col("Period") == "Feb"), out)
+    counts = _counts(read_job_files(spark, out, layout="partitioned"))
+    assert set(counts) == {"Jan", "Feb"}
+
+
+def test_landed_alias_month(spark, tmp_path):
+    from jobtally.operators.report import report_params
+    from jobtally.plans.report_job import report_from_files, report_from_landing
+
+    src, land = str(tmp_path / "src"), str(tmp_path / "land")
+    os.makedirs(src)
+    for name, n in (("Jul", 2), ("Ago", 3), ("Sep", 5)):
+        _write(src, f"jobs_{name}.txt", n, 100 * n)
+    land_jobs(read_job_files(spark, src), land)
+    for aliases, year in ((None, "7"), ({"Ago": "Aug"}, "10")):
+        got = report_params(report_from_landing(spark, land, "Sep", 2025, period_aliases=aliases))
+        assert got["armJobsYear"] == year
+        assert got == report_params(report_from_files(spark, src, "Sep", 2025, period_aliases=aliases))
+    assert read_landed_jobs(spark, land, ["Aug"], {"Ago": "Aug"}).select("Period").distinct().collect()[0][0] == "Aug"
+
+
+def test_flat_exports(spark, tmp_path):
+    from jobtally.sources.jobfiles import write_flat_job_files
+
+    raw = read_job_view(spark, SMALL)
+    out = str(tmp_path / "flat")
+    write_flat_job_files(raw, out)
+    assert sorted(f for f in os.listdir(out) if not f.startswith(".")) == sorted(
+        f"jobs_{m}.txt" for m in ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"))
+    assert _counts(read_job_files(spark, out)) == _counts(raw)
