@@ -1,9 +1,11 @@
 """Run metrics from Spark event logs: one grouped aggregate per run.
 
-Input: (run_label, seq, ord, line) rows, e.g. from
+Input: (run_label, file, seq, ord, line) rows, e.g. from
 :func:`jobtally.sources.eventlog.read_event_logs`. Each line is parsed with
 ``from_json`` against the few fields read; blank lines are skipped, lines
-that do not parse are counted as parse errors. Every measure is a
+that are not one JSON object are counted as parse errors. Numbers are read as
+text and cast, so a decimal where a whole number is usual keeps its line (its
+fraction is dropped). Every measure is a
 conditional count/sum/min/max/max_by over the run's lines, so any number of
 runs costs one scan plus shuffles of small per-run partial aggregates (two:
 the distinct-executor count first combines per (run, executor)).
@@ -23,8 +25,8 @@ from pyspark.sql import types as T
 
 from jobtally.functions.numbers import round2_sql
 
-L = T.LongType()
 S = T.StringType()
+L = S  # numbers: see number()
 
 
 def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
@@ -38,7 +40,6 @@ EXECUTOR_ADDED = "SparkListenerExecutorAdded"
 STAGE_SUBMITTED = "SparkListenerStageSubmitted"
 STAGE_COMPLETED = "SparkListenerStageCompleted"
 TASK_END = "SparkListenerTaskEnd"
-CORRUPT = "_corrupt_line"
 
 EVENT_SCHEMA = _struct(
     ("Event", S),
@@ -54,7 +55,6 @@ EVENT_SCHEMA = _struct(
         ("Shuffle Read Metrics", _struct(("Remote Bytes Read", L), ("Local Bytes Read", L))),
         ("Shuffle Write Metrics", _struct(("Shuffle Bytes Written", L),)),
         ("Input Metrics", _struct(("Bytes Read", L),)))),
-    (CORRUPT, S),
 )
 
 METRICS_FILE_COLUMNS = (
@@ -62,20 +62,35 @@ METRICS_FILE_COLUMNS = (
     "total_tasks", "input_read_mb", "shuffle_write_mb", "shuffle_read_mb", "executor_gc_s",
 )
 
+METRICS_COLUMNS = METRICS_FILE_COLUMNS + (
+    "stages_completed", "stages_failed", "completed_tasks", "failed_tasks", "task_span_s",
+    "executor_run_s", "executors", "lines", "parse_errors",
+)
+
 
 def parse_lines(lines: DataFrame) -> DataFrame:
-    """Add ``ev`` (parsed struct), ``etype``, ``blank`` and ``bad`` flags."""
-    ev = F.from_json(F.col("line"), EVENT_SCHEMA,
-                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    blank = F.col("line").rlike(r"^\s*$")
-    return (lines.withColumn("ev", ev)
-            .withColumn("blank", blank)
-            .withColumn("bad", ~F.col("blank") & (F.col("ev").isNull()
-                                                  | F.col(f"ev.{CORRUPT}").isNotNull()))
+    """Add ``ev`` (parsed struct), ``etype``, ``blank`` and ``bad`` flags.
+
+    A line is read as the only element of an array: text after the object, a
+    second object or single quotes then fail as they do for a strict parser.
+    """
+    wrapped = F.from_json(F.concat(F.lit("["), F.col("line"), F.lit("]")), T.ArrayType(EVENT_SCHEMA),
+                          {"allowSingleQuotes": "false"})
+    # generated, not projected: what is filtered or selected later cannot
+    # pull a second parse of the line into its own expressions
+    ev = F.explode(F.transform(F.array(wrapped), lambda a: F.when(F.size(a) == 1, F.get(a, 0))))
+    return (lines.select("*", ev.alias("ev"))
+            .withColumn("blank", F.col("line").rlike(r"^\s*$"))
+            .withColumn("bad", ~F.col("blank") & F.col("ev").isNull())
             .withColumn("etype", F.when(F.col("blank") | F.col("bad"), F.lit(None))
                         .otherwise(F.coalesce(F.col("ev.Event"), F.lit("")))))
 
 
+def number(text: Column) -> Column:
+    """A JSON number as long; a fraction is dropped."""
+    return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+
+
 def _is(event: str) -> Column:
     return F.col("etype") == event
 
@@ -107,20 +122,20 @@ def run_totals(lines: DataFrame) -> DataFrame:
     p = parse_lines(lines)
     ev = lambda path: F.col(f"ev.{path}")
     task_end = _is(TASK_END)
-    metric = lambda path: F.sum(F.when(task_end, F.coalesce(ev(f"`Task Metrics`.{path}"), F.lit(0))))
+    metric = lambda path: F.sum(F.when(task_end, F.coalesce(number(ev(f"`Task Metrics`.{path}")), F.lit(0))))
     failure = ev("`Stage Info`.`Failure Reason`")
-    launch = ev("`Task Info`.`Launch Time`")
-    finish = ev("`Task Info`.`Finish Time`")
+    launch = number(ev("`Task Info`.`Launch Time`"))
+    finish = number(ev("`Task Info`.`Finish Time`"))
     reason = F.coalesce(ev("`Task End Reason`.Reason"), F.lit(""))
     agg = p.groupBy("run_label").agg(
         F.count(F.lit(1)).alias("lines"),
         F.count(F.when(F.col("bad"), 1)).alias("parse_errors"),
-        F.max_by(ev("Timestamp"), F.when(_is(APP_START), F.col("ord"))).alias("app_start_ms"),
-        F.max_by(ev("Timestamp"), F.when(_is(APP_END), F.col("ord"))).alias("app_end_ms"),
+        F.max_by(number(ev("Timestamp")), F.when(_is(APP_START), F.col("ord"))).alias("app_start_ms"),
+        F.max_by(number(ev("Timestamp")), F.when(_is(APP_END), F.col("ord"))).alias("app_end_ms"),
         F.count_distinct(F.when(_is(EXECUTOR_ADDED), ev("`Executor ID`"))).alias("executors"),
         F.count(F.when(_is(STAGE_SUBMITTED), 1)).alias("stages_submitted"),
         F.coalesce(F.sum(F.when(_is(STAGE_SUBMITTED),
-                                F.coalesce(ev("`Stage Info`.`Number of Tasks`"), F.lit(0)))),
+                                F.coalesce(number(ev("`Stage Info`.`Number of Tasks`")), F.lit(0)))),
                    F.lit(0)).alias("total_tasks"),
         F.count(F.when(_is(STAGE_COMPLETED) & failure.isNotNull() & (failure != ""), 1))
         .alias("stages_failed"),
@@ -177,23 +192,28 @@ def stage_table(lines: DataFrame) -> DataFrame:
     that submission (the latest such one wins); completions of never-submitted
     stages are dropped. ``attempts`` counts every submission.
 
-    Plan: the log is parsed once; only stage events are hash-partitioned by
-    (run, stage); everything after that is window functions over the rows of
-    one stage (a handful per stage), so there is one shuffle and no join.
+    Stages are told apart by log (``file``) as well as by run label, so runs
+    read under one fixed label keep their own.
+
+    Plan: only lines that name a stage event are parsed, once (a line that
+    holds the name elsewhere is dropped after parsing); they are
+    hash-partitioned by (run, file, stage); everything after that is window
+    functions over the rows of one stage (a handful per stage), so there is
+    one shuffle and no join.
     """
     si = lambda f: F.col(f"ev.`Stage Info`.`{f}`")
-    is_sub = F.col("etype") == STAGE_SUBMITTED
-    events = (parse_lines(lines)
+    stage_lines = lines.filter(F.col("line").contains("SparkListenerStage"))
+    events = (parse_lines(stage_lines)
               .filter(F.col("etype").isin(STAGE_SUBMITTED, STAGE_COMPLETED))
-              .select("run_label", si("Stage ID").alias("stage_id"), is_sub.alias("is_sub"),
+              .select("run_label", "file", (F.col("etype") == STAGE_SUBMITTED).alias("is_sub"),
                       F.struct(F.col("seq"), F.col("ord")).alias("pos"),
+                      number(si("Stage ID")).alias("stage_id"),
                       si("Stage Name").alias("stage_name"),
-                      si("Number of Tasks").alias("num_tasks"),
-                      si("Submission Time").alias("submission_time"),
-                      si("Completion Time").alias("completion_time"),
-                      si("Failure Reason").alias("failure_reason"))
-              .repartition("run_label", "stage_id"))
-    stage = Window.partitionBy("run_label", "stage_id")
+                      number(si("Number of Tasks")).alias("num_tasks"),
+                      number(si("Submission Time")).alias("submission_time"),
+                      number(si("Completion Time")).alias("completion_time"),
+                      si("Failure Reason").alias("failure_reason")))
+    stage = Window.partitionBy("run_label", "file", "stage_id")
     pos, sub = F.col("pos"), F.col("is_sub")
     with_last = (events
                  .withColumn("last_sub", F.max(F.when(sub, pos)).over(stage))
@@ -212,9 +232,24 @@ def stage_table(lines: DataFrame) -> DataFrame:
 
 def write_run_metrics(metrics: DataFrame, path: str, all_columns: bool = False) -> None:
     """Append run rows to a CSV metrics folder (each part file has a header)."""
-    out = metrics if all_columns else metrics.select(*METRICS_FILE_COLUMNS)
+    out = metrics.select(*(METRICS_COLUMNS if all_columns else METRICS_FILE_COLUMNS))
     out.write.mode("append").option("header", True).csv(path)
 
 
-def read_run_metrics(spark, path: str) -> DataFrame:
-    return spark.read.option("header", True).option("inferSchema", True).csv(path)
+# Types of the metrics columns.
+_TEXT_COLUMNS = ("run_label", "parsed_at")
+_COUNT_COLUMNS = ("stages_submitted", "total_tasks", "stages_completed", "stages_failed",
+                  "completed_tasks", "failed_tasks", "executors", "lines", "parse_errors")
+
+
+def metrics_schema(columns) -> T.StructType:
+    kind = lambda c: S if c in _TEXT_COLUMNS else T.LongType() if c in _COUNT_COLUMNS else T.DoubleType()
+    return T.StructType([T.StructField(c, kind(c)) for c in columns])
+
+
+def read_run_metrics(spark, path: str, all_columns: bool = False) -> DataFrame:
+    """The metrics folder with an explicit schema, the ten standard columns or
+    all; a part file with another header is an error, not a silent mix."""
+    columns = METRICS_COLUMNS if all_columns else METRICS_FILE_COLUMNS
+    return (spark.read.option("header", True).option("enforceSchema", False)
+            .schema(metrics_schema(columns)).csv(path))

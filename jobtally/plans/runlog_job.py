@@ -12,6 +12,12 @@ a cache, so a lost executor costs recomputation of its own partitions only.
 
 from __future__ import annotations
 
+import os
+import sys
+
+if not __package__:  # run by path, e.g. by spark-submit
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
 from pyspark.sql import DataFrame, SparkSession
 
 from jobtally.operators.runlog import run_metrics, stage_table, write_run_metrics
@@ -40,7 +46,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--master")
     args = ap.parse_args(argv)
 
-    spark = build_session(args.master) if args.master else SparkSession.builder.getOrCreate()
+    spark = build_session(args.master)
     lines = read_event_logs(spark, args.logs, label=args.label, label_from=args.label_from)
     write_run_metrics(run_metrics(lines), args.out, all_columns=args.all_columns)
     if args.stages_out:

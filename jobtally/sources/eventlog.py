@@ -1,4 +1,4 @@
-"""Spark event logs as (run_label, seq, ord, line) rows.
+"""Spark event logs as (run_label, file, seq, ord, line) rows.
 
 ``read_event_logs`` reads any number of JSON-lines event logs in one scan
 (``spark.read.text`` over a glob); each line keeps its run label (file name
@@ -19,8 +19,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Suffixes of zstd-compressed logs.
 ZSTD_SUFFIXES = (".zstd", ".zst")
-_LINES_PER_BATCH = 20000
+#: lines are handed on in batches of about this many bytes
+BATCH_BYTES = 8 << 20
 
 
 def _labels(path: Column, label: str | None, label_from: str) -> tuple[Column, Column]:
@@ -36,115 +38,91 @@ def _labels(path: Column, label: str | None, label_from: str) -> tuple[Column, C
     return run, seq
 
 
+def _plain_path(uri: Column) -> Column:
+    """The path of a file URI with its escapes decoded; ``+`` stands for itself."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
 def read_event_logs(spark: SparkSession, paths: str | list[str],
-                    label: str | None = None, label_from: str = "file",
-                    compression: str = "auto", zstd_reader: str = "auto") -> DataFrame:
-    """(run_label, seq, ord, line) for every line of the given log files.
+                    label: str | None = None, label_from: str = "file") -> DataFrame:
+    """(run_label, file, seq, ord, line) for every line of the given log files.
 
     ``label``: one fixed run label for everything read; otherwise the label
     is the file name with ``.json`` removed (``label_from="file"``) or the
-    parent folder name (``label_from="folder"``, for rolling logs).
-    ``compression``: ``"zstd"`` for zstd-compressed logs (Spark's default
-    event-log codec), ``"none"`` for plain text (gzip/bzip2 are decoded by
-    the text reader itself), ``"auto"`` picks zstd when the paths, or the
-    files listed under them, end in ``.zstd``/``.zst``.
-    ``zstd_reader``: ``"stream"`` (tasks open the files), ``"spark"`` (Spark
-    reads the bytes) or ``"auto"`` (stream where the scheme allows).
+    parent folder name (``label_from="folder"``, for rolling logs). ``file``
+    is the log the line comes from: its folder for rolling logs, else its path.
+
+    Files ending in ``.zstd`` or ``.zst`` are decoded as zstd, all others read
+    as text (gzip and bzip2 by the text reader), file by file: a folder may
+    hold both.
     """
     path_list = [paths] if isinstance(paths, str) else list(paths)
-    if compression == "auto":
-        compression = "zstd" if _has_zstd(spark, path_list) else "none"
-    if compression == "zstd":
-        return _read_zstd_logs(spark, path_list, label, label_from, zstd_reader)
-    df = spark.read.text(path_list)
-    run, seq = _labels(F.col("_metadata.file_path"), label, label_from)
+    plain = spark.read.text(path_list)
+    uri = F.col("_metadata.file_path")
     # Splits of one file are scanned in offset order, so the generated id
     # grows with the line number within a file.
-    return df.select(run.alias("run_label"), seq.alias("seq"),
-                     F.monotonically_increasing_id().alias("ord"), F.col("value").alias("line"))
-
-
-# URI schemes the task-side reader opens itself; other file systems (s3a,
-# abfs, ...) are read through Spark's binaryFile source instead.
-STREAMED_SCHEMES = ("file:", "hdfs:", "s3:", "gs:")
-
-
-def _decode_lines(path: str, raw):
-    """Yield (path, ord, line) batches from a zstd byte stream."""
-    import io
-
-    import pandas as pd
-    import zstandard
-
-    reader = zstandard.ZstdDecompressor().stream_reader(raw, read_across_frames=True)
-    text = io.TextIOWrapper(reader, encoding="utf-8", errors="replace", newline="\n")
-    ords, lines = [], []
-    for i, ln in enumerate(text):
-        ords.append(i)
-        lines.append(ln[:-1] if ln.endswith("\n") else ln)
-        if len(lines) >= _LINES_PER_BATCH:
-            yield pd.DataFrame({"path": path, "ord": ords, "line": lines})
-            ords, lines = [], []
-    if lines:
-        yield pd.DataFrame({"path": path, "ord": ords, "line": lines})
-
-
-def _has_zstd(spark: SparkSession, paths: list[str]) -> bool:
-    """Do the paths (or the files listed under them) carry a zstd suffix?
-    The listing reads file metadata only."""
-    if any(p.rstrip("*").endswith(ZSTD_SUFFIXES) for p in paths):
-        return True
-    if all(p.endswith((".json", ".gz", ".bz2", ".log", ".txt")) for p in paths):
-        return False
-    listing = spark.read.format("binaryFile").load(paths).select("path")
-    cond = F.col("path").endswith(ZSTD_SUFFIXES[0]) | F.col("path").endswith(ZSTD_SUFFIXES[1])
-    return listing.filter(cond).limit(1).count() > 0
-
-
-def _zstd_file_lines(batches):
-    """mapInPandas body: open each listed file and stream it through zstd."""
-    import pyarrow.fs as pafs
-
-    for pdf in batches:
-        for path in pdf["path"]:
-            fs, inner = pafs.FileSystem.from_uri(path)
-            with fs.open_input_stream(inner, compression=None) as raw:
-                yield from _decode_lines(path, raw)
-
-
-def _zstd_content_lines(batches):
-    """mapInPandas body: decode file contents read by Spark itself."""
-    import io
-
-    for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"]):
-            yield from _decode_lines(path, io.BytesIO(content))
-
-
-def _read_zstd_logs(spark: SparkSession, paths: list[str], label: str | None,
-                    label_from: str, reader: str = "auto") -> DataFrame:
-    """zstd logs: Spark lists and spreads the files; each task streams its
-    files (one rolling chunk, 128 MB by default, at a time) and emits lines
-    in batches, with the exact line number as ``ord``. File systems the task
-    cannot open itself are read by Spark (``binaryFile`` content, one chunk
-    per row; Arrow batches are capped by
-    ``spark.sql.execution.arrow.maxBytesPerBatch``, 64 MB by default, so a
-    batch holds one large chunk)."""
-    listing = spark.read.format("binaryFile").load(paths)
-    schema = "path string, ord long, line string"
-    streamable = all(p.startswith(STREAMED_SCHEMES) or ":" not in p.split("/")[0]
-                     for p in paths)
-    if reader == "stream" or (reader == "auto" and streamable):
-        lines = listing.select("path").repartition("path").mapInPandas(_zstd_file_lines, schema)
-    else:
-        lines = (listing.select("path", "content").repartition("path")
-                 .mapInPandas(_zstd_content_lines, schema))
+    plain = plain.filter(~_is_zstd(uri)).select(
+        _plain_path(uri).alias("path"), F.monotonically_increasing_id().alias("ord"),
+        F.col("value").alias("line"))
     run, seq = _labels(F.col("path"), label, label_from)
-    # Exact line numbers are known here, so the ordinal also carries the
-    # rolling-file sequence: seq * 2^40 + line keeps one fixed-width long
-    # that orders lines across all files of a run.
-    return lines.select(run.alias("run_label"), seq.alias("seq"),
-                        (seq * F.lit(1 << 40) + F.col("ord")).alias("ord"), "line")
+    file = F.when(F.col("seq") > 0, F.regexp_replace("path", "/[^/]*$", "")).otherwise(F.col("path"))
+    # Line numbers of zstd files are exact, so their ordinal also carries the
+    # rolling-file sequence: one fixed-width long that orders lines across
+    # all files of a run.
+    zstd = _zstd_lines(spark, path_list).withColumn("seq", seq)
+    zstd = zstd.withColumn("ord", F.col("seq") * F.lit(1 << 40) + F.col("ord"))
+    return plain.withColumn("seq", seq).unionByName(zstd).select(
+        run.alias("run_label"), file.alias("file"), "seq", "ord", "line")
+
+
+def _is_zstd(path: Column) -> Column:
+    return path.endswith(ZSTD_SUFFIXES[0]) | path.endswith(ZSTD_SUFFIXES[1])
+
+
+def _zstd_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, ord, line) of the zstd files under ``paths``.
+
+    Spark lists and reads the files (one rolling chunk, 128 MB by default,
+    per row) and its scan packs them into tasks by their bytes; the tasks
+    decode them as streams. No shuffle, which adaptive execution could merge
+    into one task because paths are small.
+    """
+    files = spark.read.format("binaryFile").load(paths).filter(_is_zstd(F.col("path")))
+    return files.select("path", "content").mapInArrow(_decoder(BATCH_BYTES), "path string, ord long, line string")
+
+
+def _decoder(batch_bytes: int):
+    # Built inside a function, so that Spark ships its code and workers need
+    # no copy of this package.
+    def decode(batches):
+        import io
+
+        import pyarrow as pa
+        import zstandard
+
+        def table(path, first, lines):
+            n = len(lines)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([path] * n, pa.string()), pa.array(range(first, first + n), pa.int64()),
+                 pa.array(lines, pa.string())], names=["path", "ord", "line"])
+
+        for batch in batches:
+            for path, content in zip(batch.column(0), batch.column(1)):
+                path = path.as_py()
+                raw = zstandard.ZstdDecompressor().stream_reader(pa.BufferReader(content.as_buffer()),
+                                                                read_across_frames=True)
+                text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline="\n")
+                first, lines, size = 0, [], 0
+                for line in text:
+                    lines.append(line[:-1] if line.endswith("\n") else line)
+                    size += len(line)
+                    if size >= batch_bytes:
+                        yield table(path, first, lines)
+                        first, lines, size = first + len(lines), [], 0
+                if lines:
+                    yield table(path, first, lines)
+
+    return decode
 
 
 def _ms(ts_col: str = "ts"):
@@ -155,11 +133,15 @@ def _ms(ts_col: str = "ts"):
 def events_as_listener_lines(events: DataFrame) -> DataFrame:
     """Map ``events`` rows onto listener-event JSON lines (one run per user).
 
-    signup -> ApplicationStart, purchase -> ApplicationEnd, view ->
-    StageSubmitted (stage k, k tasks), error -> StageCompleted (failed when
-    k is odd; every tenth k yields an unparseable line), click ->
-    TaskEnd (failed when k is a multiple of 5; run time = value seconds),
-    where k is the ``props`` field ``k``.
+    signup -> ApplicationStart, or ExecutorAdded (executor k modulo 7) when k
+    is a multiple of 3; purchase -> ApplicationEnd; view -> StageSubmitted
+    (stage k, k tasks); error -> StageCompleted (failed when k is odd), click
+    -> TaskEnd (failed when k is a multiple of 5; run time = value seconds; no
+    metrics when k is 7 modulo 10), where k is the ``props`` field ``k``.
+
+    Of the errors with k a multiple of 10 the lines are not what a log holds:
+    by k / 10 modulo 5 a stray brace, two objects, trailing text, single
+    quotes, or a blank line. The first four are no valid JSON.
     """
     k = F.get_json_object(F.col("props"), "$.k").cast("bigint")
     ts = _ms()
@@ -179,24 +161,32 @@ def events_as_listener_lines(events: DataFrame) -> DataFrame:
                  ts.alias("Completion Time"),
                  F.when(k % 2 == 1, F.concat(F.lit("failed "), k.cast("string")))
                  .otherwise(F.lit("")).alias("Failure Reason")).alias("Stage Info")))
-    broken = F.concat(F.lit("{"), completed)  # stray brace: not valid JSON
+    kind = (k / 10).cast("bigint") % 5
+    odd = (F.when(kind == 0, F.concat(F.lit("{"), completed))
+           .when(kind == 1, F.concat(completed, completed))
+           .when(kind == 2, F.concat(completed, F.lit(" trailing")))
+           .when(kind == 3, F.translate(completed, '"', "'"))
+           .otherwise(F.lit("  ")))
+    executor = F.to_json(F.struct(F.lit("SparkListenerExecutorAdded").alias("Event"),
+                                  (k % 7).cast("string").alias("Executor ID")))
     task = F.to_json(F.struct(
         F.lit("SparkListenerTaskEnd").alias("Event"),
         F.struct(F.when(k % 5 == 0, F.lit("ExceptionFailure")).otherwise(F.lit("Success"))
                  .alias("Reason")).alias("Task End Reason"),
         F.struct(ts.alias("Launch Time"), (ts + run_ms).alias("Finish Time")).alias("Task Info"),
-        F.struct(run_ms.alias("Executor Run Time"), k.alias("JVM GC Time"),
+        F.when(k % 10 != 7, F.struct(
+                 run_ms.alias("Executor Run Time"), k.alias("JVM GC Time"),
                  F.struct((k * 1000).alias("Remote Bytes Read"),
                           (k * 24).alias("Local Bytes Read")).alias("Shuffle Read Metrics"),
                  F.struct((k * 4096).alias("Shuffle Bytes Written")).alias("Shuffle Write Metrics"),
                  F.struct(F.floor(F.col("value") * 1048576).alias("Bytes Read"))
-                 .alias("Input Metrics")).alias("Task Metrics")))
+                 .alias("Input Metrics"))).alias("Task Metrics")))
     et = F.col("event_type")
-    line = (F.when(et == "signup", start).when(et == "purchase", end)
+    line = (F.when(et == "signup", F.when(k % 3 == 0, executor).otherwise(start)).when(et == "purchase", end)
             .when(et == "view", submitted)
-            .when(et == "error", F.when(k % 10 == 0, broken).otherwise(completed))
+            .when(et == "error", F.when(k % 10 == 0, odd).otherwise(completed))
             .when(et == "click", task)
             .otherwise(F.lit("")))
     return events.select(F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("run_label"),
-                         F.lit(0).cast("bigint").alias("seq"),
+                         F.lit("events").alias("file"), F.lit(0).cast("bigint").alias("seq"),
                          F.col("event_id").alias("ord"), line.alias("line"))

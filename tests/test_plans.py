@@ -1,6 +1,6 @@
 """Physical plan shape of the flagship report."""
 
-from conftest import SMALL
+from helpers import SMALL
 from jobtally.functions.calendar import period_dimension, window_months
 from jobtally.operators import metrics as M
 from jobtally.operators.derive import derive_jobs
@@ -44,6 +44,9 @@ def test_runlog_plans_stay_hash_based(spark):
     assert "SortAggregate" not in totals and "HashAggregate" in totals
     stages = _plan(stage_table(lines))
     assert stages.count("Exchange") == 1 and "Join" not in stages and "Window" in stages
+    # only stage lines are parsed, once
+    assert stages.count("from_json") == 1 and "SparkListenerStage" in stages
+    assert totals.count("from_json") == 1
 
 
 def test_report_path_has_no_fill_join(spark):
@@ -53,3 +56,27 @@ def test_report_path_has_no_fill_join(spark):
     plan = _plan(rep)
     assert "LeftOuter" not in plan and "SortMergeJoin" not in plan
     assert rep.count() == 70
+
+
+def test_grouped_form_reads_once(spark):
+    from jobtally.operators.periods import keep_months, tag_jobs
+
+    jobs = derive_jobs(read_job_view(spark, SMALL))
+    tagged = tag_jobs(keep_months(jobs, window_months(5)["Year"]), period_dimension(spark, 5))
+    plan = _plan(M.grouped_metrics(tagged))
+    assert plan.count("FileScan") == 1 and "SortMergeJoin" not in plan
+
+
+def test_session_keeps_what_is_configured(spark):
+    from jobtally.session import build_session
+
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "123")
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        again = build_session("local[2]", shuffle_partitions=8)
+        assert again.conf.get("spark.sql.shuffle.partitions") == "123"
+        assert again.conf.get("spark.sql.session.timeZone") == "America/New_York"
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
