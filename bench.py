@@ -28,7 +28,6 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from jobtally.functions.calendar import window_months  # noqa: E402
-from jobtally.operators import metrics as M  # noqa: E402
 from jobtally.operators.derive import derive_jobs  # noqa: E402
 from jobtally.operators.runlog import run_metrics  # noqa: E402
 from jobtally.sources.eventlog import read_event_logs  # noqa: E402
@@ -36,8 +35,9 @@ from jobtally.plans.catalog import SPARK_QUERIES  # noqa: E402
 from jobtally.plans.report_job import (monthly_report, report_from_landing,  # noqa: E402
                                       window_measures)
 from jobtally.session import build_session  # noqa: E402
-from jobtally.sources.jobfiles import (land_jobs, list_job_files, read_job_files,  # noqa: E402
-                                      read_job_files_per_file, write_job_files)
+from scripts.per_window import per_window_values  # noqa: E402
+from jobtally.sources.jobfiles import (land_jobs, read_job_files,  # noqa: E402
+                                      read_job_files_per_month, write_job_files)
 from jobtally.sources.jobview import read_job_view  # noqa: E402
 
 MONTH = "May"
@@ -60,14 +60,13 @@ def _ladder(spark, files: str, cpus: int) -> dict:
     join with grouped queries; wildcard scan with the tagged fused form;
     and the pre-aggregated fused form used here."""
     months = window_months(5)["Year"]
-    paths = list_job_files(spark, files, glob="part-*", recursive=True)
     wide = 2 * cpus
 
     def glob_jobs():
         return derive_jobs(read_job_files(spark, files, months=months, layout="partitioned"))
 
     def per_file_jobs():
-        return derive_jobs(read_job_files_per_file(spark, paths))
+        return derive_jobs(read_job_files_per_month(spark, files, layout="partitioned"))
 
     def run(fn):
         try:
@@ -76,9 +75,9 @@ def _ladder(spark, files: str, cpus: int) -> dict:
             spark.catalog.clearCache()
 
     steps = {
-        "baseline_per_file_21_queries": lambda: M.per_window_params(per_file_jobs(), 5),
-        "opt1_cached": lambda: M.per_window_params(per_file_jobs().persist(), 5),
-        "opt2_cached_repartitioned": lambda: M.per_window_params(
+        "baseline_per_file_21_queries": lambda: per_window_values(per_file_jobs(), 5),
+        "opt1_cached": lambda: per_window_values(per_file_jobs().persist(), 5),
+        "opt2_cached_repartitioned": lambda: per_window_values(
             per_file_jobs().repartition(wide).persist(), 5),
         "opt3_broadcast_grouped": lambda: window_measures(
             spark, per_file_jobs(), 5, form="grouped", persist=True, repartition=wide).collect(),
@@ -143,7 +142,7 @@ def main() -> None:
 
     def per_window():
         raw = read_job_files(spark, files, layout="partitioned")
-        return M.per_window_params(derive_jobs(raw), 5)
+        return per_window_values(derive_jobs(raw), 5)
 
     csv_report()  # warm-up: JIT, code generation, file listing caches
     timings = {

@@ -9,7 +9,7 @@ functions/  column expressions: outcome, cluster, agency, billed nodes,
 operators/  DataFrame -> DataFrame steps: derivation, period tagging,
             aggregates, report shaping and sinks, run-log metrics
 plans/      end-to-end jobs wiring the steps together
-streaming/  incremental landing of newly arrived job files
+llm/        operators of a training-data pipeline (optional; nothing else imports it)
 """
 
 from jobtally.session import build_session  # noqa: F401

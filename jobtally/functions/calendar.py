@@ -104,23 +104,33 @@ def period_calendar(spark: SparkSession, m: int, year: int,
     """
     if start:
         _dt.date.fromisoformat(start)  # reject malformed text early
-    smonth = f"make_date({year}, {m}, 1)"
-    emonthd = f"last_day({smonth})"
-    emonth = f"date_add({emonthd}, 1)"
-    jan1 = f"make_date({year}, 1, 1)"
-    syear = f"DATE'{start}'" if start else jan1
-    tmonth = jan1 if m <= 3 else f"add_months({smonth}, -2)"
-
-    def span(a: str, b: str) -> str:
-        return f"concat(date_format({a}, '{DATE_TEXT}'), ' - ', date_format({b}, '{DATE_TEXT}'))"
-
-    return spark.range(0, 1, 1, 1).selectExpr(
-        f"{span(smonth, emonthd)} AS reportPeriod",
-        f"{span(syear if m <= 3 else tmonth, emonthd)} AS reportPeriodTrimester",
-        f"{span(syear, emonthd)} AS reportPeriodYear",
-        f"element_at({_sql_array(MONTH_NAMES)}, {m}) AS reportMonth",
-        f"CAST({year} AS BIGINT) AS reportYear",
-        f"CAST(datediff({emonth}, {smonth}) AS BIGINT) AS ndays",
-        f"CAST(datediff({emonth}, {tmonth}) AS BIGINT) AS ndaysTrimester",
-        f"CAST(datediff({emonth}, {syear}) AS BIGINT) AS ndaysYear",
+    # one rule for the three windows: from the first day of their first month
+    # to the last day of the report month
+    windows = spark.range(0, 1, 1, 1).selectExpr(
+        "inline(array(" + ", ".join(
+            f"named_struct('tag', '{tag}', 'first', make_date({year}, {month_index(months[0])}, 1))"
+            for tag, months in window_months(m).items()) + "))")
+    last = F.last_day(F.make_date(F.lit(year), F.lit(m), F.lit(1)))
+    counted = F.col("first")
+    labelled = F.col("first")
+    if start:
+        moved = F.lit(_dt.date.fromisoformat(start))
+        at_january = F.month("first") == 1
+        counted = F.when(F.col("tag") == "Year", moved).otherwise(counted)
+        # a window that opens in January is labelled from the moved day
+        labelled = F.when((F.col("tag") == "Year") | ((F.col("tag") == "Trimester") & at_january & F.lit(m <= 3)),
+                          moved).otherwise(labelled)
+    text = F.concat(F.date_format(labelled, DATE_TEXT), F.lit(" - "), F.date_format(last, DATE_TEXT))
+    days = (F.datediff(last, counted) + 1).cast("long")
+    rows = windows.select("tag", text.alias("label"), days.alias("days"))
+
+    def of(tag: str, column: str) -> Column:
+        return F.max(F.when(F.col("tag") == tag, F.col(column)))
+
+    suffix = {tag: "" if tag == "Month" else tag for tag in TAGS}
+    return rows.agg(
+        *[of(tag, "label").alias(f"reportPeriod{suffix[tag]}") for tag in TAGS],
+        F.lit(MONTH_NAMES[m - 1]).alias("reportMonth"),
+        F.lit(year).cast("long").alias("reportYear"),
+        *[of(tag, "days").alias(f"ndays{suffix[tag]}") for tag in TAGS],
     )

@@ -2,8 +2,9 @@
 
 The report is a long table of 70 ``name -> value`` pairs: 16 header values
 (period labels, month, year, capacity constants, day counts, wall-hour
-macros) and 3 clusters x 6 measures x 3 windows. Missing (window, cluster)
-groups report 0. Numbers are rendered the way the report file has always
+macros) and 3 clusters x 6 measures x 3 windows. A (window, cluster) group
+without any job reports the integer 0 everywhere; a group whose jobs have no
+known seconds reports 0.0 hours. Numbers are rendered the way the report file has always
 shown them: integers plainly, doubles in shortest round-trip form with at
 least one decimal ("116148.0675", "5.0").
 """
@@ -125,7 +126,9 @@ def measures_long(filled: DataFrame) -> DataFrame:
     entries = []
     for stem, src, kind in REPORT_MEASURES:
         col = f"`{src}`" if kind == "count" else f"`{src.replace('Secs', 'Hours')}`"
-        text = f"CAST({col} AS STRING)" if kind == "count" else float_text_sql(col)
+        text = f"CAST({col} AS STRING)"
+        if kind == "hours":  # every job is completed or failed
+            text = f"CASE WHEN completedJobs + failedJobs = 0 THEN '0' ELSE {float_text_sql(col)} END"
         entries.append(_entry(f"concat(lower(cluster), '{stem}', {sfx})", text, col))
     return filled.selectExpr(f"inline(array({', '.join(entries)}))")
 

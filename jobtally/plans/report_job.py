@@ -12,6 +12,12 @@ the first shuffle carries at most 36 rows per scan task, the second at most
 
 from __future__ import annotations
 
+import os
+import sys
+
+if not __package__:  # run by path, e.g. by spark-submit
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,14 +38,17 @@ def window_measures(spark: SparkSession, jobs: DataFrame, m: int,
     """(tag, cluster, 6 measures) for report month ``m``.
 
     ``form``: ``fused`` (aggregate per month, then tag; flagship),
-    ``tagged`` (tag every row, then aggregate) or ``grouped`` (three grouped
-    queries over tagged rows). ``persist`` caches the tagged rows (only
-    worth it for the multi-consumer ``grouped`` form); ``repartition``
-    round-robins rows first (off by default: a full shuffle before a tiny
-    aggregate only costs).
+    ``tagged`` (tag every row, then aggregate) or ``grouped`` (aggregate by
+    all grouping columns, then derive). ``persist`` caches the tagged rows,
+    computes the measures (at most 9 rows) and releases the cache before it
+    returns; the fused form has no tagged rows to cache and rejects it.
+    ``repartition`` round-robins rows first (off by default: a full shuffle
+    before a tiny aggregate only costs).
     """
     if form not in FORMS:
         raise ValueError(f"form must be one of {FORMS}")
+    if persist and form == "fused":
+        raise ValueError("the fused form keeps no rows that could be cached")
     months = window_months(m)["Year"]
     dim = period_dimension(spark, m)
     if repartition:
@@ -47,26 +56,36 @@ def window_measures(spark: SparkSession, jobs: DataFrame, m: int,
     if form == "fused":
         return M.window_metrics(jobs, dim, months)
     tagged = tag_jobs(keep_months(jobs, months), dim)
-    if persist:
-        tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
-    if form == "tagged":
-        return M.fused_metrics(tagged)
-    return M.grouped_metrics(tagged)
+    measure = M.fused_metrics if form == "tagged" else M.grouped_metrics
+    if not persist:
+        return measure(tagged)
+    cached = tagged.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        result = measure(cached)
+        return spark.createDataFrame(result.collect(), result.schema)
+    finally:
+        cached.unpersist()
 
 
 def monthly_report(spark: SparkSession, raw_jobs: DataFrame, month: str | None = None,
                    year: int | None = None, start: str | None = None,
-                   form: str = "fused") -> DataFrame:
-    """The 70-row long report (ord, name, value, value_num) for raw job rows."""
+                   form: str = "fused", persist: bool = False,
+                   repartition: int | None = None) -> DataFrame:
+    """The 70-row long report (ord, name, value, value_num) for raw job rows.
+
+    ``persist`` and ``repartition`` as in :func:`window_measures`.
+    """
     m, y = resolve_month(month, year)
     jobs = derive_jobs(raw_jobs)
     calendar = period_calendar(spark, m, y, start)
-    if form == "fused":
+    if form == "fused" and not persist:
         # zero rows for empty groups ride along in the rollup: no fill join
+        if repartition:
+            jobs = jobs.repartition(repartition)
         measures = M.window_metrics(jobs, period_dimension(spark, m), window_months(m)["Year"],
                                     all_groups=True)
         return report_long(spark, measures, calendar, complete=True)
-    return report_long(spark, window_measures(spark, jobs, m, form=form), calendar)
+    return report_long(spark, window_measures(spark, jobs, m, form, persist, repartition), calendar)
 
 
 def report_from_files(spark: SparkSession, data_dir: str, month: str | None = None,
@@ -86,14 +105,15 @@ def report_from_files(spark: SparkSession, data_dir: str, month: str | None = No
 
 def report_from_landing(spark: SparkSession, landing_path: str, month: str | None = None,
                         year: int | None = None, start: str | None = None,
+                        period_aliases: dict[str, str] | None = None,
                         form: str = "fused") -> DataFrame:
-    """Report from the parquet landing (see :mod:`jobtally.streaming.landing`).
+    """Report from the parquet landing (:func:`jobtally.sources.jobfiles.land_jobs`).
 
     Only the Year-window ``Period=`` partitions are listed and read
     (partition pruning), with vectorised reads of the seven used columns.
     """
     m, _ = resolve_month(month, year)
-    raw = read_landed_jobs(spark, landing_path, window_months(m)["Year"])
+    raw = read_landed_jobs(spark, landing_path, window_months(m)["Year"], period_aliases)
     return monthly_report(spark, raw, month, year, start, form)
 
 
@@ -118,21 +138,21 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--alias", action="append", default=[], metavar="RAW=MONTH",
                     help="map a file token onto a month, e.g. Ago=Aug")
     ap.add_argument("--form", default="fused", choices=FORMS)
+    ap.add_argument("--persist", action="store_true", help="cache tagged rows (not with --form fused)")
+    ap.add_argument("--repartition", type=int, help="round-robin the job rows over this many tasks first")
     ap.add_argument("--out", required=True)
     ap.add_argument("--params-file", help="also write the 70 lines to this one local file")
     ap.add_argument("--master")
     ap.add_argument("--event-log-dir")
     args = ap.parse_args(argv)
 
-    if args.master:
-        spark = build_session(args.master, event_log_dir=args.event_log_dir)
-    else:
-        spark = SparkSession.builder.getOrCreate()
+    spark = build_session(args.master, event_log_dir=args.event_log_dir)
     aliases = dict(a.split("=", 1) for a in args.alias) or None
     m, _ = resolve_month(args.month, args.year)
     raw = read_job_files(spark, args.files, months=window_months(m)["Year"],
                          period_aliases=aliases, layout=args.layout)
-    report = monthly_report(spark, raw, args.month, args.year, args.start, args.form)
+    report = monthly_report(spark, raw, args.month, args.year, args.start, args.form,
+                            args.persist, args.repartition)
     # The table is written first and the text rendered from it: the second
     # sink reads 70 stored rows instead of a cached block whose loss (with
     # its executor) would mean rescanning every export.

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 _DEFAULTS = {
@@ -24,26 +25,39 @@ _DEFAULTS = {
 
 def build_session(
     master: str | None = None,
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     app_name: str = "jobtally",
     conf: dict[str, str] | None = None,
     event_log_dir: str | None = None,
 ) -> SparkSession:
-    """Local/test session: AQE on, UI off, UTC, small shuffle width.
+    """A session with AQE, UTC and no UI, where nothing else is configured.
 
+    An active session is returned as it is, but for ``conf`` (what the caller
+    asks for by name). In a new one, ``conf`` and the arguments hold, and the
+    defaults fill only keys that spark-submit or its files leave unset.
+    ``shuffle_partitions`` has no default: a cluster's own width stays.
     ``event_log_dir``: write the Spark event log there (input of the
-    run-log job).
+    run-log job); an error on a session that already runs without.
     """
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        if event_log_dir and active.sparkContext.getConf().get("spark.eventLog.enabled", "false") != "true":
+            raise ValueError("the event log must be configured before the session starts")
+        for key, value in (conf or {}).items():
+            active.conf.set(key, value)
+        ensure_checkpoint_dir(active)
+        return active
+    asked = dict(conf or {})
+    if shuffle_partitions is not None:
+        asked["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if event_log_dir:
+        asked["spark.eventLog.enabled"] = "true"
+        asked["spark.eventLog.dir"] = event_log_dir
+    submitted = SparkConf()  # what spark-submit was given, by option or by file
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = dict(_DEFAULTS)
-    settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    if event_log_dir:
-        settings["spark.eventLog.enabled"] = "true"
-        settings["spark.eventLog.dir"] = event_log_dir
-    settings.update(conf or {})
-    for key, value in settings.items():
+    for key, value in {**{k: v for k, v in _DEFAULTS.items() if not submitted.contains(k)}, **asked}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -61,7 +75,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         current = tempfile.mkdtemp(prefix="jobtally-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)

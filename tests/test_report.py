@@ -4,15 +4,17 @@ import glob
 import os
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from helpers import SMALL, spark_submit, submit_env
 from jobtally.functions.calendar import period_calendar, period_dimension, window_months
 from jobtally.operators import metrics as M
 from jobtally.operators import report as R
 from jobtally.operators.derive import derive_jobs
 from jobtally.plans.report_job import monthly_report, window_measures
 from jobtally.sources.jobview import read_job_view
+from scripts.per_window import per_window_values
 
 
 def _jobs(spark):
@@ -34,7 +36,7 @@ def test_three_forms_agree(spark):
 
 def test_per_window_queries_agree_with_fused(spark):
     jobs = _jobs(spark)
-    params = M.per_window_params(jobs, 5)
+    params = per_window_values(jobs, 5)
     report = R.report_params(monthly_report(spark, read_job_view(spark, SMALL), "May", 2025))
     for name, value in params.items():
         want = report[name]
@@ -72,11 +74,16 @@ def test_report_shape_and_order(spark):
 
 
 def test_missing_groups_report_zero(spark):
-    # only ARM jobs in May: every AMD/GPU entry is 0 / 0.0
+    # only ARM jobs in May: every AMD/GPU entry is the integer 0
     raw = read_job_view(spark, SMALL).filter(F.col("Partition").contains("arm"))
-    params = R.report_params(monthly_report(spark, raw, "May", 2025))
-    assert params["gpuJobs"] == "0" and params["amdusedhoursYear"] == "0.0"
-    assert params["armJobs"] != "0"
+    for form in ("fused", "tagged", "grouped"):
+        params = R.report_params(monthly_report(spark, raw, "May", 2025, form=form))
+        assert {v for n, v in params.items() if n[:3] in ("gpu", "amd") and not n.endswith("nodes")} == {"0"}
+        assert params["armJobs"] != "0"
+    # jobs without readable run time: hours are 0.0, the jobs are counted
+    lost = raw.withColumn("ElapsedRaw", F.lit("n/a"))
+    params = R.report_params(monthly_report(spark, lost, "May", 2025))
+    assert params["armusedhours"] == "0.0" and params["armJobs"] != "0" and params["gpuusedhours"] == "0"
 
 
 def test_hours_text_matches_python(spark):
@@ -136,14 +143,84 @@ def test_report_values_from_known_sums(spark):
     assert p["armCompletedJobs"] == "6242" and p["armFailedJobs"] == "4051"
     assert p["gpuusedhoursEuroHPC"] == "39.87555555555556" and p["gpuJobsEuroHPC"] == "52"
     assert p["armusedhoursEuroHPC"] == "3177.483333333333"
-    assert p["amdJobs"] == "0" and p["amdusedhours"] == "0.0"   # group absent -> 0
+    assert p["amdJobs"] == "0" and p["amdusedhours"] == "0"   # group absent -> 0
     assert p["armJobsYear"] == "0"                               # other windows absent
 
 
+# The published January report, every line; # marks a window suffix.
+GOLDEN_HEADER = """
+reportPeriod 01/01/2026 - 31/01/2026
+reportPeriodTrimester 01/01/2026 - 31/01/2026
+reportPeriodYear 01/01/2026 - 31/01/2026
+reportMonth January
+reportYear 2026
+armnodes 1632
+amdnodes 500
+gpunodes 132
+percentaviail 0.8
+eurohpcavail 0.35
+ndays 31
+ndaysTrimester 31
+ndaysYear 31
+monthhours {\\inteval{\\ndays * 24}}
+hoursTrimester {\\inteval{\\ndaysTrimester * 24}}
+hoursYear {\\inteval{\\ndaysYear * 24}}
+"""
+GOLDEN_MEASURES = """
+armusedhours# 116148.0675
+amdusedhours# 38297.7075
+gpuusedhours# 22844.77666666667
+gpuusedhoursEuroHPC# 39.87555555555556
+amdusedhoursEuroHPC# 1552.5777777777778
+armusedhoursEuroHPC# 3177.483333333333
+armJobs# 9135
+amdJobs# 17578
+gpuJobs# 1492
+gpuCompletedJobs# 754
+gpuFailedJobs# 1421
+armCompletedJobs# 6242
+amdCompletedJobs# 12345
+amdFailedJobs# 5446
+armFailedJobs# 4051
+gpuJobsEuroHPC# 52
+amdJobsEuroHPC# 13932
+armJobsEuroHPC# 4209
+"""
+
+
+def test_golden_report(spark):
+    """All 70 lines of the published report from its integer sums."""
+    sums = [("ARM", 6242, 4051, 418133043, 9135, 11438940, 4209),
+            ("AMD", 12345, 5446, 137871747, 17578, 5589280, 13932),
+            ("GPU", 754, 1421, 82241196, 1492, 143552, 52)]
+    metrics = spark.createDataFrame(
+        [(tag, *row) for tag in ("Month", "Trimester", "Year") for row in sums],
+        "tag string, cluster string, completedJobs long, failedJobs long, totalSecs long, "
+        "jobCount long, ehpcSecs long, ehpcJobCount long")
+    got = R.report_params(R.report_long(spark, metrics, period_calendar(spark, 1, 2026)))
+    want = dict(x.split(" ", 1) for x in GOLDEN_HEADER.strip().split("\n"))
+    for line in GOLDEN_MEASURES.strip().split("\n"):
+        name, value = line.split(" ")
+        want.update({name.replace("#", suffix): value for suffix in ("", "Trimester", "Year")})
+    assert len(want) == 70 and got == want
+    assert list(got) == list(R.REPORT_ORDER)
+
+
+def test_directives_leave_nothing_cached(spark):
+    raw = read_job_view(spark, SMALL)
+    want = R.report_params(monthly_report(spark, raw, "May", 2025))
+    for form in ("tagged", "grouped"):
+        got = R.report_params(monthly_report(spark, raw, "May", 2025, form=form, persist=True, repartition=6))
+        assert got == want
+        assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+    assert R.report_params(monthly_report(spark, raw, "May", 2025, repartition=6)) == want
+    with pytest.raises(ValueError):
+        monthly_report(spark, raw, "May", 2025, persist=True)
+
+
 def test_submit_entry_point(spark, tmp_path):
-    """The spark-submit entry point runs as its own application."""
+    """The README's spark-submit command, from another folder."""
     import subprocess
-    import sys
 
     from jobtally.sources.jobfiles import write_job_files
 
@@ -151,11 +228,10 @@ def test_submit_entry_point(spark, tmp_path):
     write_job_files(read_job_view(spark, SMALL), files)
     out = str(tmp_path / "out")
     repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    subprocess.run([sys.executable, "-m", "jobtally.plans.report_job", "--files", files,
-                    "--layout", "partitioned", "--month", "May", "--year", "2025",
-                    "--out", out, "--master", "local[2]",
-                    "--params-file", str(tmp_path / "params.tex")],
-                   cwd=repo, check=True, timeout=600, capture_output=True)
+    subprocess.run([spark_submit(), "--master", "local[2]", f"{repo}/jobtally/plans/report_job.py",
+                    "--files", files, "--layout", "partitioned", "--month", "May", "--year", "2025",
+                    "--out", out, "--params-file", str(tmp_path / "params.tex")],
+                   cwd=tmp_path, env=submit_env(), check=True, timeout=600, capture_output=True)
     lines = open(glob.glob(os.path.join(out, "text", "part-*"))[0]).read().splitlines()
     want = R.report_params(monthly_report(spark, read_job_view(spark, SMALL), "May", 2025))
     assert lines == [f"\\def\\{k}{{{v}}}" for k, v in want.items()]
