@@ -26,6 +26,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -140,7 +141,7 @@ def _ask(shares: int):
             sent.setdefault(share, [b"", b""])[0] = _pack(codes[part], counts[part])
         for share, part in deal(keys, shares):
             sent.setdefault(share, [b"", b""])[1] = _pack(keys[part], words[part])
-        rows = [(s, number, len(a).to_bytes(8, "little") + a + b) for s, (a, b) in sent.items()]
+        rows = [(s, number, _squeeze(len(a).to_bytes(8, "little") + a + b)) for s, (a, b) in sent.items()]
         return arrow_rows(DEALT, rows)
 
     return ask
@@ -158,6 +159,14 @@ def _unpack(packed: memoryview) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(steps, dtype=_U), counts
 
 
+def _squeeze(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(data)
+
+
+def _expand(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
 def _split(sent: bytes) -> tuple[memoryview, memoryview]:
     size, whole = int.from_bytes(sent[:8], "little"), memoryview(sent)
     return whole[8:8 + size], whole[8 + size:]
@@ -169,7 +178,7 @@ def _answer(blocks: int):
 
     def answer(table: pa.Table) -> pa.Table:
         share = table.column("share")[0].as_py()
-        asked = [(b, *_split(s.as_py())) for b, s in zip(table.column("block").to_pylist(), table.column("sent"))]
+        asked = [(b, *_split(_expand(s.as_py()))) for b, s in zip(table.column("block").to_pylist(), table.column("sent"))]
         pairs = [_unpack(p) for _, p, _ in asked]
         words = [_unpack(w) for _, _, w in asked]
         codes, counts = _summed(np.concatenate([c for c, _ in pairs]), np.concatenate([n for _, n in pairs]))
@@ -186,10 +195,11 @@ def _answer(blocks: int):
             held = np.repeat(start[at], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
             found = _pack(codes[held], counts[held])
             known = totals[np.searchsorted(keys, mine)]
-            rows.append((share, number, heads + len(found).to_bytes(8, "little") + found + known.tobytes()))
+            known = np.ascontiguousarray(known.view(np.uint8).reshape(-1, 8).T).tobytes()
+            rows.append((share, number, _squeeze(heads + len(found).to_bytes(8, "little") + found + known)))
         # the totals reach the blocks that hold nothing of this share, too
         others = set(range(blocks)) - {a[0] for a in asked}
-        rows += [(share, number, heads + bytes(8)) for number in others]
+        rows += [(share, number, _squeeze(heads + bytes(8))) for number in others]
         return arrow_rows(DEALT, rows)
 
     return answer
@@ -260,13 +270,14 @@ def _score(shares: int):
             return pa.table({"doc_id": docs.column("doc_id")} | {n: pa.array([], t) for n, t in _KINDS.items()})
         block = Block(list(text_bytes(docs.column("text"))))
         codes, counts, heads, known = [], [], [], {}
-        for share, sent in zip(answers.column("share").to_pylist(), (x.as_py() for x in answers.column("sent"))):
+        for share, sent in zip(answers.column("share").to_pylist(), (_expand(x.as_py()) for x in answers.column("sent"))):
             heads.append(np.frombuffer(sent, _U, 2))
             pairs, words = _split(sent[16:])
             c, n = _unpack(pairs)
             codes.append(c)
             counts.append(n)
-            known[share] = np.frombuffer(words, _U)
+            planes = np.frombuffer(words, np.uint8).reshape(8, -1)
+            known[share] = np.ascontiguousarray(planes.T).view(_U).ravel()
         tokens, kinds = (int(sum(int(h[i]) for h in heads)) for i in (0, 1))
         trie = Trie(np.concatenate(codes), np.concatenate(counts))
         logs = trie.log10(block.codes)
