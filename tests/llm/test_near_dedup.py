@@ -78,21 +78,24 @@ def test_empty_table(nothing):
 
 
 def test_sketch_keeps_linked_pairs(spark):
-    """Sketches of pairs at the limit stay inside it; of unrelated texts they do not."""
+    """Sketches of pairs at the limit stay inside it; of pairs well below they do not."""
     rng = random.Random(1)
-    signer = N.Signer(3, 4)
-    near, far = [], []
-    for n in (20, 100, 600, 4000):
-        for _ in range(15):
-            words = [f"w{rng.randrange(10**6)}" for _ in range(n)]
-            other = list(words)
-            while brute.components({0: brute.shingle_set(" ".join(words), 3), 1: brute.shingle_set(" ".join(other), 3)}, 87)[1] == 0:
-                last, at = list(other), rng.randrange(n)
-                other[at] = f"w{rng.randrange(10**6)}"
-            pair = [signer(" ".join(w).encode()) for w in (words, last)]
-            near.append((max(p[0] for p in pair), sum((a ^ b & (2**64 - 1)).bit_count() for a, b in zip(*(np.array(p[3], np.int64).view(np.uint64).tolist() for p in pair)))))
-            strange = signer(" ".join(f"v{rng.randrange(10**6)}" for _ in range(n)).encode())
-            far.append((n, sum((a ^ b).bit_count() for a, b in zip(*(np.array(p[3], np.int64).view(np.uint64).tolist() for p in (pair[0], strange))))))
-    limits = {n: spark.range(1).select(N.sketch_limit(F.lit(n), 85)).first()[0] for n in {x[0] for x in near + far}}
-    assert all(bits <= limits[n] for n, bits in near)
-    assert sum(bits > limits[n] for n, bits in far if n >= 100) == sum(1 for n, _ in far if n >= 100)
+    signer = N.Signer(1, 4)
+
+    def sketched(a, b):
+        (n, _, _, x), (m, _, _, y) = (signer(" ".join(s).encode()) for s in (a, b))
+        bits = sum((p ^ q).bit_count() for p, q in zip(*(np.array(v, np.int64).view(np.uint64).tolist() for v in (x, y))))
+        return n, m, bits
+
+    at_limit, below = [], []
+    for n in (7, 20, 100, 600, 4000, 30_000):
+        for _ in range(12):
+            words = [f"w{rng.randrange(10**9)}" for _ in range(n)]
+            # replacing r words of n leaves (n - r) / (n + r) in common
+            for rows, share in ((at_limit, 0.85), (below, 0.65)):
+                r = int(n * (1 - share) / (1 + share))
+                rows.append(sketched(words, words[r:] + [f"v{rng.randrange(10**9)}" for _ in range(r)]))
+    sizes = {x[:2] for x in at_limit + below}
+    limits = {k: spark.range(1).select(N.sketch_limit(F.lit(k[0]), F.lit(k[1]), 85)).first()[0] for k in sizes}
+    assert all(bits <= limits[n, m] for n, m, bits in at_limit)
+    assert all(bits > limits[n, m] for n, m, bits in below if n >= 100)
