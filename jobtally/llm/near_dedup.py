@@ -41,8 +41,8 @@ SHINGLE = 5
 PERCENT = 80
 ROWS = 4
 MISS = 1e-7
-SAMPLES = 512
-SKETCH_LONGS = 16
+SAMPLES = 4096
+SKETCH_LONGS = 32
 SPLIT = 16
 _NO_ID = 1 << 62
 
@@ -149,32 +149,36 @@ def signatures(docs: DataFrame, size: int, bands: int) -> DataFrame:
     return rows.mapInArrow(sign, "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>")
 
 
-def sketch_limit(n: Column, percent: int) -> Column:
-    """Set bits that the XOR of the sketches of a linked pair may have, ``n`` being the larger set.
+def sketch_limit(a: Column, b: Column, percent: int) -> Column:
+    """Set bits that the XOR of the sketches of a linked pair of sets of these sizes may have.
 
-    The union has at most ``100 n / percent`` elements; the share of its
-    occupied bins that differ is that of the sets, give or take 6 deviations;
-    each flips two bits at most, of which some meet.
+    Linked sets differ in at most ``gap`` elements, and a sample differs only
+    if its bin holds one of these; in sets larger than the bins the share of
+    differing samples is that of the sets, give or take 6 deviations. A
+    differing sample flips one bit, or two where its bin is occupied in both
+    sets; bits that are flipped twice only lower the count.
     """
-    miss = 1 - percent / 100
-    union = n * (100.0 / percent)
+    share = percent / 100
+    union = (a + b) / (1 + share)
+    gap = union * (1 - share)
     samples = SAMPLES * (1 - F.exp(-union / SAMPLES))
-    differ = samples * miss + 6 * F.sqrt(samples * (miss * (1 - miss))) + 4
+    differ = F.least(gap, samples * (1 - share) + 6 * F.sqrt(samples * (share * (1 - share))) + 4)
+    both = 1 - F.exp(-F.greatest(a, b) / SAMPLES)
+    flips = differ * (1 + both) + 6 * F.sqrt(differ * both * (1 - both))
     bits = 64 * SKETCH_LONGS
-    mean = bits / 2 * (1 - F.pow(F.lit(1 - 2 / bits), 2 * differ))
-    return mean + 6 * F.sqrt(mean / 2) + 4
+    return F.least(flips, bits / 2 * (1 - F.exp(-2 * flips / bits)) + 3 * math.sqrt(bits))
 
 
 def _xor_bits(a: Column, b: Column) -> Column:
-    counts = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    return F.aggregate(counts, F.lit(0), lambda total, c: total + c)
+    counts = [F.bit_count(F.get(a, i).bitwiseXOR(F.get(b, i))) for i in range(SKETCH_LONGS)]
+    return sum(counts[1:], counts[0])
 
 
 def _likely(a: str, b: str, percent: int) -> Column:
     """Whether size and sketch of two nodes (structs ``a`` and ``b``) allow a link."""
     n_a, n_b = F.col(f"{a}.n"), F.col(f"{b}.n")
     sizes = F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent
-    return sizes & (_xor_bits(F.col(f"{a}.sketch"), F.col(f"{b}.sketch")) <= sketch_limit(F.greatest(n_a, n_b), percent))
+    return sizes & (_xor_bits(F.col(f"{a}.sketch"), F.col(f"{b}.sketch")) <= sketch_limit(n_a, n_b, percent))
 
 
 def _with_nodes(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
