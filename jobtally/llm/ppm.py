@@ -68,23 +68,30 @@ class Block:
 
     def _pairs(self, data: np.ndarray) -> None:
         """``pair``: number of the distinct pair at each place; ``codes``: its context and symbol."""
-        alphabet = np.unique(data)
-        letter = np.zeros(SYMBOLS, np.int32)
-        letter[alphabet] = np.arange(len(alphabet))
-        dense = letter[data]
-        number = dense[self.place - ORDER]
-        count = len(alphabet)
-        for back in range(ORDER - 1, -1, -1):
-            joint = number.astype(np.int64) * len(alphabet) + dense[self.place - back]
-            size = count * len(alphabet)
-            if size <= _DENSE:
-                seen = np.zeros(size, bool)
-                seen[joint] = True
-                rank = np.cumsum(seen, dtype=np.int32) - 1
-                number, count = rank[joint], int(rank[-1]) + 1
-            else:
+        seen = np.zeros(SYMBOLS, bool)
+        seen[data] = True
+        letters = int(seen.sum())
+        dense = (np.cumsum(seen, dtype=np.int32) - 1)[data]
+
+        def numbered(joint: np.ndarray, size: int) -> tuple[np.ndarray, int]:
+            """Distinct values of ``joint`` (below ``size``) numbered from 0, and how many there are."""
+            if size > _DENSE:
                 kinds, number = np.unique(joint, return_inverse=True)
-                count = len(kinds)
+                return number, len(kinds)
+            seen = np.zeros(size, bool)
+            seen[joint] = True
+            rank = np.cumsum(seen, dtype=np.int32) - 1
+            return rank[joint], int(rank[-1]) + 1
+
+        # contexts end before each place; those that reach over a border are numbered, never used
+        stop = len(dense) - ORDER
+        number, count = dense[:stop], letters
+        for j in range(1, ORDER):
+            kind = np.int32 if count * letters <= _DENSE else np.int64
+            number, count = numbered(number.astype(kind) * kind(letters) + dense[j:stop + j], count * letters)
+        kind = np.int32 if count * letters <= _DENSE else np.int64
+        number = number[self.place - ORDER].astype(kind) * kind(letters) + dense[self.place]
+        number, count = numbered(number, count * letters)
         self.pair = number
         sample = np.zeros(count, np.int64)
         sample[number] = self.place
@@ -94,18 +101,21 @@ class Block:
         self.codes = (code << _SYM_BITS) | data[sample].astype(_U)
 
     def _words(self, texts: list[bytes]) -> None:
-        numbers: dict[bytes, int] = {END_WORD: 0}
-        of, sizes = [], []
+        found: list[bytes] = []
+        sizes = []
         for text in texts:
-            found = [*text.split(), END_WORD]
-            of += [numbers.setdefault(w, len(numbers)) for w in found]
-            sizes.append(len(found))
+            before = len(found)
+            found += text.split()
+            found.append(END_WORD)
+            sizes.append(len(found) - before)
+        numbers = {w: i for i, w in enumerate(dict.fromkeys(found, 0) | {END_WORD: 0})}
+        of = np.fromiter(map(numbers.__getitem__, found), np.int64, len(found))
         keys = np.array([xxhash.xxh3_64_intdigest(w) for w in numbers], _U)
         by = np.argsort(keys)  # the same order however the rows of the block arrive
         rank = np.empty(len(keys), np.int64)
         rank[by] = np.arange(len(keys))
         self.word_keys = keys[by]
-        self.word = rank[np.array(of, np.int64)]
+        self.word = rank[of]
         self.word_sizes = np.array(sizes, np.int64)
 
 
@@ -160,7 +170,7 @@ def _unpack(packed: memoryview) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _squeeze(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(data)
+    return zstandard.ZstdCompressor(level=1).compress(data)
 
 
 def _expand(data: bytes) -> bytes:
