@@ -6,7 +6,8 @@
    chance that a linked pair shares none at most ``MISS``. Its odd sketch folds
    further MinHash samples (the least hash of each of ``SAMPLES`` bins) into a
    bitmap by parity: the set bits of the XOR of two sketches estimate how many
-   samples differ, and a pair far beyond the limit is no candidate.
+   samples differ, and a pair beyond the limit is no candidate. (Bitmaps of
+   sets beyond some 9,000 shingles fill up and then exclude nothing.)
 3. In each band bucket every node is paired with the smallest one only. The
    pairs that pass size and sketch are verified on the full sets.
 4. Verified links make components (alternating stars). In a bucket whose nodes
@@ -41,7 +42,7 @@ SHINGLE = 5
 PERCENT = 80
 ROWS = 4
 MISS = 1e-7
-SAMPLES = 4096
+SAMPLES = 1 << 14
 SKETCH_LONGS = 32
 SPLIT = 16
 _NO_ID = 1 << 62
@@ -121,10 +122,9 @@ class Signer:
             key = _mixed(key * _U(0x9E3779B97F4A7C15) + least[r::ROWS])
         # odd sketch: the least hash of each occupied bin flips one bit
         other = _mixed(h + _U(0x2545F4914F6CDD1D))
-        bins = (other % _U(SAMPLES)).astype(np.int64)
-        sample = np.full(SAMPLES, ~_U(0))
-        np.minimum.at(sample, bins, other)
-        sample = sample[np.unique(bins)]
+        other = np.sort((other % _U(SAMPLES) << _U(48)) | (other >> _U(16)))
+        bins = other >> _U(48)
+        sample = other[np.concatenate([[True], bins[1:] != bins[:-1]])]
         bit = (_mixed(sample) % _U(64 * SKETCH_LONGS)).astype(np.int64)
         odd = np.bincount(bit, minlength=64 * SKETCH_LONGS) & 1
         sketch = np.packbits(odd.astype(np.uint8)).view(np.int64)
