@@ -120,15 +120,18 @@ class Signer:
         key = np.arange(self.bands, dtype=_U)
         for r in range(ROWS):
             key = _mixed(key * _U(0x9E3779B97F4A7C15) + least[r::ROWS])
-        # odd sketch: the least hash of each occupied bin flips one bit
+        return len(h), xxhash.xxh3_128_digest(h.tobytes()), key.view(np.int64).tolist(), self.sketch(h).tolist()
+
+    @staticmethod
+    def sketch(h: np.ndarray) -> np.ndarray:
+        """Odd sketch of a set of hashes: the least hash of each occupied bin flips one bit."""
         other = _mixed(h + _U(0x2545F4914F6CDD1D))
         other = np.sort((other % _U(SAMPLES) << _U(48)) | (other >> _U(16)))
         bins = other >> _U(48)
         sample = other[np.concatenate([[True], bins[1:] != bins[:-1]])]
         bit = (_mixed(sample) % _U(64 * SKETCH_LONGS)).astype(np.int64)
         odd = np.bincount(bit, minlength=64 * SKETCH_LONGS) & 1
-        sketch = np.packbits(odd.astype(np.uint8)).view(np.int64)
-        return len(h), xxhash.xxh3_128_digest(h.tobytes()), key.view(np.int64).tolist(), sketch.tolist()
+        return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def signatures(docs: DataFrame, size: int, bands: int) -> DataFrame:
@@ -149,6 +152,18 @@ def signatures(docs: DataFrame, size: int, bands: int) -> DataFrame:
     return rows.mapInArrow(sign, "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>")
 
 
+def _most(mean: Column) -> Column:
+    """A count that a sum of rare events with this mean exceeds with a chance of at most ``MISS``.
+
+    Chernoff's bound for Poisson counts, which holds for small means too: the
+    k with k ln(k / mean) - k + mean = -ln(MISS). Bernstein's bound lies above
+    it, and a step of Newton's from there comes nearer without passing it.
+    """
+    need = -math.log(MISS)
+    most = mean + need / 3 + F.sqrt(need * need / 9 + 2 * need * mean)
+    return (most - mean + need) / F.log(most / mean)
+
+
 def sketch_limit(a: Column, b: Column, percent: int) -> Column:
     """Set bits that the XOR of the sketches of a linked pair of sets of these sizes may have.
 
@@ -156,15 +171,18 @@ def sketch_limit(a: Column, b: Column, percent: int) -> Column:
     if its bin holds one of these; in sets larger than the bins the share of
     differing samples is that of the sets, give or take 6 deviations. A
     differing sample flips one bit, or two where its bin is occupied in both
-    sets; bits that are flipped twice only lower the count.
+    sets: rare in small sets, so their number is bounded by ``_most``, and by
+    the differing samples. Bits that are flipped twice only lower the count.
     """
     share = percent / 100
-    union = (a + b) / (1 + share)
-    gap = union * (1 - share)
+    union = (a + b) * 100 / (100 + percent)
+    gap = (a + b) * (100 - percent) / (100 + percent)  # exact where it is a whole number
     samples = SAMPLES * (1 - F.exp(-union / SAMPLES))
     differ = F.least(gap, samples * (1 - share) + 6 * F.sqrt(samples * (share * (1 - share))) + 4)
-    both = 1 - F.exp(-F.greatest(a, b) / SAMPLES)
-    flips = differ * (1 + both) + 6 * F.sqrt(differ * both * (1 - both))
+    # at least the chance that the other set has the bin; without exp, as it is computed for each pair
+    both = F.least(F.lit(1.0), F.greatest(a, b) * -math.log1p(-1 / SAMPLES))
+    # at 100 percent nothing differs: the mean stays above 0 for the logarithm
+    flips = differ + F.least(differ, _most(F.greatest(gap * both, F.lit(1e-9))))
     bits = 64 * SKETCH_LONGS
     return F.least(flips, bits / 2 * (1 - F.exp(-2 * flips / bits)) + 3 * math.sqrt(bits))
 

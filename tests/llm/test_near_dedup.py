@@ -99,3 +99,24 @@ def test_sketch_keeps_linked_pairs(spark):
     limits = {k: spark.range(1).select(N.sketch_limit(F.lit(k[0]), F.lit(k[1]), 85)).first()[0] for k in sizes}
     assert all(bits <= limits[n, m] for n, m, bits in at_limit)
     assert all(bits > limits[n, m] for n, m, bits in below if 100 <= n <= 4000)  # sketches of larger sets fill up
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_sketch_keeps_small_sets_at_the_limit(spark, percent):
+    """Tens of thousands of pairs exactly at the limit, where few samples flip two bits."""
+    rng, rows = np.random.default_rng(5), []
+    for union in (20, 40, 60, 80, 100, 120):
+        gap = union * (100 - percent) // 100
+        assert gap * 100 == union * (100 - percent)
+        for _ in range(12_000):
+            h = rng.integers(0, 1 << 63, union).astype(np.uint64)
+            own = rng.integers(0, gap + 1)  # elements of the first set alone, then of the second alone
+            a, b = np.concatenate([h[:own], h[gap:]]), h[own:]
+            if min(len(a), len(b)) * 100 >= max(len(a), len(b)) * percent:
+                bits = int(np.bitwise_count((N.Signer.sketch(a) ^ N.Signer.sketch(b)).view(np.uint64)).sum())
+                rows.append((len(a), len(b), bits))
+    assert len(rows) > 50_000
+    sizes = spark.createDataFrame(sorted({r[:2] for r in rows}), "a long, b long")
+    limits = {(r.a, r.b): r.most for r in sizes.select("a", "b", N.sketch_limit(F.col("a"), F.col("b"), percent).alias("most")).collect()}
+    lost = [r for r in rows if r[2] > limits[r[:2]]]
+    assert not lost, f"{len(lost)} of {len(rows)}"
