@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,10 @@ from jobtally.llm.common import written
 WINDOW = 1024
 END_ID = 0
 
+#: tiktoken's pattern engine keeps one entry a character of a run of white space, and panics near 1,000,000
+_LONG_RUN = 100_000
+_BLANKS = re.compile(rf"(?<!\s)\s{{{_LONG_RUN}}}")
+
 _TOKENS = "part int, in_part long, doc_id {id}, doc_tokens long, ids binary"
 
 
@@ -37,7 +42,8 @@ def _encoders(tokenizer_path: str):
 
     The plain encoder reads the same vocabulary and merges (by rank) through
     tiktoken, which gives the same ids faster; texts that hold a special
-    string of the tokenizer go to the tokenizer itself.
+    string of the tokenizer or a very long run of white space go to the
+    tokenizer itself.
     """
     import json
 
@@ -65,7 +71,7 @@ def _encoders(tokenizer_path: str):
 def encode(text: str, tokenizer_path: str) -> list[int]:
     """Ids of ``text`` as the tokenizer file gives them, without added special tokens."""
     fast, full, special = _encoders(tokenizer_path)
-    if any(s in text for s in special):
+    if any(s in text for s in special) or (len(text) >= _LONG_RUN and _BLANKS.search(text)):
         return full.encode(text, add_special_tokens=False).ids
     return fast.encode_ordinary(text)
 

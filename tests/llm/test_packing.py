@@ -62,6 +62,17 @@ def test_special_string_and_scripts(tokenizer):
         assert P.encode(text, tokenizer_path()) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("blank", [" ", "\n", "\u3000"])
+def test_very_long_white_space(tokenizer, blank):
+    for text in ("a " + blank * 1_000_000 + "word", blank * 1_000_000, ("b" + blank * 99_999) * 3):
+        assert P.encode(text, tokenizer_path()) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_padded_document_is_packed(spark, tokenizer):
+    rows = [(1, "before"), (2, "padded" + " " * 1_000_000 + "document"), (3, "after")]
+    check(rows, P.pack(spark.createDataFrame(rows, "doc_id long, text string"), tokenizer_path()).collect(), tokenizer, P.WINDOW)
+
+
 def test_sequences_join_pieces(small):
     pieces = P.pack(small.limit(30), tokenizer_path(), 100).cache()
     whole = P.sequences(pieces).collect()
