@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtally.llm import chat, line_quality, mixing, near_dedup, packing, ppm, revisits, suffix_dedup, syncmers, toxicity
+from jobtally.llm import chat, gray_index, line_quality, mixing, near_dedup, packing, ppm, revisits, suffix_dedup, syncmers, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +82,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = gray_index.near_duplicates(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", gray_index.code_text(F.col("code")).alias("fingerprint"), "component_id")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of corpus_pipeline, which lies beside the package and imports this module."""
     import corpus_pipeline
@@ -100,6 +105,7 @@ QUERIES = {
     "op8_source_mix": op8_source_mix,
     "op9_chat_format": op9_chat_format,
     "op10_packing": op10_packing,
+    "op13_simhash": op13_simhash,
     "pipeline": pipeline,
 }
 
