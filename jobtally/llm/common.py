@@ -69,3 +69,11 @@ def deal(key: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
 
 def arrow_rows(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
     return pa.Table.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL for the unsigned crc32 of an ASCII text."""
+    step = "lambda x, y: xor(x >> 1, 3988292384 * (x & 1))"
+    byte = f"lambda a, b: list_reduce(list_prepend(xor(a, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])), {step})"
+    codes = f"list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    return f"xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), {byte}))"

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtally.llm import chat, gray_index, line_quality, mixing, near_dedup, packing, ppm, revisits, suffix_dedup, syncmers, toxicity
+from jobtally.llm import (
+    chat, gray_index, line_quality, mixing, near_dedup, packing, ppm, prefix_trie, revisits, suffix_dedup, syncmers, toxicity)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +83,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = gray_index.near_duplicates(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", gray_index.code_text(F.col("code")).alias("fingerprint"), "component_id")
@@ -105,6 +110,7 @@ QUERIES = {
     "op8_source_mix": op8_source_mix,
     "op9_chat_format": op9_chat_format,
     "op10_packing": op10_packing,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_simhash": op13_simhash,
     "pipeline": pipeline,
 }
@@ -114,4 +120,5 @@ ORACLE_SQL = {
     "op5_line_quality": line_quality.ORACLE,
     "op8_source_mix": mixing.ORACLE,
     "op9_chat_format": chat.ORACLE,
+    "op12_prefix_trie": prefix_trie.ORACLE,
 }

@@ -19,6 +19,8 @@ COLUMNS = {
     "op8_source_mix": "doc_id size source_size target taken",
     "op9_chat_format": "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
     "op10_packing": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
+    "op12_prefix_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
+    "op13_simhash": "doc_id fingerprint component_id",
 }
 
 
@@ -38,7 +40,7 @@ def _cells(rows, columns):
 
 def test_all_are_registered():
     assert set(QUERIES) <= set(queries()) and set(ORACLE_SQL) <= set(oracle_sql())
-    assert {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")} == set(range(1, 14))
     assert "pipeline" in QUERIES
 
 
