@@ -37,6 +37,20 @@ def crc_of_id(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
 
 
+def content_digest(role: Column, text: Column) -> Column:
+    """16 bytes that tell turns apart by their role and text."""
+    whole = F.concat(F.octet_length(role).cast("string"), F.lit(":"), role, text)
+    return F.substring(F.unhex(F.sha2(whole, 256)), 1, 16)
+
+
+def missing_id(rows: DataFrame, name: str) -> int | None:
+    """A number that stands for the missing id, above all others; None if no id is missing."""
+    most, least, missing = rows.agg(F.max(name), F.min(name), F.count_if(F.col(name).isNull())).first()
+    if not missing:
+        return None
+    return 0 if most is None else most + 1 if most < (1 << 63) - 1 else least - 1
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once, also when a lambda inside uses it."""
     return F.transform(F.array(value), body)[0]

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobtally.llm.common import crc32_sql, written
+from jobtally.llm.common import content_digest, crc32_sql, missing_id, written
 
 #: larger components are split by Spark
 LOCAL = 1 << 16
@@ -47,25 +47,12 @@ HEADS = 5
 PIECE = 1 << 14
 
 
-def _digest(role: Column, text: Column) -> Column:
-    whole = F.concat(F.octet_length(role).cast("string"), F.lit(":"), role, text)
-    return F.substring(F.unhex(F.sha2(whole, 256)), 1, 16)
-
-
-def _null_id(ids: DataFrame) -> int | None:
-    """A number that stands for the missing id, above all others; None if no id is missing."""
-    most, least, missing = ids.agg(F.max("conv_id"), F.min("conv_id"), F.count_if(F.col("conv_id").isNull())).first()
-    if not missing:
-        return None
-    return 0 if most is None else most + 1 if most < (1 << 63) - 1 else least - 1
-
-
 def turns(conversations: DataFrame, null_id: int | None) -> DataFrame:
     """conv, turn, what (digest of role and text), chars of every row."""
     role, text = (F.coalesce(c, F.lit("")) for c in ("role", "text"))
     return conversations.select(
         F.coalesce(F.col("conv_id").cast("long"), F.lit(null_id).cast("long")).alias("conv"), F.col("turn").cast("long").alias("turn"),
-        _digest(role, text).alias("what"), F.length(text).cast("long").alias("chars"))
+        content_digest(role, text).alias("what"), F.length(text).cast("long").alias("chars"))
 
 
 def _id_text(conv: Column, null_id: int | None) -> Column:
@@ -313,7 +300,7 @@ def _ends(rows: list[tuple]) -> pa.RecordBatch:
 
 def prefix_trie(conversations: DataFrame, local: int = LOCAL) -> DataFrame:
     """One row per node: conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256."""
-    null_id = _null_id(conversations.select("conv_id"))
+    null_id = missing_id(conversations, "conv_id")
     along = written(paths(with_shared_heads(turns(conversations, null_id), null_id)), "paths")
     name = ["x", "y", "depth"]
     weight = F.sum(F.col("length") - F.col("depth") + 1)
@@ -329,7 +316,7 @@ def prefix_trie(conversations: DataFrame, local: int = LOCAL) -> DataFrame:
     zero = F.lit(0).cast("long")
     state = nodes.select("c", "depth", "pc", F.lit(root).cast("long").alias("tc"), zero.alias("td"), "w",
                          (F.col("n_children") == 0).cast("long").alias("leaf"), ((F.col("n_convs") - 1) * F.col("chars")).alias("own"))
-    state = state.withColumn("pc", F.coalesce("pc", "c"))
+    state = written(state.withColumn("pc", F.coalesce("pc", "c")), "state")
     sums = subtree_sums(state, placed.where("prep != conv").select("conv", "depth", "rep", "prep"), local)
     ends = joined_ids(placed.where("depth = length").select(F.col("rep").alias("c"), "depth", "conv"), null_id)
     out = nodes.join(sums, ["c", "depth"]).join(ends, ["c", "depth"], "left")

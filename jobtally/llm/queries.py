@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtally.llm import (
-    chat, gray_index, line_quality, mixing, near_dedup, packing, ppm, prefix_trie, revisits, suffix_dedup, syncmers, toxicity)
+    chat, conversation_repair, gray_index, line_quality, mixing, near_dedup, packing, ppm, prefix_trie, revisits, suffix_dedup, syncmers,
+    toxicity)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,6 +84,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damaged(_table(spark, sf_dir, "conversations")))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
 
@@ -110,6 +115,7 @@ QUERIES = {
     "op8_source_mix": op8_source_mix,
     "op9_chat_format": op9_chat_format,
     "op10_packing": op10_packing,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_simhash": op13_simhash,
     "pipeline": pipeline,
@@ -120,5 +126,6 @@ ORACLE_SQL = {
     "op5_line_quality": line_quality.ORACLE,
     "op8_source_mix": mixing.ORACLE,
     "op9_chat_format": chat.ORACLE,
+    "op11_conversation_repair": conversation_repair.ORACLE,
     "op12_prefix_trie": prefix_trie.ORACLE,
 }

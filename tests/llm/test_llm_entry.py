@@ -19,6 +19,7 @@ COLUMNS = {
     "op8_source_mix": "doc_id size source_size target taken",
     "op9_chat_format": "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
     "op10_packing": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
+    "op11_conversation_repair": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
     "op12_prefix_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
     "op13_simhash": "doc_id fingerprint component_id",
 }
