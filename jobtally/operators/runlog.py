@@ -1,14 +1,13 @@
 """Run metrics from Spark event logs: one grouped aggregate per run.
 
-Input: (run_label, file, seq, ord, line) rows, e.g. from
-:func:`jobtally.sources.eventlog.read_event_logs`. Each line is parsed with
-``from_json`` against the few fields read; blank lines are skipped, lines
-that are not one JSON object are counted as parse errors. Numbers are read as
-text and cast, so a decimal where a whole number is usual keeps its line (its
-fraction is dropped). Every measure is a
+Input: (run_label, file, seq, block, ord, line) rows, e.g. from
+:func:`jobtally.sources.eventlog.read_event_logs`. A line is parsed once and
+strictly. Blank lines are skipped, lines
+that are not one JSON object are counted as parse errors. A decimal where a
+whole number is usual keeps its line (its fraction is dropped). Every measure is a
 conditional count/sum/min/max/max_by over the run's lines, so any number of
-runs costs one scan plus shuffles of small per-run partial aggregates (two:
-the distinct-executor count first combines per (run, executor)).
+runs costs one scan plus shuffles of small partial aggregates (per block of a
+file, then per run).
 
 Output columns (first ten as in the metrics file): run_label, parsed_at,
 app_duration_s, driver_time_s, stages_submitted, total_tasks,
@@ -19,18 +18,13 @@ task_span_s, executor_run_s, executors, lines, parse_errors.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobtally.functions.numbers import round2_sql
 
 S = T.StringType()
-L = S  # numbers: see number()
-
-
-def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
-    return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
 # Listener event names and the fields read from each line.
@@ -41,20 +35,19 @@ STAGE_SUBMITTED = "SparkListenerStageSubmitted"
 STAGE_COMPLETED = "SparkListenerStageCompleted"
 TASK_END = "SparkListenerTaskEnd"
 
+
+def _struct(*fields) -> T.StructType:
+    return T.StructType([T.StructField(f, S) if isinstance(f, str) else T.StructField(f[0], _struct(*f[1])) for f in fields])
+
+
+# numbers are read as text, see number()
 EVENT_SCHEMA = _struct(
-    ("Event", S),
-    ("Timestamp", L),
-    ("Executor ID", S),
-    ("Stage Info", _struct(("Stage ID", L), ("Stage Attempt ID", L), ("Stage Name", S),
-                           ("Number of Tasks", L), ("Submission Time", L),
-                           ("Completion Time", L), ("Failure Reason", S))),
-    ("Task Info", _struct(("Launch Time", L), ("Finish Time", L))),
-    ("Task End Reason", _struct(("Reason", S))),
-    ("Task Metrics", _struct(
-        ("Executor Run Time", L), ("JVM GC Time", L),
-        ("Shuffle Read Metrics", _struct(("Remote Bytes Read", L), ("Local Bytes Read", L))),
-        ("Shuffle Write Metrics", _struct(("Shuffle Bytes Written", L),)),
-        ("Input Metrics", _struct(("Bytes Read", L),)))),
+    "Event", "Timestamp", "Executor ID",
+    ("Stage Info", ("Stage ID", "Stage Name", "Number of Tasks", "Submission Time", "Completion Time", "Failure Reason")),
+    ("Task Info", ("Launch Time", "Finish Time")),
+    ("Task End Reason", ("Reason",)),
+    ("Task Metrics", ("Executor Run Time", "JVM GC Time", ("Shuffle Read Metrics", ("Remote Bytes Read", "Local Bytes Read")),
+                      ("Shuffle Write Metrics", ("Shuffle Bytes Written",)), ("Input Metrics", ("Bytes Read",)))),
 )
 
 METRICS_FILE_COLUMNS = (
@@ -73,6 +66,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
 
     A line is read as the only element of an array: text after the object, a
     second object or single quotes then fail as they do for a strict parser.
+    The parser walks over all fields but those of ``EVENT_SCHEMA``.
     """
     wrapped = F.from_json(F.concat(F.lit("["), F.col("line"), F.lit("]")), T.ArrayType(EVENT_SCHEMA),
                           {"allowSingleQuotes": "false"})
@@ -82,13 +76,20 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     return (lines.select("*", ev.alias("ev"))
             .withColumn("blank", F.col("line").rlike(r"^\s*$"))
             .withColumn("bad", ~F.col("blank") & F.col("ev").isNull())
-            .withColumn("etype", F.when(F.col("blank") | F.col("bad"), F.lit(None))
-                        .otherwise(F.coalesce(F.col("ev.Event"), F.lit("")))))
+            .withColumn("etype", F.when(~F.col("blank") & F.col("ev").isNotNull(), F.coalesce(F.col("ev.Event"), F.lit("")))))
+
 
+def text(path: str) -> Column:
+    """A field of the parsed line as text."""
+    field = F.col("ev")
+    for part in path.split("/"):
+        field = field[part]
+    return field
 
-def number(text: Column) -> Column:
-    """A JSON number as long; a fraction is dropped."""
-    return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+
+def number(path: str) -> Column:
+    """A JSON number of the parsed line as long; a fraction is dropped."""
+    return F.coalesce(text(path).try_cast("bigint"), text(path).try_cast("double").try_cast("bigint"))
 
 
 def _is(event: str) -> Column:
@@ -113,47 +114,46 @@ def bytes_to_mb_sql(b: str) -> str:
 def run_totals(lines: DataFrame) -> DataFrame:
     """Raw per-run totals (integers, ms and bytes), before unit conversion.
 
-    All aggregation buffers are fixed-width (counts, sums, min/max, and
-    ``max_by`` keyed on the long ``ord``), so Spark plans a hash aggregate
-    with map-side partial results: a run spread over many files or holding
-    most of the lines still costs one small partial row per task. The last
-    application start/end is taken by ``ord`` (a run has one of each).
+    Lines are aggregated per block of a file first (and per executor added, for
+    the distinct count), blocks per run then. Of repeated application starts or
+    ends the last one holds: by row within a block, by file number and block
+    after that. All buffers are fixed-width, so Spark plans hash aggregates with
+    map-side partial results: a run spread over many files or holding most of
+    the lines still costs a few small rows per block.
     """
     p = parse_lines(lines)
-    ev = lambda path: F.col(f"ev.{path}")
-    task_end = _is(TASK_END)
-    metric = lambda path: F.sum(F.when(task_end, F.coalesce(number(ev(f"`Task Metrics`.{path}")), F.lit(0))))
-    failure = ev("`Stage Info`.`Failure Reason`")
-    launch = number(ev("`Task Info`.`Launch Time`"))
-    finish = number(ev("`Task Info`.`Finish Time`"))
-    reason = F.coalesce(ev("`Task End Reason`.Reason"), F.lit(""))
-    agg = p.groupBy("run_label").agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.count(F.when(F.col("bad"), 1)).alias("parse_errors"),
-        F.max_by(number(ev("Timestamp")), F.when(_is(APP_START), F.col("ord"))).alias("app_start_ms"),
-        F.max_by(number(ev("Timestamp")), F.when(_is(APP_END), F.col("ord"))).alias("app_end_ms"),
-        F.count_distinct(F.when(_is(EXECUTOR_ADDED), ev("`Executor ID`"))).alias("executors"),
-        F.count(F.when(_is(STAGE_SUBMITTED), 1)).alias("stages_submitted"),
-        F.coalesce(F.sum(F.when(_is(STAGE_SUBMITTED),
-                                F.coalesce(number(ev("`Stage Info`.`Number of Tasks`")), F.lit(0)))),
-                   F.lit(0)).alias("total_tasks"),
-        F.count(F.when(_is(STAGE_COMPLETED) & failure.isNotNull() & (failure != ""), 1))
-        .alias("stages_failed"),
-        F.count(F.when(_is(STAGE_COMPLETED) & (failure.isNull() | (failure == "")), 1))
-        .alias("stages_completed"),
-        F.count(F.when(task_end & (reason == "Success"), 1)).alias("completed_tasks"),
-        F.count(F.when(task_end & (reason != "Success"), 1)).alias("failed_tasks"),
-        F.min(F.when(task_end & _truthy_num(launch), launch)).alias("first_launch_ms"),
-        F.max(F.when(task_end & _truthy_num(finish), finish)).alias("last_finish_ms"),
-        (F.coalesce(metric("`Shuffle Read Metrics`.`Remote Bytes Read`"), F.lit(0))
-         + F.coalesce(metric("`Shuffle Read Metrics`.`Local Bytes Read`"), F.lit(0)))
-        .alias("shuffle_read_bytes"),
-        F.coalesce(metric("`Shuffle Write Metrics`.`Shuffle Bytes Written`"), F.lit(0))
-        .alias("shuffle_write_bytes"),
-        F.coalesce(metric("`Executor Run Time`"), F.lit(0)).alias("executor_run_ms"),
-        F.coalesce(metric("`JVM GC Time`"), F.lit(0)).alias("executor_gc_ms"),
-        F.coalesce(metric("`Input Metrics`.`Bytes Read`"), F.lit(0)).alias("input_bytes"),
-    )
+    task, completed = _is(TASK_END), _is(STAGE_COMPLETED)
+    summed = lambda event, path: F.sum(F.when(event, number(path)))
+    last = lambda event: F.max_by(F.when(event, number("Timestamp")), F.when(event, F.col("ord")))
+    failed = F.coalesce(text("Stage Info/Failure Reason"), F.lit("")) != ""
+    success = F.coalesce(text("Task End Reason/Reason"), F.lit("")) == "Success"
+    truthy = lambda path: F.nullif(number(path), F.lit(0).cast("long"))
+    place = F.least(F.col("seq"), F.lit((1 << 16) - 1)) * F.lit(1 << 47) + F.col("block")
+    counts = {
+        "lines": F.count(F.lit(1)), "parse_errors": F.count_if("bad"), "stages_submitted": F.count_if(_is(STAGE_SUBMITTED)),
+        "total_tasks": summed(_is(STAGE_SUBMITTED), "Stage Info/Number of Tasks"),
+        "stages_failed": F.count_if(completed & failed), "stages_completed": F.count_if(completed & ~failed),
+        "completed_tasks": F.count_if(task & success), "failed_tasks": F.count_if(task & ~success),
+        "remote_read": summed(task, "Task Metrics/Shuffle Read Metrics/Remote Bytes Read"),
+        "local_read": summed(task, "Task Metrics/Shuffle Read Metrics/Local Bytes Read"),
+        "shuffle_write_bytes": summed(task, "Task Metrics/Shuffle Write Metrics/Shuffle Bytes Written"),
+        "executor_run_ms": summed(task, "Task Metrics/Executor Run Time"),
+        "executor_gc_ms": summed(task, "Task Metrics/JVM GC Time"),
+        "input_bytes": summed(task, "Task Metrics/Input Metrics/Bytes Read"),
+    }
+    executor = F.when(_is(EXECUTOR_ADDED), text("Executor ID"))
+    blocks = p.groupBy("run_label", place.alias("place"), executor.alias("executor_id")).agg(
+        *(c.alias(name) for name, c in counts.items()),
+        last(_is(APP_START)).alias("start_ms"), F.max(F.when(_is(APP_START), place)).alias("start_at"),
+        last(_is(APP_END)).alias("end_ms"), F.max(F.when(_is(APP_END), place)).alias("end_at"),
+        F.min(F.when(task, truthy("Task Info/Launch Time"))).alias("first_launch_ms"),
+        F.max(F.when(task, truthy("Task Info/Finish Time"))).alias("last_finish_ms"))
+    agg = blocks.groupBy("run_label").agg(
+        *(F.coalesce(F.sum(name), F.lit(0).cast("long")).alias(name) for name in counts),
+        F.size(F.collect_set("executor_id")).cast("long").alias("executors"),
+        F.max_by("start_ms", "start_at").alias("app_start_ms"), F.max_by("end_ms", "end_at").alias("app_end_ms"),
+        F.min("first_launch_ms").alias("first_launch_ms"), F.max("last_finish_ms").alias("last_finish_ms"))
+    agg = agg.withColumn("shuffle_read_bytes", F.col("remote_read") + F.col("local_read")).drop("remote_read", "local_read")
     start, end = F.col("app_start_ms"), F.col("app_end_ms")
     app_ms = F.when(_truthy_num(start) & _truthy_num(end), end - start)
     span_ms = F.when(F.col("first_launch_ms").isNotNull() & F.col("last_finish_ms").isNotNull()
@@ -186,48 +186,38 @@ def run_metrics(lines: DataFrame) -> DataFrame:
 def stage_table(lines: DataFrame) -> DataFrame:
     """One row per (run, stage): last submission merged with its completion.
 
-    A resubmitted stage keeps its last submission (in line order, see
-    ``seq``/``ord`` of :func:`jobtally.sources.eventlog.read_event_logs`) and
-    forgets earlier completions; a completion counts only when it comes after
-    that submission (the latest such one wins); completions of never-submitted
-    stages are dropped. ``attempts`` counts every submission.
+    A resubmitted stage keeps its last submission (in log order: file
+    number, block, row) and forgets earlier completions; a completion counts only
+    when it comes after that submission (the latest such one wins); completions
+    of never-submitted stages are dropped. ``attempts`` counts every submission.
 
     Stages are told apart by log (``file``) as well as by run label, so runs
     read under one fixed label keep their own.
 
-    Plan: only lines that name a stage event are parsed, once (a line that
-    holds the name elsewhere is dropped after parsing); they are
-    hash-partitioned by (run, file, stage); everything after that is window
-    functions over the rows of one stage (a handful per stage), so there is
-    one shuffle and no join.
+    Plan: only lines that name a stage event are parsed, once. The last
+    submission and the last completion of a stage are maxima by position, a
+    state that tasks build from their own lines and that merges like any
+    aggregate: one small row per stage and task is shuffled, whatever the
+    number of events, and there is no window and no join.
     """
-    si = lambda f: F.col(f"ev.`Stage Info`.`{f}`")
     stage_lines = lines.filter(F.col("line").contains("SparkListenerStage"))
-    events = (parse_lines(stage_lines)
-              .filter(F.col("etype").isin(STAGE_SUBMITTED, STAGE_COMPLETED))
-              .select("run_label", "file", (F.col("etype") == STAGE_SUBMITTED).alias("is_sub"),
-                      F.struct(F.col("seq"), F.col("ord")).alias("pos"),
-                      number(si("Stage ID")).alias("stage_id"),
-                      si("Stage Name").alias("stage_name"),
-                      number(si("Number of Tasks")).alias("num_tasks"),
-                      number(si("Submission Time")).alias("submission_time"),
-                      number(si("Completion Time")).alias("completion_time"),
-                      si("Failure Reason").alias("failure_reason")))
-    stage = Window.partitionBy("run_label", "file", "stage_id")
-    pos, sub = F.col("pos"), F.col("is_sub")
-    with_last = (events
-                 .withColumn("last_sub", F.max(F.when(sub, pos)).over(stage))
-                 .withColumn("attempts", F.count(F.when(sub, 1)).over(stage)))
-    with_comp = with_last.withColumn(
-        "last_comp", F.max(F.when(~sub & (pos > F.col("last_sub")), pos)).over(stage))
-    chosen = ~sub & (pos == F.col("last_comp"))
-    merged = (with_comp
-              .withColumn("c_time", F.max(F.when(chosen, F.col("completion_time"))).over(stage))
-              .withColumn("c_fail", F.max(F.when(chosen, F.col("failure_reason"))).over(stage)))
-    return (merged.filter(sub & (pos == F.col("last_sub")))
-            .select("run_label", "stage_id", "stage_name", "num_tasks", "submission_time",
-                    F.col("c_time").alias("completion_time"),
-                    F.col("c_fail").alias("failure_reason"), "attempts"))
+    submitted, completed = _is(STAGE_SUBMITTED), _is(STAGE_COMPLETED)
+    of = lambda name: f"Stage Info/{name}"
+    events = parse_lines(stage_lines).select(
+        "run_label", "file", number(of("Stage ID")).alias("stage_id"),
+        F.when(submitted, F.struct(
+            F.struct("seq", "block", "ord").alias("at"), text(of("Stage Name")).alias("stage_name"), number(of("Number of Tasks")).alias("num_tasks"),
+            number(of("Submission Time")).alias("submission_time"))).alias("submission"),
+        F.when(completed, F.struct(
+            F.struct("seq", "block", "ord").alias("at"), number(of("Completion Time")).alias("completion_time"),
+            text(of("Failure Reason")).alias("failure_reason"))).alias("completion"))
+    state = events.groupBy("run_label", "file", "stage_id").agg(
+        F.max("submission").alias("last"), F.max("completion").alias("done"), F.count("submission").alias("attempts"))
+    after = F.col("done.at") > F.col("last.at")
+    return state.filter(F.col("last").isNotNull()).select(
+        "run_label", "stage_id", "last.stage_name", "last.num_tasks", "last.submission_time",
+        F.when(after, F.col("done.completion_time")).alias("completion_time"),
+        F.when(after, F.col("done.failure_reason")).alias("failure_reason"), "attempts")
 
 
 def write_run_metrics(metrics: DataFrame, path: str, all_columns: bool = False) -> None:

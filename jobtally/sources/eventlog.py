@@ -1,12 +1,13 @@
-"""Spark event logs as (run_label, file, seq, ord, line) rows.
+"""Spark event logs as (run_label, file, seq, block, ord, line) rows.
 
 ``read_event_logs`` reads any number of JSON-lines event logs in one scan
 (``spark.read.text`` over a glob); each line keeps its run label (file name
-without ``.json``, or the parent folder for rolling logs), the file's
-sequence number within a rolling log (``events_<n>_...``; 0 otherwise) and
-an ordinal that follows the line order within a file. Both are fixed-width
-longs, so the per-run aggregates stay hash-based. Compressed logs are read
-through the codecs Hadoop offers for their extension.
+without ``.json``, or the parent folder for rolling logs) and its place:
+the file's number within a rolling log (``seq``, of ``events_<n>_...``; 0
+otherwise), where its split or its group of frames begins in the file
+(``block``) and an ordinal that grows within that (``ord``). The three are
+fixed-width longs that order the lines of a log, plain or compressed, over any
+number of files and tasks.
 
 ``events_as_listener_lines`` turns the supplied ``events`` table into
 listener-event lines, one run per user, so the run-log job can be exercised
@@ -21,8 +22,11 @@ from pyspark.sql import functions as F
 
 # Suffixes of zstd-compressed logs.
 ZSTD_SUFFIXES = (".zstd", ".zst")
+ZSTD_MAGIC = b"\x28\xb5\x2f\xfd"
 #: lines are handed on in batches of about this many bytes
 BATCH_BYTES = 8 << 20
+#: a task decodes groups of frames of about this many compressed bytes
+GROUP_BYTES = 4 << 20
 
 
 def _labels(path: Column, label: str | None, label_from: str) -> tuple[Column, Column]:
@@ -45,7 +49,7 @@ def _plain_path(uri: Column) -> Column:
 
 def read_event_logs(spark: SparkSession, paths: str | list[str],
                     label: str | None = None, label_from: str = "file") -> DataFrame:
-    """(run_label, file, seq, ord, line) for every line of the given log files.
+    """(run_label, file, seq, block, ord, line) for every line of the given log files.
 
     ``label``: one fixed run label for everything read; otherwise the label
     is the file name with ``.json`` removed (``label_from="file"``) or the
@@ -59,20 +63,16 @@ def read_event_logs(spark: SparkSession, paths: str | list[str],
     path_list = [paths] if isinstance(paths, str) else list(paths)
     plain = spark.read.text(path_list)
     uri = F.col("_metadata.file_path")
-    # Splits of one file are scanned in offset order, so the generated id
-    # grows with the line number within a file.
+    # A split's rows are scanned in order, so the generated id grows within it;
+    # the splits of a file are ordered by where they begin.
     plain = plain.filter(~_is_zstd(uri)).select(
-        _plain_path(uri).alias("path"), F.monotonically_increasing_id().alias("ord"),
-        F.col("value").alias("line"))
+        _plain_path(uri).alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("ord"), F.col("value").alias("line"))
+    lines = plain.unionByName(_zstd_lines(spark, path_list))
     run, seq = _labels(F.col("path"), label, label_from)
+    lines = lines.withColumn("seq", seq)
     file = F.when(F.col("seq") > 0, F.regexp_replace("path", "/[^/]*$", "")).otherwise(F.col("path"))
-    # Line numbers of zstd files are exact, so their ordinal also carries the
-    # rolling-file sequence: one fixed-width long that orders lines across
-    # all files of a run.
-    zstd = _zstd_lines(spark, path_list).withColumn("seq", seq)
-    zstd = zstd.withColumn("ord", F.col("seq") * F.lit(1 << 40) + F.col("ord"))
-    return plain.withColumn("seq", seq).unionByName(zstd).select(
-        run.alias("run_label"), file.alias("file"), "seq", "ord", "line")
+    return lines.select(run.alias("run_label"), file.alias("file"), "seq", "block", "ord", "line")
 
 
 def _is_zstd(path: Column) -> Column:
@@ -80,47 +80,143 @@ def _is_zstd(path: Column) -> Column:
 
 
 def _zstd_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(path, ord, line) of the zstd files under ``paths``.
+    """(path, block, ord, line) of the zstd files under ``paths``.
 
-    Spark lists and reads the files (one rolling chunk, 128 MB by default,
-    per row) and its scan packs them into tasks by their bytes; the tasks
-    decode them as streams. No shuffle, which adaptive execution could merge
-    into one task because paths are small.
+    A file is read once, as it is and as a stream: one row per piece between
+    two frame magics. Its frames are put together in groups that end where a
+    line ends; the groups (compressed bytes) are dealt over tasks and decoded
+    there. So neither a file nor its text is ever one row, and one large log is
+    decoded by many tasks. (A log of a single frame is one group.)
     """
-    files = spark.read.format("binaryFile").load(paths).filter(_is_zstd(F.col("path")))
-    return files.select("path", "content").mapInArrow(_decoder(BATCH_BYTES), "path string, ord long, line string")
+    groups = None
+    for suffix in ZSTD_SUFFIXES:
+        reader = spark.read.option("pathGlobFilter", f"*{suffix}")
+        # the magic as line separator; the suffix read as it is, not decompressed
+        reader = reader.option("encoding", "ISO-8859-1").option("lineSep", ZSTD_MAGIC.decode("latin-1"))
+        reader = reader.option("io.compression.codecs", "org.apache.hadoop.io.compress.PassthroughCodec")
+        for key in ("io.compress.passthrough.extension", "org.apache.hadoop.shaded.io.compress.passthrough.extension"):
+            reader = reader.option(key, suffix)
+        raw = reader.text(paths).select(F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary").alias("piece"))
+        found = raw.mapInArrow(_grouper(GROUP_BYTES), "path string, block long, before binary, frames binary, cut boolean")
+        groups = found if groups is None else groups.unionByName(found)
+    groups = groups.repartition("path", "block").withColumn("path", _plain_path(F.col("path")))
+    return groups.mapInArrow(_decoder(BATCH_BYTES), "path string, block long, ord long, line string")
 
 
-def _decoder(batch_bytes: int):
+def _grouper(group_bytes: int):
+    """Pieces between magics -> groups of whole frames.
+
+    ``before``: the start of a group's first line, where the frame before it
+    ends within a line; that frame's group leaves it out (``cut``).
+    """
     # Built inside a function, so that Spark ships its code and workers need
     # no copy of this package.
+    magic = ZSTD_MAGIC
+
+    def frame_end(data, at):
+        """Where the frame at ``at`` ends (RFC 8878, 3.1); None if it is not all there."""
+        if data[at:at + 4] != magic:
+            if len(data) - at >= 8 and data[at + 1:at + 4] == b"\x2a\x4d\x18" and 0x50 <= data[at] <= 0x5F:
+                end = at + 8 + int.from_bytes(data[at + 4:at + 8], "little")  # skippable
+                return end if end <= len(data) else None
+            raise ValueError("not a zstd frame")
+        if len(data) < at + 5:
+            return None
+        kind = data[at + 4]
+        single = kind >> 5 & 1
+        end = at + 5 + (not single) + (0, 1, 2, 4)[kind & 3] + (single, 2, 4, 8)[kind >> 6]
+        while True:
+            if end + 3 > len(data):
+                return None
+            block = int.from_bytes(data[end:end + 3], "little")
+            end += 3 + (1 if block >> 1 & 3 == 1 else block >> 3)
+            if block & 1:
+                end += 4 * (kind >> 2 & 1)
+                return end if end <= len(data) else None
+
+    def group(batches):
+        import pyarrow as pa
+        import zstandard
+
+        path, block, before, frames, waiting = None, 0, b"", [], b""
+
+        def row(cut):
+            nonlocal block, frames
+            made = (path, block, before, b"".join(frames), cut)
+            block, frames = block + 1, []
+            return made
+
+        def table(rows):
+            kinds = (pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.bool_())
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
+                                              names=["path", "block", "before", "frames", "cut"])
+
+        for batch in batches:
+            for here, piece in zip(batch.column(0), batch.column(1)):
+                here, piece, first = here.as_py(), piece.as_py(), False
+                if here != path:
+                    if waiting:
+                        frames.append(waiting)  # a log still being written
+                    if frames or before:
+                        yield table([row(False)])
+                    path, block, before, frames, waiting, first = here, 0, b"", [], b"", True
+                # a magic may also occur inside a frame, which then goes on
+                waiting += piece if first else magic + piece
+                at = 0
+                while at < len(waiting):
+                    end = frame_end(waiting, at)
+                    if end is None:
+                        break
+                    frames.append(waiting[at:end])
+                    at = end
+                waiting = waiting[at:]
+                if at and not waiting and sum(map(len, frames)) >= group_bytes:
+                    text = zstandard.ZstdDecompressor().decompressobj().decompress(frames[-1])
+                    start = text.rfind(b"\n") + 1
+                    if start:
+                        yield table([row(start < len(text))])
+                        before = text[start:]
+        if waiting:
+            frames.append(waiting)
+        if frames or before:
+            yield table([row(False)])
+
+    return group
+
+
+def _decoder(batch_bytes: int):
+    """Groups of frames -> lines, in batches."""
     def decode(batches):
         import io
 
         import pyarrow as pa
         import zstandard
 
-        def table(path, first, lines):
+        def table(path, block, first, lines):
             n = len(lines)
             return pa.RecordBatch.from_arrays(
-                [pa.array([path] * n, pa.string()), pa.array(range(first, first + n), pa.int64()),
-                 pa.array(lines, pa.string())], names=["path", "ord", "line"])
+                [pa.array([path] * n, pa.string()), pa.array([block] * n, pa.int64()),
+                 pa.array(range(first, first + n), pa.int64()), pa.array(lines, pa.string())],
+                names=["path", "block", "ord", "line"])
 
         for batch in batches:
-            for path, content in zip(batch.column(0), batch.column(1)):
-                path = path.as_py()
-                raw = zstandard.ZstdDecompressor().stream_reader(pa.BufferReader(content.as_buffer()),
-                                                                read_across_frames=True)
-                text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline="\n")
-                first, lines, size = 0, [], 0
-                for line in text:
-                    lines.append(line[:-1] if line.endswith("\n") else line)
+            for path, block, before, frames, cut in zip(*(batch.column(i) for i in range(5))):
+                path, block, cut, start = path.as_py(), block.as_py(), cut.as_py(), before.as_py()
+                raw = zstandard.ZstdDecompressor().stream_reader(pa.BufferReader(frames.as_buffer()), read_across_frames=True)
+                first, lines, size, whole = 0, [], 0, True
+                for line in io.BufferedReader(raw, 1 << 17):
+                    line, start, whole = start + line, b"", line.endswith(b"\n")
+                    if not whole and cut:
+                        break  # the next group has it
+                    lines.append((line[:-1] if whole else line).decode("utf-8", "replace"))
                     size += len(line)
                     if size >= batch_bytes:
-                        yield table(path, first, lines)
+                        yield table(path, block, first, lines)
                         first, lines, size = first + len(lines), [], 0
+                if start:
+                    lines.append(start.decode("utf-8", "replace"))
                 if lines:
-                    yield table(path, first, lines)
+                    yield table(path, block, first, lines)
 
     return decode
 
@@ -143,9 +239,9 @@ def events_as_listener_lines(events: DataFrame) -> DataFrame:
     by k / 10 modulo 5 a stray brace, two objects, trailing text, single
     quotes, or a blank line. The first four are no valid JSON.
     """
-    k = F.get_json_object(F.col("props"), "$.k").cast("bigint")
-    ts = _ms()
-    run_ms = F.round(F.col("value") * 1000).cast("bigint")
+    events = events.select("user_id", "event_id", "event_type", "value", F.get_json_object("props", "$.k").cast("bigint").alias("k"),
+                           _ms().alias("ms"), F.round(F.col("value") * 1000).cast("bigint").alias("run_ms"))
+    k, ts, run_ms = F.col("k"), F.col("ms"), F.col("run_ms")
     start = F.to_json(F.struct(F.lit("SparkListenerApplicationStart").alias("Event"),
                                ts.alias("Timestamp")))
     end = F.to_json(F.struct(F.lit("SparkListenerApplicationEnd").alias("Event"),
@@ -187,6 +283,8 @@ def events_as_listener_lines(events: DataFrame) -> DataFrame:
             .when(et == "error", F.when(k % 10 == 0, odd).otherwise(completed))
             .when(et == "click", task)
             .otherwise(F.lit("")))
-    return events.select(F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("run_label"),
+    # generated, so that what reads the line several times does not build it several times
+    built = events.select("user_id", "event_id", F.explode(F.array(line)).alias("line"))
+    return built.select(F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("run_label"),
                          F.lit("events").alias("file"), F.lit(0).cast("bigint").alias("seq"),
-                         F.col("event_id").alias("ord"), line.alias("line"))
+                         F.lit(0).cast("bigint").alias("block"), F.col("event_id").alias("ord"), "line")
