@@ -226,6 +226,18 @@ def write_run_metrics(metrics: DataFrame, path: str, all_columns: bool = False)
     out.write.mode("append").option("header", True).csv(path)
 
 
+def replace_run_metrics(metrics: DataFrame, path: str, all_columns: bool = False) -> None:
+    """Put run rows into a metrics folder in place of what it holds of the same runs.
+
+    One subfolder per run label (``run=<label>``), replaced as a whole when the
+    write commits: a job that is tried again, or a log that is analysed again,
+    leaves one row per run. Rows of other runs, and those that
+    :func:`write_run_metrics` appended, stay as they are.
+    """
+    out = metrics.select(*(METRICS_COLUMNS if all_columns else METRICS_FILE_COLUMNS), F.col("run_label").alias("run"))
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").option("header", True).csv(path))
+
+
 # Types of the metrics columns.
 _TEXT_COLUMNS = ("run_label", "parsed_at")
 _COUNT_COLUMNS = ("stages_submitted", "total_tasks", "stages_completed", "stages_failed",
@@ -241,5 +253,5 @@ def read_run_metrics(spark, path: str, all_columns: bool = False) -> DataFrame:
     """The metrics folder with an explicit schema, the ten standard columns or
     all; a part file with another header is an error, not a silent mix."""
     columns = METRICS_COLUMNS if all_columns else METRICS_FILE_COLUMNS
-    return (spark.read.option("header", True).option("enforceSchema", False)
+    return (spark.read.option("header", True).option("enforceSchema", False).option("recursiveFileLookup", True)
             .schema(metrics_schema(columns)).csv(path))

@@ -3,8 +3,8 @@
 ``read_event_logs`` reads any number of JSON-lines event logs in one scan
 (``spark.read.text`` over a glob); each line keeps its run label (file name
 without ``.json``, or the parent folder for rolling logs) and its place:
-the file's number within a rolling log (``seq``, of ``events_<n>_...``; 0
-otherwise), where its split or its group of frames begins in the file
+the file's number within a rolling log (``seq``, of ``events_<n>_...`` or
+``part-<n>-...``; 0 otherwise), where its split or its group of frames begins in the file
 (``block``) and an ordinal that grows within that (``ord``). The three are
 fixed-width longs that order the lines of a log, plain or compressed, over any
 number of files and tasks.
@@ -37,8 +37,9 @@ def _labels(path: Column, label: str | None, label_from: str) -> tuple[Column, C
         run = F.element_at(F.split(path, "/"), -2)
     else:
         run = F.regexp_replace(name, r"\.json", "")
-    seq = F.coalesce(F.regexp_extract(name, r"^events_(\d+)_", 1).try_cast("bigint"),
-                     F.lit(0).cast("bigint"))
+    rolled = F.regexp_extract(name, r"^events_(\d+)_", 1).try_cast("bigint")
+    part = F.regexp_extract(name, r"^part-(\d+)-", 1).try_cast("bigint") + 1  # as Spark names the files it writes
+    seq = F.coalesce(rolled, part, F.lit(0).cast("bigint"))
     return run, seq
 
 
@@ -221,6 +222,20 @@ def _decoder(batch_bytes: int):
     return decode
 
 
+def write_rolling_logs(lines: DataFrame, path: str, rows_per_file: int = 1_000_000, least: int = 1) -> None:
+    """Write lines (run_label, ord, line) as one log folder ``run_label=<run>`` per run, in rolling files.
+
+    Lines are dealt by ranges of (run, ord), so a run with a third of all lines
+    is sorted and written by many tasks, a file each; the files' numbers grow
+    with ``ord``. There are as many ranges as make about ``rows_per_file`` lines
+    each, and no fewer than ``least``.
+    """
+    keys = ["run_label", "ord"]
+    ranges = max(least, -(-lines.count() // rows_per_file))
+    (lines.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys).select("run_label", "line")
+     .write.mode("overwrite").partitionBy("run_label").text(path))
+
+
 def _ms(ts_col: str = "ts"):
     """Epoch milliseconds of a timestamp without time zone (session-TZ free)."""
     return F.expr(f"timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts_col})")

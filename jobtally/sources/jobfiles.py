@@ -30,13 +30,16 @@ JOB_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in JOB_C
 
 # File naming of the monthly exports.
 DEFAULT_GLOB = "jobs_*.txt"
-PERIOD_PATTERN = r"jobs_(\w+)\.txt"
+PERIOD_PATTERN = r"jobs_(\w+)(?:\.\d+)?\.txt"
 # Older naming rule: the text after the first '_' up to the first '.'.
 LEGACY_PERIOD_PATTERN = r"^[^_]*_([^.]*)"
 DELIMITER = "|"
 
+#: a month with more rows is written in several files
+ROWS_PER_FILE = 1_000_000
 
-def _period_filter(df: DataFrame, months: Iterable[str] | None,
+
+def keep_periods(df: DataFrame, months: Iterable[str] | None,
                    aliases: Mapping[str, str] | None) -> DataFrame:
     """Keep wanted months; filter on the raw file token so pruning holds."""
     if months is None:
@@ -46,7 +49,7 @@ def _period_filter(df: DataFrame, months: Iterable[str] | None,
     return df.filter(F.col("Period").isin(sorted(wanted | raw_tokens)))
 
 
-def _apply_aliases(df: DataFrame, aliases: Mapping[str, str] | None) -> DataFrame:
+def apply_aliases(df: DataFrame, aliases: Mapping[str, str] | None) -> DataFrame:
     if not aliases:
         return df
     period = F.col("Period")
@@ -76,7 +79,8 @@ def read_job_files(
     ``infer_types``: sniff column types instead of reading text (slower; a
     malformed number then breaks the later cast instead of becoming NULL).
     ``legacy_naming``: period = text after the first '_' up to the first '.'
-    of any ``jobs*`` file, instead of the ``jobs_(\\w+).txt`` rule.
+    of any ``jobs*`` file, instead of the ``jobs_(\\w+).txt`` rule (which takes
+    the parts ``jobs_<Mon>.<n>.txt`` of a month as well).
     ``layout="partitioned"``: files live in ``Period=<Mon>/`` folders (as
     written by :func:`write_job_files`); the period is the folder value and a
     months filter prunes folders.
@@ -89,8 +93,8 @@ def read_job_files(
         reader = reader.schema(JOB_SCHEMA)
     if layout == "partitioned":
         df = reader.csv(data_dir)
-        df = _period_filter(df, months, period_aliases)
-        return _apply_aliases(df, period_aliases)
+        df = keep_periods(df, months, period_aliases)
+        return apply_aliases(df, period_aliases)
     if legacy_naming:
         df = reader.option("pathGlobFilter", "jobs*").csv(data_dir)
         pattern = LEGACY_PERIOD_PATTERN
@@ -98,8 +102,8 @@ def read_job_files(
         df = reader.csv(f"{data_dir.rstrip('/')}/{glob}")
         pattern = PERIOD_PATTERN
     df = df.withColumn("Period", F.regexp_extract(F.col("_metadata.file_name"), pattern, 1))
-    df = _period_filter(df, months, period_aliases)
-    return _apply_aliases(df, period_aliases)
+    df = keep_periods(df, months, period_aliases)
+    return apply_aliases(df, period_aliases)
 
 
 def write_job_files(raw: DataFrame, path: str) -> None:
@@ -116,25 +120,33 @@ def write_job_files(raw: DataFrame, path: str) -> None:
      .option("sep", DELIMITER).option("header", True).csv(path))
 
 
-def write_flat_job_files(raw: DataFrame, path: str) -> None:
-    """Write raw job rows the way the exports arrive: one ``jobs_<Mon>.txt``
-    per month, directly in ``path``.
+def write_flat_job_files(raw: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Write raw job rows the way the exports arrive, directly in ``path``: ``jobs_<Mon>.txt``, and for a
+    month of more than ``rows_per_file`` rows parts ``jobs_<Mon>.<n>.txt`` beside it.
 
-    One file per month is what the layout asks for, so a month is one task
-    here; use :func:`write_job_files` for large data.
+    Rows are counted by month first (a dozen numbers); each is dealt to a part
+    of its month by its hash, so a month with half of all rows is written by as
+    many tasks as it has parts.
     """
     spark = raw.sparkSession
     jvm = spark._jvm
     folder = f"{path.rstrip('/')}/_months"
-    (raw.repartition("Period").write.mode("overwrite").partitionBy("Period")
+    sizes = raw.groupBy(F.col("Period").alias("month")).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("parts"))
+    # one row per month
+    dealt = raw.join(F.broadcast(sizes), F.col("Period").eqNullSafe(F.col("month")))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64(*JOB_COLUMNS), F.col("parts")))
+    (dealt.drop("month", "parts").repartition("Period", "part").write.mode("overwrite").partitionBy("Period", "part")
      .option("sep", DELIMITER).option("header", True).csv(folder))
-    # the months (about a dozen folders) are renamed, not copied
+    # the parts are renamed, not copied
     root = jvm.org.apache.hadoop.fs.Path(folder)
     fs = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     for month in fs.listStatus(root):
         token = month.getPath().getName().partition("=")[2]
         for part in fs.listStatus(month.getPath()) if token else ():
-            fs.rename(part.getPath(), jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/jobs_{token}.txt"))
+            number = int(part.getPath().getName().partition("=")[2])
+            name = f"jobs_{token}.{number}.txt" if number else f"jobs_{token}.txt"
+            for written in fs.listStatus(part.getPath()):
+                fs.rename(written.getPath(), jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}"))
     fs.delete(root, True)
 
 
@@ -212,5 +224,5 @@ def read_landed_jobs(spark: SparkSession, path: str, months: Iterable[str] | Non
     ``period_aliases`` as in :func:`read_job_files`; the filter is on the
     landed tokens, so pruning holds with aliases too.
     """
-    df = _period_filter(spark.read.parquet(path), months, period_aliases)
-    return _apply_aliases(df, period_aliases)
+    df = keep_periods(spark.read.parquet(path), months, period_aliases)
+    return apply_aliases(df, period_aliases)

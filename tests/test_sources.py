@@ -225,3 +225,19 @@ def test_flat_exports(spark, tmp_path):
     assert sorted(f for f in os.listdir(out) if not f.startswith(".")) == sorted(
         f"jobs_{m}.txt" for m in ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"))
     assert _counts(read_job_files(spark, out)) == _counts(raw)
+
+
+def test_flat_exports_in_parts(spark, tmp_path):
+    """A month with half of all rows is written by several tasks, into parts that the readers take."""
+    from jobtally.sources.jobfiles import period_tokens, read_job_files_per_month, write_flat_job_files
+
+    raw = read_job_view(spark, SMALL)
+    raw = raw.withColumn("Period", F.when(F.crc32(F.col("JobID").cast("binary")) % 2 == 0, "May").otherwise(F.col("Period")))
+    out = str(tmp_path / "flat")
+    write_flat_job_files(raw, out, rows_per_file=500)
+    files = [f for f in os.listdir(out) if not f.startswith(".")]
+    assert "jobs_May.txt" in files and "jobs_May.1.txt" in files and len([f for f in files if f.startswith("jobs_May")]) > 4
+    assert _counts(read_job_files(spark, out)) == _counts(raw)
+    assert _counts(read_job_files(spark, out, months=["May"])) == {"May": _counts(raw)["May"]}
+    assert period_tokens(spark, out) == sorted(_counts(raw))
+    assert _counts(read_job_files_per_month(spark, out, legacy_naming=True)) == _counts(raw)
