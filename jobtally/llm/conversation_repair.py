@@ -521,13 +521,13 @@ damaged AS (
   FROM raw),
 placed AS (
   SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(role) || ':' || role || text)) AS i,
-         left(role, 1) AS initial, role || ':' || text AS line, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
-         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS again
+         left(role, 1) AS initial, role || ':' || text AS line, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank
   FROM damaged),
+seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again FROM placed),
 faulty AS (
   SELECT *, blank OR again AS forced, NOT blank AND NOT again AND NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS truncated,
          coalesce(lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au'), false) AS illegal
-  FROM placed),
+  FROM seen),
 costed AS (SELECT *, CASE WHEN truncated THEN 5 ELSE 0 END AS more FROM faulty),
 ids AS (SELECT DISTINCT conv_id FROM conversations),
 search AS (

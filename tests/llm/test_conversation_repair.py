@@ -153,3 +153,14 @@ def test_rerun_stops_where_vectors_differ_by_a_constant(seed):
     whole = cr.backward(costs, rows, end)
     assert (start == whole).all() and (took <= [len(k) for k in kinds]).all()
     assert took.sum() < sum(map(len, kinds)) / 2  # most of the old runs hold
+
+
+def test_sql_holds_for_more_conversations(spark):
+    """The twin over a larger table: repeated rows beside their copies."""
+    import duckdb
+
+    path = "/root/testdata/sf0.01/conversations.parquet"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{path}')")
+    rows = [tuple(r) for r in spark.read.parquet(path).collect()]
+    assert sorted(con.execute(cr.ORACLE).fetchall(), key=repr) == brute({r[0] for r in rows}, damage(rows))
