@@ -34,6 +34,8 @@ EXECUTOR_ADDED = "SparkListenerExecutorAdded"
 STAGE_SUBMITTED = "SparkListenerStageSubmitted"
 STAGE_COMPLETED = "SparkListenerStageCompleted"
 TASK_END = "SparkListenerTaskEnd"
+ENVIRONMENT_UPDATE = "SparkListenerEnvironmentUpdate"
+ENVIRONMENT_SECTIONS = ("Spark Properties", "JVM Information", "System Properties", "Hadoop Properties", "Classpath Entries")
 
 
 def _struct(*fields) -> T.StructType:
@@ -220,6 +222,40 @@ def stage_table(lines: DataFrame) -> DataFrame:
         F.when(after, F.col("done.failure_reason")).alias("failure_reason"), "attempts")
 
 
+def environment_table(lines: DataFrame) -> DataFrame:
+    """(run_label, section, key, value): what a run's environment event says its settings were.
+
+    A run repeats the event when files are added; its last one holds. Lines that
+    do not name the event are not parsed.
+    """
+    sections = [*ENVIRONMENT_SECTIONS]
+    schema = T.StructType([T.StructField("Event", S)] + [T.StructField(c, T.MapType(S, S)) for c in sections])
+    found = lines.filter(F.col("line").contains(ENVIRONMENT_UPDATE)).select(
+        "run_label", F.struct("seq", "block", "ord").alias("at"), F.from_json("line", schema).alias("ev"))
+    found = found.filter(F.col("ev.Event") == ENVIRONMENT_UPDATE)
+    last = found.groupBy("run_label").agg(F.max_by("ev", "at").alias("ev"))
+
+    def entries(section: str) -> Column:
+        pairs = F.map_entries(F.coalesce(F.col("ev")[section], F.create_map().cast("map<string,string>")))
+        return F.transform(pairs, lambda e: F.struct(F.lit(section).alias("section"), e["key"].alias("key"), e["value"].alias("value")))
+
+    return last.select("run_label", F.inline(F.concat(*(entries(c) for c in sections))))
+
+
+def directives(lines: DataFrame, wanted: dict[str, str]) -> DataFrame:
+    """(run_label, key, wanted, effective, holds): whether each run had the settings it was meant to have.
+
+    ``effective`` is null where the run knew no such key: a directive that was
+    misspelt or came too late, and that Spark ignored. Every run with an
+    environment event has a row per wanted key.
+    """
+    table = environment_table(lines).filter(F.col("section") == "Spark Properties")
+    asked = F.explode(F.array(*(F.struct(F.lit(k).alias("key"), F.lit(v).alias("wanted")) for k, v in wanted.items())))
+    runs = table.select("run_label").distinct().select("run_label", asked.alias("d")).select("run_label", "d.key", "d.wanted")
+    known = table.filter(F.col("key").isin(*wanted)).select("run_label", "key", F.col("value").alias("effective"))
+    return runs.join(known, ["run_label", "key"], "left").withColumn("holds", F.coalesce(F.col("effective") == F.col("wanted"), F.lit(False)))
+
+
 def write_run_metrics(metrics: DataFrame, path: str, all_columns: bool = False) -> None:
     """Append run rows to a CSV metrics folder (each part file has a header)."""
     out = metrics.select(*(METRICS_COLUMNS if all_columns else METRICS_FILE_COLUMNS))

@@ -20,7 +20,7 @@ if not __package__:  # run by path, e.g. by spark-submit
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobtally.operators.runlog import run_metrics, stage_table, write_run_metrics
+from jobtally.operators.runlog import environment_table, replace_run_metrics, run_metrics, stage_table, write_run_metrics
 from jobtally.sources.eventlog import read_event_logs
 
 
@@ -41,16 +41,21 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--label", help="one run label for everything read")
     ap.add_argument("--label-from", default="file", choices=("file", "folder"))
     ap.add_argument("--out", required=True, help="metrics CSV folder (appended)")
+    ap.add_argument("--replace", action="store_true", help="replace the rows of the runs that are read instead")
     ap.add_argument("--all-columns", action="store_true")
     ap.add_argument("--stages-out", help="also write the stage table (parquet)")
+    ap.add_argument("--environment-out", help="also write the runs' settings (parquet)")
     ap.add_argument("--master")
     args = ap.parse_args(argv)
 
     spark = build_session(args.master)
     lines = read_event_logs(spark, args.logs, label=args.label, label_from=args.label_from)
-    write_run_metrics(run_metrics(lines), args.out, all_columns=args.all_columns)
+    write = replace_run_metrics if args.replace else write_run_metrics
+    write(run_metrics(lines), args.out, all_columns=args.all_columns)
     if args.stages_out:
         stage_table(lines).write.mode("overwrite").parquet(args.stages_out)
+    if args.environment_out:
+        environment_table(lines).write.mode("overwrite").parquet(args.environment_out)
     spark.stop()
 
 
