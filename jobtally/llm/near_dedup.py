@@ -12,16 +12,17 @@
    pairs that pass size and sketch are verified on the full sets.
 4. Verified links make components (alternating stars). In a bucket whose nodes
    are not yet one component, the nodes outside its largest component are
-   paired with all that lie in other components, dealt over several tasks, and
-   verified as well. So pairs inside a component are never listed, and no link
-   between components is missed.
+   paired with all that lie in other components, dealt over several tasks; a
+   pair is taken in the first bucket that both share, once, and verified as
+   well. So pairs inside a component are never listed, and no link between
+   components is missed. The links found then join components, not nodes.
 
 Defined cases: a null or empty text, or one without words, has the empty set
 and is linked with nothing; with fewer words than a shingle the whole sequence
-is one shingle; equal texts always share a component; rows with the same id
-count as one document, linked when any of their texts is; a row without an id
-belongs to the component of its text if a row with an id has that text, and is
-else linked with equal texts only, its component_id null; an empty table gives an empty result; other columns are not
+is one shingle; equal texts always share a component; every row's text counts
+on its own, also where rows share an id; rows without an id are linked like all
+others, but name no component: ``component_id`` is the smallest id in it, null
+if it has none; an empty table gives an empty result; other columns are not
 read.
 """
 
@@ -33,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobtally.llm.common import text_bytes, written
@@ -45,7 +46,6 @@ MISS = 1e-7
 SAMPLES = 1 << 14
 SKETCH_LONGS = 32
 SPLIT = 16
-_NO_ID = 1 << 62
 
 _U = np.uint64
 
@@ -135,21 +135,25 @@ class Signer:
 
 
 def signatures(docs: DataFrame, size: int, bands: int) -> DataFrame:
-    """doc_id, n_shingles, digest, bands, sketch of every row."""
+    """doc_id, own (md5 of the text), n_shingles, digest, bands, sketch of every row."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(size, bands)
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
                 part = batch.slice(low, 500)
-                made = [signer(t) for t in text_bytes(part.column(1))]
+                made = [signer(t) for t in text_bytes(part.column(2))]
                 longs = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *(pa.array([m[i] for m in made], k)
+                    [part.column(0), part.column(1), *(pa.array([m[i] for m in made], k)
                                        for i, k in enumerate((pa.int64(), pa.binary(), longs, longs)))],
-                    names=["doc_id", "n_shingles", "digest", "bands", "sketch"])
+                    names=["doc_id", "own", "n_shingles", "digest", "bands", "sketch"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(sign, "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _own(F.col("text")).alias("own"), "text")
+    return rows.mapInArrow(sign, "doc_id long, own binary, n_shingles long, digest binary, bands array<long>, sketch array<long>")
+
+
+def _own(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
 def _most(mean: Column) -> Column:
@@ -255,46 +259,62 @@ def _remaining(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, percent:
     counts = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("rows"))
     main = counts.groupBy("key").agg(F.max_by("label", F.struct("rows", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
     open_ = placed.join(main.where("labels > 1"), "key").join(nodes, "node")
-    open_ = written(open_.select("key", "main", "label", "node", F.struct("n", "sketch").alias("of")), "open")
+    open_ = written(open_.select("key", "main", "label", "node", F.struct("n", "sketch").alias("of"), "bands"), "open")
     # the rows of a bucket are dealt over SPLIT tasks; those outside its largest component visit all of them
-    right = open_.select(F.col("key"), F.col("node").alias("b"), F.col("label").alias("label_b"), F.col("of").alias("y"),
+    right = open_.select(F.col("key"), F.col("node").alias("b"), F.col("label").alias("label_b"), F.col("of").alias("y"), F.col("bands").alias("bands_b"),
                          F.pmod(F.xxhash64("node"), F.lit(SPLIT)).cast("int").alias("piece"))
     left = open_.where("label != main").select(
-        F.col("key"), F.col("node").alias("a"), F.col("label").alias("label_a"), F.col("of").alias("x"),
+        F.col("key"), F.col("main"), F.col("node").alias("a"), F.col("label").alias("label_a"), F.col("of").alias("x"), F.col("bands").alias("bands_a"),
         F.explode(F.sequence(F.lit(0), F.lit(SPLIT - 1))).alias("piece"))
-    met = left.join(right, ["key", "piece"]).where((F.col("label_a") != F.col("label_b")) & _likely("x", "y", percent))
+    apart = (F.col("label_a") != F.col("label_b")) & ((F.col("label_b") == F.col("main")) | (F.col("a") < F.col("b")))
+    # components that differ differ in all buckets that they share, so the first one has the pair
+    first = F.get(F.array_intersect("bands_a", "bands_b"), 0) == F.col("key")
+    met = left.join(right, ["key", "piece"]).where(apart & _likely("x", "y", percent) & first)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, digest, component_id, kept of every row.
-
-    Links texts with ``100 * common >= percent * all`` shingles of ``size`` words.
-    """
+def _found(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """doc_id, own, n_shingles, digest, label of every row, and of its component (by label) the first row: id, text."""
     signed = written(signatures(docs, size, bands_for(percent)), "signatures")
-    # ids from 2**62 on stand for texts of which no row has an id
-    own = F.coalesce(F.min("doc_id"), F.pmod(F.xxhash64("digest"), F.lit(_NO_ID)) + F.lit(_NO_ID))
+    # one row stands for all of a digest
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "own")
     groups = signed.where("n_shingles > 0").groupBy("digest").agg(
-        own.alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    groups = written(groups, "nodes")
+        F.min(row).alias("row"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    groups = written(groups.withColumn("node", F.monotonically_increasing_id()), "nodes")
     nodes = groups.select("node", "n", "sketch")
     buckets = groups.select("node", F.explode("bands").alias("key"))
     shared = buckets.groupBy("key").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
     buckets = written(buckets.join(shared, "key").select("key", "node", "center").distinct(), "buckets")
     stars = buckets.where("node != center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
     pairs = written(_with_nodes(stars, nodes).where(_likely("x", "y", percent)).select("a", "b").distinct(), "pairs")
-    # the texts of all nodes that share a bucket, fetched once
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
-    texts = written(texts.join(buckets.select("node").distinct(), "node").distinct(), "texts")
+    # the texts of all nodes that share a bucket, fetched once, each from the row that stands for it
+    wanted = groups.join(buckets.select("node").distinct(), "node").select("node", "row.doc_id", "row.own")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), _own(F.col("text")).alias("key"), "text")
+    texts = texts.join(wanted, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("own")))
+    texts = written(texts.select("node", "text").distinct(), "texts")
     links = written(verified(pairs, texts, size, percent), "links")
     labels = written(components(links), "labels")
-    rest = written(_remaining(buckets.select("key", "node"), nodes, labels, percent).join(pairs, ["a", "b"], "left_anti"), "pairs")
-    more = written(verified(rest, texts, size, percent), "links")
+    rest = _remaining(buckets.select("key", "node"), groups.select("node", "n", "sketch", "bands"), labels, percent)
+    more = written(verified(written(rest.join(pairs, ["a", "b"], "left_anti"), "pairs"), texts, size, percent), "links")
+    found = _labelled(groups.select("row", "digest", "node"), labels)
     if more.limit(1).count():
-        labels = written(components(links.unionByName(more)), "labels")
-    found = _labelled(groups.select("digest", "node"), labels).select("digest", "label")
-    out = signed.select("doc_id", "n_shingles", "digest").join(found, "digest", "left")
-    component = F.when(F.col("label").isNull(), F.col("doc_id")).when(F.col("label") < _NO_ID, F.col("label"))
+        ends = labels.select(F.col("node").alias("a"), F.col("label").alias("x"))
+        joined = more.join(ends, "a", "left").join(ends.select(F.col("a").alias("b"), F.col("x").alias("y")), "b", "left")
+        whole = written(components(joined.select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b"))), "labels")
+        whole = whole.select(F.col("node").alias("label"), F.col("label").alias("whole"))
+        found = found.join(whole, "label", "left").withColumn("label", F.coalesce("whole", "label"))
+    first = found.groupBy("label").agg(F.min("row").alias("first"))
+    found = written(found.join(first, "label").select("digest", "label", "first"), "found")
+    return signed.select("doc_id", "own", "n_shingles", "digest").join(found, "digest", "left")
+
+
+def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, digest, component_id, kept of every row.
+
+    Links texts with ``100 * common >= percent * all`` shingles of ``size`` words.
+    """
+    out = _found(docs, size, percent)
+    component = F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id"))
     out = out.select("doc_id", "n_shingles", "digest", component.alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
@@ -302,14 +322,15 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
 def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stand for their group, in its columns.
 
-    Of each component the document with its id stays; of rows with the same id
-    the one with the smallest text; of rows without an id one of each text.
+    Of each component the row with the smallest id stays (one without an id
+    only where none has one; of several texts under that id the one with the
+    least md5); of rows with the same id and text one. Rows are judged by their
+    id and text, so a text that is no copy stays whatever else its id has.
     """
     names = docs.columns
-    found = near_duplicates(docs, size, percent).where(F.col("doc_id").isNotNull())
-    gone = found.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("not kept")
-    gone = gone.select(F.col("doc_id").alias("nd_gone"))
-    rest = docs.join(gone, F.col("doc_id") == F.col("nd_gone"), "left_anti")
-    same = F.when(F.col("doc_id").isNull(), F.md5(F.col("text").cast("binary")))
-    turn = F.row_number().over(Window.partitionBy("doc_id", same).orderBy("text"))
-    return rest.withColumn("nd_turn", turn).where("nd_turn = 1").select(*[F.col(f"`{n}`") for n in names])
+    found = _found(docs, size, percent)
+    stays = F.col("label").isNull() | (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("own") == F.col("first.own")))
+    kept = found.where(stays).select(F.col("doc_id").alias("nd_id"), F.col("own").alias("nd_own")).distinct()
+    mine = docs.withColumns({"nd_doc": F.col("doc_id").cast("long"), "nd_text": _own(F.col("text"))})
+    rest = mine.join(kept, F.col("nd_doc").eqNullSafe(F.col("nd_id")) & (F.col("nd_text") == F.col("nd_own")), "left_semi")
+    return rest.dropDuplicates(["nd_doc", "nd_text"]).select(*[F.col(f"`{n}`") for n in names])

@@ -72,6 +72,24 @@ def test_odd_rows(odd, odd_wide):
     assert ids.count(None) == 2
 
 
+def test_no_unique_text_is_dropped(spark):
+    """Rows that share an id are judged by their own texts; near copies without ids are linked."""
+    words = [f"w{i}" for i in range(100)]
+    text, near, other = " ".join(words), " ".join(words[:60] + ["x"] + words[61:]), " ".join(f"v{i}" for i in range(100))
+    rows = [(1, text), (2, text), (2, other), (3, near)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, N.one_of_each(df).collect())) == sorted([(1, text), (2, other)])
+    got = {(r.doc_id, r.component_id, r.kept) for r in N.near_duplicates(df).collect()}
+    assert got == {(1, 1, True), (2, 1, False), (2, 2, True), (3, 1, False)}
+    df = spark.createDataFrame([(None, text), (None, near), (None, near), (None, other)], "doc_id long, text string")
+    left = [r.text for r in N.one_of_each(df).collect()]
+    assert len(left) == 2 and other in left
+    df = spark.createDataFrame([(None, text), (5, near), (9, other)], "doc_id long, text string")
+    assert sorted(map(tuple, N.one_of_each(df).collect())) == [(5, near), (9, other)]
+    df = spark.createDataFrame([(1, text), (1, other), (1, text)], "doc_id long, text string")
+    assert sorted(map(tuple, N.one_of_each(df).collect())) == sorted([(1, text), (1, other)])
+
+
 def test_empty_table(nothing):
     assert found(nothing, 5, 80) == []
     assert N.one_of_each(nothing).count() == 0
