@@ -9,18 +9,23 @@ not-modified answer may update replace those of the response.
 The as-of join is a window over (canonical URL, time slice), so a URL with very
 many captures is dealt over the slices; the last response of each slice, one
 row per URL and slice, is carried into the later slices. Only ids and dates
-take part; headers and payload are joined to the one matched response.
+take part; headers and payload are joined to the one matched response. A
+response is repeated once for each of up to ``SALTS`` salts that its revisits
+have, so the revisits of a very frequent response do not meet in one task.
 
 Records have record_id, url, date (timestamp), kind (``response`` or
 ``revisit``), status, headers (map, names in lower case) and any other columns,
-which the matched response lends to the result as ``response_<name>``.
+which the matched response lends to the result as ``response_<name>`` (with
+further underscores where that name is taken).
 
 Defined cases: records without url or date match nothing (``no_response``);
-earlier means a smaller date, on equal dates a smaller record_id; neither
-validator on both sides is ``unverified``, a difference is ``changed``; only
-``resolved`` rows have merged headers; repeated response rows count once (the
-first by the order of all their fields); repeated revisit rows are each resolved;
-null headers are an empty map; an empty table gives an empty result.
+earlier means a smaller date, on equal dates a smaller record_id; a response
+without a record_id is not used; neither validator on both sides is
+``unverified``, a difference is ``changed``; only ``resolved`` rows have merged
+headers; responses are told apart by record_id, date and URL, and of rows equal
+in these the first by its header lines, then by the SHA-256 of its other columns
+as JSON, counts; repeated revisit rows are each resolved; null headers are an
+empty map; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,11 +33,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from jobtally.llm.common import written
+
 # Headers a 304 answer carries for the stored response, query parameters that name no resource.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary")
 TRACKING = "utm_[a-z]+|sid|sessionid|phpsessid|jsessionid"
 
 SLICE_SECONDS = 86_400
+SALTS = 256
 _URL = r"^(?:[A-Za-z][A-Za-z0-9+.-]*://)?([^/?#]*)([^?#]*)(?:\?([^#]*))?"
 
 
@@ -54,58 +62,79 @@ def _tag(headers: Column) -> Column:
 
 def latest_earlier(records: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """Each revisit of ``records`` (canonical_url, date, record_id, kind, status, ...) with
-    response_id, the latest earlier full response of its URL."""
-    full = (F.col("kind") == "response") & (F.col("status") == 200)
+    response_id and response_date of the latest earlier full response of its URL."""
+    kind_full = (F.col("kind") == "response") & (F.col("status") == 200)
+    usable = (kind_full & F.col("record_id").isNotNull()) | (F.col("kind") == "revisit")
     time_slice = F.floor(F.unix_micros(F.col("date")) / (slice_seconds * 1_000_000)).cast("long")
-    events = records.where(F.col("canonical_url").isNotNull() & F.col("date").isNotNull() & (full | (F.col("kind") == "revisit")))
-    events = events.select("canonical_url", time_slice.alias("slice"), "date", "record_id", full.alias("full"))
+    events = records.where(F.col("canonical_url").isNotNull() & F.col("date").isNotNull() & usable)
+    events = events.select("canonical_url", time_slice.alias("slice"), "date", "record_id", kind_full.alias("full"))
+    place = F.struct("date", "record_id")
     # responses of one place in time come after the revisits there: earlier is strict
     order = ("date", "record_id", "full")
     here = Window.partitionBy("canonical_url", "slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    found = events.withColumn("here", F.last(F.when(F.col("full"), F.col("record_id")), ignorenulls=True).over(here)).where(~F.col("full"))
-    last = events.where("full").groupBy("canonical_url", "slice").agg(F.max(F.struct("date", "record_id")).alias("last"))
-    slices = last.unionByName(
-        events.where(~F.col("full")).groupBy("canonical_url", "slice").agg(F.lit(None).cast(last.schema["last"].dataType).alias("last")))
-    slices = slices.groupBy("canonical_url", "slice").agg(F.max("last").alias("last"))
+    found = events.withColumn("here", F.last(F.when(F.col("full"), place), ignorenulls=True).over(here)).where(~F.col("full"))
+    # one row per URL and slice: its last response, null where it has revisits only
+    slices = events.groupBy("canonical_url", "slice").agg(F.max(F.when(F.col("full"), place)).alias("last"))
     before = Window.partitionBy("canonical_url").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = slices.select("canonical_url", "slice", F.last("last", ignorenulls=True).over(before)["record_id"].alias("carried"))
-    found = found.join(carried, ["canonical_url", "slice"], "left")
-    return found.select("record_id", "date", "canonical_url", F.coalesce("here", "carried").alias("response_id")).distinct()
-
-
-def resolve(records: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+    carried = slices.select("canonical_url", "slice", F.last("last", ignorenulls=True).over(before).alias("carried"))
+    found = found.join(carried, ["canonical_url", "slice"], "left").withColumn("match", F.coalesce("here", "carried"))
+    return found.select(
+        "record_id", "date", "canonical_url", F.col("match.record_id").alias("response_id"), F.col("match.date").alias("response_date")
+    ).distinct()
+
+
+def _lent_names(others: list[str]) -> list[str]:
+    taken = {"response_id"}
+    names = []
+    for c in others:
+        name = f"response_{c}"
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        names.append(name)
+    return names
+
+
+def resolve(records: DataFrame, slice_seconds: int = SLICE_SECONDS, salts: int = SALTS) -> DataFrame:
     """One row per revisit: record_id, url, canonical_url, date, outcome, response_id, merged_headers,
     and the other columns of the matched response as ``response_<name>``."""
     known = ("record_id", "url", "date", "kind", "status", "headers")
     others = [c for c in records.columns if c not in known]
     empty = F.create_map().cast("map<string,string>")
-    base = records.withColumn("headers", F.coalesce("headers", empty)).withColumn("canonical_url", canonical_url(F.col("url")))
-    matches = latest_earlier(base, slice_seconds).where(F.col("response_id").isNotNull()).select(
-        F.col("record_id").alias("of"), F.col("date").alias("at"), F.col("canonical_url").alias("key"), "response_id")
-    revisits = base.where(F.col("kind") == "revisit").select("record_id", "url", "canonical_url", "date", "headers")
+    base = records.select(
+        "record_id", "url", "date", "kind", "status", canonical_url(F.col("url")).alias("canonical_url"),
+        F.struct(F.coalesce("headers", empty).alias("headers"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)]).alias("row"),
+    )
+    salt = F.pmod(F.xxhash64("record_id", "date"), F.lit(salts))
+    matches = written(latest_earlier(base, slice_seconds).where(F.col("response_id").isNotNull()).withColumn("salt", salt), "revisits")
+    response = ["response_id", "response_date", "response_url"]
+    matches = matches.withColumn("response_url", F.col("canonical_url"))
+    order = F.struct(header_lines(F.col("row.headers")), F.sha2(F.to_json(F.col("row").dropFields("headers")), 256) if others else F.lit(""))
+    stored = base.where((F.col("kind") == "response") & (F.col("status") == 200)).groupBy(
+        F.col("record_id").alias("response_id"), F.col("date").alias("response_date"), F.col("canonical_url").alias("response_url")
+    ).agg(F.min_by("row", order).alias("found"))
+    # a response once for each salt of its revisits
+    stored = stored.join(matches.select(*response, "salt").distinct(), response)
+    own = matches.select(F.col("record_id").alias("of"), F.col("date").alias("at"), F.col("canonical_url").alias("key"), *response, "salt")
+    revisits = base.where(F.col("kind") == "revisit").select("record_id", "url", "canonical_url", "date", F.col("row.headers").alias("mine"))
     revisits = revisits.join(
-        matches, (F.col("record_id") == F.col("of")) & (F.col("date") == F.col("at")) & (F.col("canonical_url") == F.col("key")), "left"
-    ).drop("of", "at", "key")
-    stored = base.where((F.col("kind") == "response") & (F.col("status") == 200)).select(
-        F.col("record_id").alias("found_id"), F.col("headers").alias("stored"), *[F.col(f"`{c}`").alias(f"response_{c}") for c in others]
-    ).dropDuplicates(["found_id"])
-    both = revisits.join(stored, F.col("response_id") == F.col("found_id"), "left")
-    mine, theirs = F.col("headers"), F.col("stored")
+        own, F.col("record_id").eqNullSafe(F.col("of")) & (F.col("date") == F.col("at")) & (F.col("canonical_url") == F.col("key")), "left")
+    both = revisits.join(stored, [*response, "salt"], "left")
+    mine, theirs = F.col("mine"), F.col("found.headers")
     tags = _tag(mine) == _tag(theirs)
     dates = mine["last-modified"] == theirs["last-modified"]
     agree = F.coalesce(tags, dates)  # null where one side lacks the validator
     outcome = (
-        F.when(F.col("found_id").isNull(), "no_response").when(agree.isNull(), "unverified")
+        F.when(F.col("response_id").isNull(), "no_response").when(agree.isNull(), "unverified")
         .when(agree, "resolved").otherwise("changed")
     )
     update = F.map_filter(mine, lambda k, v: k.isin(*PERMITTED))
     kept = F.map_filter(theirs, lambda k, v: ~F.map_contains_key(update, k))
     resolved = F.col("outcome") == "resolved"
-    out = both.withColumn("outcome", outcome)
-    return out.select(
+    return both.withColumn("outcome", outcome).select(
         "record_id", "url", "canonical_url", "date", "outcome", "response_id",
         F.when(resolved, F.map_concat(kept, update)).alias("merged_headers"),
-        *[F.when(resolved, F.col(f"`response_{c}`")).alias(f"response_{c}") for c in others],
+        *[F.when(resolved, F.col(f"found.c{i}")).alias(name) for i, name in enumerate(_lent_names(others))],
     )
 
 

@@ -82,6 +82,53 @@ def test_empty_table_and_other_columns(spark):
     assert {r.response_slice for r in out.collect()} == {"own", None}
 
 
+def test_repeated_record_ids(spark):
+    """Responses of one record_id: the matched one, by date and URL, lends its columns; of rows equal in these the first."""
+    rows = [
+        record(1, "http://a.org", 0, "response", etag="1", digest="a"), record(1, "http://b.org", 0, "response", etag="1", digest="b"),
+        record(1, "http://a.org", 9, "response", etag="1", digest="late"), record(2, "http://a.org", 5, "revisit", 304, etag="1"),
+        record(3, "http://b.org", 5, "revisit", 304, etag="1"), record(4, "http://a.org", 10, "revisit", 304, etag="1"),
+        record(5, "http://c.org", 0, "response", etag="1", digest="x"), record(5, "http://c.org", 0, "response", etag="1", digest="y"),
+        record(6, "http://c.org", 1, "revisit", 304, etag="1"), record(None, "http://d.org", 0, "response", etag="1"),
+        record(7, "http://d.org", 1, "revisit", 304, etag="1"), record(None, "http://a.org", 6, "revisit", 304, etag="1", digest="own"),
+    ]
+    seen = set()
+    for parts in (1, 5):
+        for order in (rows, rows[::-1]):
+            out = R.resolve(spark.createDataFrame(order, SCHEMA).repartition(parts)).collect()
+            found = {r.record_id: r.response_digest for r in out}
+            assert len(out) == 6 and (found[2], found[3], found[4], found[7], found[None]) == ("a", "b", "late", None, "a")
+            seen.add(found[6])
+    assert len(seen) == 1 and seen < {"x", "y"}
+
+
+def test_taken_names(spark):
+    df = spark.createDataFrame(RECORDS, SCHEMA).withColumns({c: F.lit(c) for c in ("id", "canonical_url", "row", "salt", "a.b")})
+    out = R.resolve(df).where("record_id = 2").first()
+    assert (out["response_id"], out["response_id_"], out["response_canonical_url"], out["response_row"]) == (1, "id", "canonical_url", "row")
+    assert out["canonical_url"] == "a.org/x" and out["response_a.b"] == "a.b"
+
+
+def test_hot_response_is_dealt(spark):
+    """The revisits of one response meet it in many tasks, once per salt."""
+    hot = spark.range(20_000).select(
+        (F.col("id") + 10).alias("record_id"), F.lit("http://hot.org").alias("url"),
+        F.timestamp_seconds(F.col("id") + 1_700_000_001).alias("date"), F.lit("revisit").alias("kind"), F.lit(304).alias("status"),
+        F.create_map(F.lit("etag"), F.lit("1")).alias("headers"), F.lit(None).cast("string").alias("digest"))
+    one = spark.createDataFrame([record(1, "http://hot.org", 0, "response", etag="1", digest="d")], SCHEMA)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for k, v in zip(old, ("16", "false", "-1")):
+            spark.conf.set(k, v)
+        out = R.resolve(hot.unionByName(one.withColumn("date", F.timestamp_seconds(F.lit(1_700_000_000)))))
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 20_000 and len(sizes) == 16 and max(sizes) < 4_000
+        assert out.where("response_digest = 'd'").count() == 20_000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_captures_equal_sql(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     odd = [(900, None, "x"), (901, "", None), (902, "http://q.org/é?z=1&a", "ü"), (902, "http://q.org/é?z=1&a", "ü")]
