@@ -12,8 +12,11 @@ symbols are alike.
 
 The trie is never held whole. Documents are dealt into blocks; a block counts
 its own contexts and words, sends them to the shares their keys belong to, and
-gets back the corpus totals of the contexts and words it holds. The scores are
-then computed per distinct context and symbol of the block and summed per text.
+gets back the corpus totals of the contexts and words it holds; shares answer
+only the blocks that asked them. The scores are then computed per distinct
+context and symbol of the block and summed per text. The training tokens and
+distinct training tokens of a share go along with one of its answers, are summed
+over the written scores, and complete the base scores.
 
 Defined cases: a null or empty text is its end alone; a null id is hashed as
 the empty text; repeated rows are counted and scored each; without training
@@ -23,6 +26,8 @@ other columns are not read.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -30,7 +35,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobtally.llm.common import DEALT, DEALT_DDL, arrow_rows, block_count, crc_of_id, deal, text_bytes
+from jobtally.llm.common import DEALT, DEALT_DDL, arrow_rows, block_count, crc_of_id, deal, text_bytes, written
 
 ORDER = 5
 END = 256
@@ -182,37 +187,32 @@ def _split(sent: bytes) -> tuple[memoryview, memoryview]:
     return whole[8:8 + size], whole[8 + size:]
 
 
-def _answer(blocks: int):
-    """Corpus totals of one share, for each block: all symbols of the contexts it holds, the counts
-    of its words in the order sent, and the share's tokens and distinct tokens."""
-
-    def answer(table: pa.Table) -> pa.Table:
-        share = table.column("share")[0].as_py()
-        asked = [(b, *_split(_expand(s.as_py()))) for b, s in zip(table.column("block").to_pylist(), table.column("sent"))]
-        pairs = [_unpack(p) for _, p, _ in asked]
-        words = [_unpack(w) for _, _, w in asked]
-        codes, counts = _summed(np.concatenate([c for c, _ in pairs]), np.concatenate([n for _, n in pairs]))
-        codes, counts = codes[counts > 0], counts[counts > 0]
-        keys, totals = _summed(np.concatenate([k for k, _ in words]), np.concatenate([n for _, n in words]))
-        heads = np.array([totals.sum(), (totals > 0).sum()], _U).tobytes()
-        contexts, start, size = np.unique(codes >> _SYM_BITS, return_index=True, return_counts=True)
-        rows = []
-        for (number, _, _), (own, _), (mine, _) in zip(asked, pairs, words):
-            wanted = np.unique(own >> _SYM_BITS)
-            at = np.searchsorted(contexts, wanted)
-            at = at[np.append(contexts, _U(0))[at] == wanted]
-            many = size[at]
-            held = np.repeat(start[at], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            found = _pack(codes[held], counts[held])
-            known = totals[np.searchsorted(keys, mine)]
-            known = np.ascontiguousarray(known.view(np.uint8).reshape(-1, 8).T).tobytes()
-            rows.append((share, number, _squeeze(heads + len(found).to_bytes(8, "little") + found + known)))
-        # the totals reach the blocks that hold nothing of this share, too
-        others = set(range(blocks)) - {a[0] for a in asked}
-        rows += [(share, number, _squeeze(heads + bytes(8))) for number in others]
-        return arrow_rows(DEALT, rows)
-
-    return answer
+def _answer(table: pa.Table) -> pa.Table:
+    """Corpus totals of one share, for each block that asked: all symbols of the contexts it holds, the
+    counts of its words in the order sent, and, for the first block alone, the share's tokens and distinct tokens."""
+    share = table.column("share")[0].as_py()
+    asked = [(b, *_split(_expand(s.as_py()))) for b, s in zip(table.column("block").to_pylist(), table.column("sent"))]
+    pairs = [_unpack(p) for _, p, _ in asked]
+    words = [_unpack(w) for _, _, w in asked]
+    codes, counts = _summed(np.concatenate([c for c, _ in pairs]), np.concatenate([n for _, n in pairs]))
+    codes, counts = codes[counts > 0], counts[counts > 0]
+    keys, totals = _summed(np.concatenate([k for k, _ in words]), np.concatenate([n for _, n in words]))
+    heads = np.array([totals.sum(), (totals > 0).sum()], _U).tobytes()
+    told = min(a[0] for a in asked)
+    contexts, start, size = np.unique(codes >> _SYM_BITS, return_index=True, return_counts=True)
+    rows = []
+    for (number, _, _), (own, _), (mine, _) in zip(asked, pairs, words):
+        wanted = np.unique(own >> _SYM_BITS)
+        at = np.searchsorted(contexts, wanted)
+        at = at[np.append(contexts, _U(0))[at] == wanted]
+        many = size[at]
+        held = np.repeat(start[at], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        found = _pack(codes[held], counts[held])
+        known = totals[np.searchsorted(keys, mine)]
+        known = np.ascontiguousarray(known.view(np.uint8).reshape(-1, 8).T).tobytes()
+        head = heads if number == told else bytes(16)
+        rows.append((share, number, _squeeze(head + len(found).to_bytes(8, "little") + found + known)))
+    return arrow_rows(DEALT, rows)
 
 
 class Trie:
@@ -269,9 +269,9 @@ class Trie:
         return out
 
 
-_KINDS = {"held_out": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(), "train_tokens": pa.int64(),
-          "base_score": pa.float64(), "score": pa.float64()}
-_SCORES = "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+_KINDS = {"held_out": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(), "word_logs": pa.float64(),
+          "score": pa.float64(), "tokens": pa.int64(), "kinds": pa.int64()}
+_SCORES = "held_out boolean, n_tokens long, n_known long, word_logs double, score double, tokens long, kinds long"
 
 
 def _score(shares: int):
@@ -295,18 +295,21 @@ def _score(shares: int):
         count = np.zeros(len(block.word_keys))
         for share, part in deal(block.word_keys, shares):
             count[part] = known[share]
-        base = np.log10((count + 1) / (tokens + kinds + 1))
+        base = np.log10(count + 1)
         of = np.repeat(np.arange(len(block.size)), block.word_sizes)
         rows = len(block.size)
         n_known = np.bincount(of, weights=count[block.word] > 0, minlength=rows)
-        base_score = np.bincount(of, weights=base[block.word], minlength=rows)
+        word_logs = np.bincount(of, weights=base[block.word], minlength=rows)
+        # what the block was told of the corpus totals, on its first row
+        told = np.zeros((2, rows), np.int64)
+        told[:, 0] = tokens, kinds
         return pa.Table.from_arrays(
             [
                 docs.column("doc_id").combine_chunks(), pa.array(~np.array(docs.column("learned").to_pylist(), bool)),
-                pa.array(block.word_sizes), pa.array(n_known.astype(np.int64)),
-                pa.array(np.full(rows, tokens, np.int64)), pa.array(base_score), pa.array(scores),
+                pa.array(block.word_sizes), pa.array(n_known.astype(np.int64)), pa.array(word_logs), pa.array(scores),
+                pa.array(told[0]), pa.array(told[1]),
             ],
-            names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+            names=["doc_id", *_KINDS],
         )
 
     return score
@@ -318,15 +321,25 @@ def score(docs: DataFrame, learned: Column, block_bytes: int = BLOCK_BYTES) -> D
     ``learned``: whether the model learns from the row (null: not).
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
+    blocks, answers, shares = _exchange(docs, learned, block_bytes)
+    scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(shares), f"doc_id {kind}, {_SCORES}")
+    scored = written(scored, "ppm")
+    tokens, kinds = (x or 0 for x in scored.agg(F.sum("tokens"), F.sum("kinds")).first())
+    return scored.select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"),
+        (F.col("word_logs") - F.col("n_tokens") * math.log10(tokens + kinds + 1)).alias("base_score"), "score")
+
+
+def _exchange(docs: DataFrame, learned: Column, block_bytes: int) -> tuple[DataFrame, DataFrame, int]:
+    """The rows with their blocks, the answers that the blocks get, and the number of shares."""
     n = block_count(docs.sparkSession, docs, block_bytes)
     shares = max(16, n // 4)
     blocks = docs.select(
         "doc_id", "text", F.coalesce(learned, F.lit(False)).alias("learned"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("long").alias("block"),
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("long").alias("block"),
     )
     asked = blocks.groupBy("block").applyInArrow(_ask(shares), DEALT_DDL)
-    answers = asked.groupBy("share").applyInArrow(_answer(n), DEALT_DDL)
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(shares), f"doc_id {kind}, {_SCORES}")
+    return blocks, asked.groupBy("share").applyInArrow(_answer, DEALT_DDL), shares
 
 
 def learned_rows() -> Column:

@@ -27,6 +27,33 @@ def test_equals_brute_force(small, block_bytes):
     docs.unpersist()
 
 
+def test_answers_follow_questions(spark):
+    """A share answers the blocks that asked it and no others; its totals go out once."""
+    import zstandard
+
+    def answers(n):
+        rows = [(i, f"word{i} x") for i in range(n)]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        blocks, got, shares = ppm._exchange(df, ppm.learned_rows(), 12)
+        got = got.collect()
+        tokens = [int.from_bytes(zstandard.ZstdDecompressor().decompress(r.sent)[:8], "little") for r in got]
+        held = {r.block for r in blocks.select("block").distinct().collect()}
+        learned = sum(brute.crc(i) % 7 != 2 for i, _ in rows)
+        assert {r.block for r in got} == held and sum(tokens) == 3 * learned
+        assert len({(r.share, r.block) for r in got}) == len(got) and sum(t > 0 for t in tokens) <= shares
+        return len(got) / n
+
+    # about 30 distinct contexts and words a text: each text asks at most so many shares
+    assert answers(400) < 45 and answers(1600) < 45
+
+
+def test_rows_without_ids_are_dealt(spark):
+    rows = [(None, f"text {i} " * 9) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert ppm._exchange(df, ppm.learned_rows(), 400)[0].select("block").distinct().count() > 5
+    held(rows, df, block_bytes=400)
+
+
 def test_odd_rows(spark):
     rows = [(r[0], (r[1] or "")[:3000] if r[1] else r[1]) for r in ODD_ROWS]
     held(rows, spark.createDataFrame(rows, "doc_id long, text string"), block_bytes=2_000)
