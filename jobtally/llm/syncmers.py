@@ -8,7 +8,10 @@ text order; the likeness of two is the Dice share of their distinct anchors.
 
 Next documents are found without a global sort: ids are dealt into ranges, a
 window finds the neighbour inside a range, and the last row of each range
-takes the first document of the next range that has any.
+takes the first document of the next range that has any. Ranges are parts of
+the ``CUTS`` intervals between approximate quantiles, so that far or clustered
+ids leave at most about one of ``CUTS`` parts of the rows in one range; rows
+without an id are dealt alike by the first bytes of their texts.
 
 Defined cases: a null text is empty; words longer than ``LONG_WORD`` code
 points are cut into pieces, so that a text without spaces has anchors too; a
@@ -28,6 +31,7 @@ from jobtally.llm.common import let
 K, S = 8, 2
 LONG_WORD = 32
 ROWS_PER_RANGE = 2000
+CUTS = 256
 _FIRST = -(1 << 63)
 
 
@@ -73,35 +77,63 @@ def as_string(hashes: Column) -> Column:
     return F.lower(F.array_join(F.transform(hashes, lambda h: F.lpad(F.hex(h), 8, "0")), ""))
 
 
+def _quantiles(value: Column) -> Column:
+    return F.percentile_approx(value, [i / CUTS for i in range(1, CUTS)])
+
+
+def _interval(value: Column, cuts: list[int]) -> Column:
+    """How many of ``cuts`` (ascending) the value reaches."""
+    return F.size(F.filter(F.lit(cuts).cast("array<bigint>"), lambda c: c <= value)).cast("long")
+
+
+def _range(key: Column, text: Column, docs: DataFrame) -> tuple[Column, int]:
+    """Number of the range of a row, rising with (key, text), and how many ranges an interval has.
+
+    Rows without an id have the ranges below 0."""
+    missing = key == _FIRST
+    head = F.rpad(F.hex(F.substring(text.cast("binary"), 1, 7)), 14, "0")
+    head = F.conv(head, 16, 10).cast("long")
+    low, high, rows, cuts, heads = docs.agg(
+        F.min(F.when(~missing, key)), F.max(F.when(~missing, key)), F.count(F.lit(1)),
+        _quantiles(F.when(~missing, key)), _quantiles(F.when(missing, head)),
+    ).first()
+    low, high, cuts, heads = low or 0, high or 0, sorted(set(cuts or [])), sorted(set(heads or []))
+    parts = max(1, -(-rows // (CUTS * ROWS_PER_RANGE)))
+    interval = _interval(key, cuts)
+    edges = F.lit([float(x) for x in (low, *cuts, high)])
+    start, stop = F.get(edges, interval), F.get(edges, interval + 1)
+    part = F.floor((key.cast("double") - start) / F.greatest(stop - start, F.lit(1.0)) * parts)
+    part = F.least(part, F.lit(parts - 1))
+    none = (_interval(head, heads) - (CUTS + 1)) * parts
+    return F.when(missing, none).otherwise(interval * parts + part).cast("long"), parts
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """doc_id, text, anchors, next_text, next_anchors; next by ascending id, cyclic."""
+    kind = docs.schema["doc_id"].dataType
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST))
-    base = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), key.alias("key"))
-    low, high, rows = base.agg(F.min(F.col("doc_id").cast("long")), F.max(F.col("doc_id").cast("long")), F.count(F.lit(1))).first()
-    low, high = low or 0, high or 0
-    ranges = max(64, -(-rows // ROWS_PER_RANGE))
-    place = F.floor((F.col("key").cast("double") - low) / float(high - low + 1) * ranges)
-    base = base.withColumn("range", F.when(F.col("key") == _FIRST, -1).otherwise(place).cast("long"))
+    base = docs.select(key.alias("key"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    number, parts = _range(F.col("key"), F.col("text"), base)
+    rows = base.withColumn("range", number).repartition("range").sortWithinPartitions("range", "key", "text")
     order = Window.partitionBy("range").orderBy("key", "text")
-    dealt = base.repartition("range").sortWithinPartitions("range", "key", "text")
-    dealt = dealt.select("doc_id", "text", "key", "range", anchor_hashes(F.col("text")).alias("anchors"))
+    dealt = rows.select("key", "text", "range", anchor_hashes(F.col("text")).alias("anchors"))
     dealt = dealt.withColumn("next", F.lead(F.struct("text", "anchors")).over(order))
-    # one row per range: its first id, and the range that follows it
-    heads = base.groupBy("range").agg(F.min("key").alias("key"))
-    follow = Window.orderBy("range")
+    # the first text of each range, out of the same shuffle
+    heads = rows.withColumn("place", F.row_number().over(order)).where("place = 1").select("range", F.col("text").alias("head"))
+    # the range after each: inside its interval, else the first of the next interval that has any
+    held = base.select(number.alias("range")).distinct().withColumn("interval", F.floor(F.col("range") / parts))
+    firsts = held.groupBy("interval").agg(F.min("range").alias("first"))
+    follow = Window.orderBy("interval")  # at most 2 * CUTS + 1 rows
     whole = follow.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    heads = heads.select(
-        F.col("range").alias("of"),
-        F.coalesce(F.lead("key").over(follow), F.first("key").over(whole)).alias("key"),
-    )
-    first = (
-        base.join(F.broadcast(heads), "key").groupBy("of").agg(F.min("text").alias("head"))
-        .select("of", "head", anchor_hashes(F.col("head")).alias("head_anchors"))
-    )
+    firsts = firsts.select("interval", F.coalesce(F.lead("first").over(follow), F.first("first").over(whole)).alias("first"))
+    inside = F.lead("range").over(Window.partitionBy("interval").orderBy("range"))
+    after = held.withColumn("inside", inside).join(firsts, "interval").select(
+        F.col("range").alias("of"), F.coalesce("inside", "first").alias("range"))
+    first = after.join(heads, "range").select("of", "head", anchor_hashes(F.col("head")).alias("head_anchors"))
     joined = dealt.join(first, F.col("range") == F.col("of"), "left")
     last = F.col("next").isNull()
     return joined.select(
-        "doc_id", "text", "anchors",
+        F.when(F.col("range") >= 0, F.col("key").cast(kind)).alias("doc_id"), "text", "anchors",
         F.when(last, F.col("head")).otherwise(F.col("next.text")).alias("next_text"),
         F.when(last, F.col("head_anchors")).otherwise(F.col("next.anchors")).alias("next_anchors"),
     )

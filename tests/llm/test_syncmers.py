@@ -5,6 +5,7 @@ import brute
 import pytest
 import xxhash
 from odd_rows import ODD_ROWS
+from pyspark.sql import functions as F
 
 from jobtally.llm import syncmers as S
 
@@ -81,6 +82,35 @@ def test_uneven_ids(spark):
     assert got(spark.createDataFrame(rows, "doc_id long, text string")) == want(rows)
 
 
+def test_ranges_of_far_and_missing_ids(spark, monkeypatch):
+    """Neither one far id nor missing ids gather the rows in one range."""
+    near = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    far = spark.createDataFrame([(1 << 61, "far"), (-(1 << 61), "below")], near.schema)
+    none = near.select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.md5(F.col("text")), F.lit(" x")).alias("text"))
+    monkeypatch.setattr(S, "ROWS_PER_RANGE", 4)
+    df = near.unionByName(far).unionByName(none)
+    key = F.coalesce(F.col("doc_id"), F.lit(S._FIRST))
+    number, _ = S._range(key, F.col("text"), df)
+    sizes = df.groupBy((key == S._FIRST).alias("none"), number.alias("range")).count().collect()
+    assert max(r["count"] for r in sizes) < 100 and min(sum(r.none for r in sizes), sum(not r.none for r in sizes)) > 200
+    assert all((r.range < 0) == r.none for r in sizes)
+    assert got(df) == want([tuple(r) for r in df.collect()])
+
+
+def test_plan_without_hints(spark, small):
+    """One shuffle of the texts for both uses of the ranges, and no broadcast that was asked for."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = S.with_next(small)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        final = plan.split("Initial Plan")[0]
+        assert "BroadcastExchange" not in final and "Python" not in final and "ReusedExchange" in final, plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_anchor_survives_outside_edits(spark):
     """Every anchor whose words are untouched by an edit is found again."""
     words = [f"w{i * 7919 % 1009}" for i in range(200)]
