@@ -129,7 +129,8 @@ def masked_texts(formatted: str, begin: np.ndarray, end: np.ndarray, mask: np.nd
         cuts = np.flatnonzero(np.diff(marked) > 1) + 1
         for run in np.split(marked, cuts):
             first, last = begin[run[0]], end[run[-1]]
-            inside = np.flatnonzero((low < last) & (high > first))
+            # spans are in order and apart: those that overlap the run lie side by side
+            inside = range(np.searchsorted(high, first, "right"), np.searchsorted(low, last, "left"))
             out += [unescape(formatted[max(first, low[i]):min(last, high[i])]) for i in inside]
     return out
 
