@@ -23,8 +23,8 @@ earlier means a smaller date, on equal dates a smaller record_id; a response
 without a record_id is not used; neither validator on both sides is
 ``unverified``, a difference is ``changed``; only ``resolved`` rows have merged
 headers; responses are told apart by record_id, date and URL, and of rows equal
-in these the first by its header lines, then by the SHA-256 of its other columns
-as JSON, counts; repeated revisit rows are each resolved; null headers are an
+in these that with the least SHA-256 of its header lines and other columns, as
+JSON, counts; repeated revisit rows are each resolved; null headers are an
 empty map; an empty table gives an empty result.
 """
 
@@ -103,24 +103,26 @@ def resolve(records: DataFrame, slice_seconds: int = SLICE_SECONDS, salts: int =
     empty = F.create_map().cast("map<string,string>")
     base = records.select(
         "record_id", "url", "date", "kind", "status", canonical_url(F.col("url")).alias("canonical_url"),
-        F.struct(F.coalesce("headers", empty).alias("headers"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)]).alias("row"),
+        F.coalesce("headers", empty).alias("headers"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)],
     )
+    lent = [f"c{i}" for i in range(len(others))]
     salt = F.pmod(F.xxhash64("record_id", "date"), F.lit(salts))
     matches = written(latest_earlier(base, slice_seconds).where(F.col("response_id").isNotNull()).withColumn("salt", salt), "revisits")
     response = ["response_id", "response_date", "response_url"]
     matches = matches.withColumn("response_url", F.col("canonical_url"))
-    order = F.struct(header_lines(F.col("row.headers")), F.sha2(F.to_json(F.col("row").dropFields("headers")), 256) if others else F.lit(""))
-    stored = base.where((F.col("kind") == "response") & (F.col("status") == 200)).groupBy(
+    turn = F.unhex(F.sha2(F.to_json(F.struct(header_lines(F.col("headers")).alias("headers"), *lent)), 256))
+    # column by column, so that those nobody asks for are not shuffled
+    stored = base.where((F.col("kind") == "response") & (F.col("status") == 200)).withColumn("turn", turn).groupBy(
         F.col("record_id").alias("response_id"), F.col("date").alias("response_date"), F.col("canonical_url").alias("response_url")
-    ).agg(F.min_by("row", order).alias("found"))
+    ).agg(*[F.min_by(c, "turn").alias(name) for c, name in (("headers", "theirs"), *zip(lent, lent))])
     # a response once for each salt of its revisits
     stored = stored.join(matches.select(*response, "salt").distinct(), response)
     own = matches.select(F.col("record_id").alias("of"), F.col("date").alias("at"), F.col("canonical_url").alias("key"), *response, "salt")
-    revisits = base.where(F.col("kind") == "revisit").select("record_id", "url", "canonical_url", "date", F.col("row.headers").alias("mine"))
+    revisits = base.where(F.col("kind") == "revisit").select("record_id", "url", "canonical_url", "date", F.col("headers").alias("mine"))
     revisits = revisits.join(
         own, F.col("record_id").eqNullSafe(F.col("of")) & (F.col("date") == F.col("at")) & (F.col("canonical_url") == F.col("key")), "left")
     both = revisits.join(stored, [*response, "salt"], "left")
-    mine, theirs = F.col("mine"), F.col("found.headers")
+    mine, theirs = F.col("mine"), F.col("theirs")
     tags = _tag(mine) == _tag(theirs)
     dates = mine["last-modified"] == theirs["last-modified"]
     agree = F.coalesce(tags, dates)  # null where one side lacks the validator
@@ -134,7 +136,7 @@ def resolve(records: DataFrame, slice_seconds: int = SLICE_SECONDS, salts: int =
     return both.withColumn("outcome", outcome).select(
         "record_id", "url", "canonical_url", "date", "outcome", "response_id",
         F.when(resolved, F.map_concat(kept, update)).alias("merged_headers"),
-        *[F.when(resolved, F.col(f"found.c{i}")).alias(name) for i, name in enumerate(_lent_names(others))],
+        *[F.when(resolved, F.col(c)).alias(name) for c, name in zip(lent, _lent_names(others))],
     )
 
 
