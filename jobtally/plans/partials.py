@@ -19,6 +19,7 @@ from jobtally.functions.calendar import period_calendar, period_dimension, resol
 from jobtally.operators import metrics as M
 from jobtally.operators.derive import derive_jobs
 from jobtally.operators.report import report_long
+from jobtally.session import listed_in_few_tasks
 from jobtally.sources.jobfiles import DEFAULT_GLOB, PERIOD_PATTERN, apply_aliases, keep_periods, read_job_files
 
 STORE_DDL = ("cluster string, " + ", ".join(f"{m} bigint" for m in M.MEASURES) + ", stamp string, Period string")
@@ -29,7 +30,8 @@ def month_stamps(spark: SparkSession, data_dir: str, glob: str = DEFAULT_GLOB) -
 
     A listing; no file is opened.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(data_dir)
+    with listed_in_few_tasks(spark):
+        files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(data_dir)
     name = F.element_at(F.split("path", "/"), -1)
     one = F.xxhash64(name, "length", "modificationTime").cast("decimal(38,0)")
     token = F.regexp_extract(name, PERIOD_PATTERN, 1)

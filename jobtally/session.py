@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import SparkConf
 from pyspark.sql import SparkSession
@@ -87,3 +89,42 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """``values`` hold inside the block; what was set before holds after it."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+#: open writers of a task that writes partitions side by side (twelve months, and what carries no month)
+SIDE_BY_SIDE = 32
+
+
+def side_by_side(spark: SparkSession):
+    """Inside the block a write by a partition column keeps a writer open per value, up to ``SIDE_BY_SIDE``.
+
+    Spark else sorts a task's rows by the partition column first, and a task
+    with more rows than its memory holds spills all of them.
+    """
+    return _settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(SIDE_BY_SIDE)})
+
+
+def listed_in_few_tasks(spark: SparkSession):
+    """Inside the block, files are listed by a few tasks a core, each for many folders.
+
+    Spark else starts a task per folder or named file (up to 10,000), which
+    takes far longer than the listing.
+    """
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    return _settings(spark, {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(tasks)})

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from jobtally.session import listed_in_few_tasks, side_by_side
+
 # Column order of the accounting export (positional, all text).
 JOB_COLUMNS = (
     "JobID", "JobIDRaw", "ElapsedRaw", "Account", "AllocCPUS", "CPUTimeRAW",
@@ -37,6 +39,8 @@ DELIMITER = "|"
 
 #: a month with more rows is written in several files
 ROWS_PER_FILE = 1_000_000
+#: row groups of the landing: a task has as many open as there are months
+LANDED_GROUP_BYTES = 16 << 20
 
 
 def keep_periods(df: DataFrame, months: Iterable[str] | None,
@@ -92,14 +96,17 @@ def read_job_files(
     else:
         reader = reader.schema(JOB_SCHEMA)
     if layout == "partitioned":
-        df = reader.csv(data_dir)
+        with listed_in_few_tasks(spark):
+            df = reader.csv(data_dir)
         df = keep_periods(df, months, period_aliases)
         return apply_aliases(df, period_aliases)
     if legacy_naming:
-        df = reader.option("pathGlobFilter", "jobs*").csv(data_dir)
+        with listed_in_few_tasks(spark):
+            df = reader.option("pathGlobFilter", "jobs*").csv(data_dir)
         pattern = LEGACY_PERIOD_PATTERN
     else:
-        df = reader.csv(f"{data_dir.rstrip('/')}/{glob}")
+        with listed_in_few_tasks(spark):
+            df = reader.csv(f"{data_dir.rstrip('/')}/{glob}")
         pattern = PERIOD_PATTERN
     df = df.withColumn("Period", F.regexp_extract(F.col("_metadata.file_name"), pattern, 1))
     df = keep_periods(df, months, period_aliases)
@@ -112,41 +119,47 @@ def write_job_files(raw: DataFrame, path: str) -> None:
     ``read_job_files(..., layout="partitioned")``. Months that ``raw`` does
     not hold keep what was written before.
 
-    Each task writes one file per month present in its input, so input that
-    is already split by month (the monthly exports) yields one file per
-    task.
+    Each task writes one file per month present in its input, the months side
+    by side and without a sort, so input that is already split by month (the
+    monthly exports) yields one file per task.
     """
-    (raw.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("Period")
-     .option("sep", DELIMITER).option("header", True).csv(path))
+    with side_by_side(raw.sparkSession):
+        (raw.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("Period")
+         .option("sep", DELIMITER).option("header", True).csv(path))
 
 
 def write_flat_job_files(raw: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Write raw job rows the way the exports arrive, directly in ``path``: ``jobs_<Mon>.txt``, and for a
     month of more than ``rows_per_file`` rows parts ``jobs_<Mon>.<n>.txt`` beside it.
 
-    Rows are counted by month first (a dozen numbers); each is dealt to a part
-    of its month by its hash, so a month with half of all rows is written by as
-    many tasks as it has parts.
+    Rows are counted by month first (a dozen numbers). A longer month is written
+    where its rows are read: no row is moved or sorted, each task begins a new
+    file after ``rows_per_file`` rows, and there are no more tasks than cores or
+    than fill their files. Only the rows of shorter months are brought together.
     """
     spark = raw.sparkSession
     jvm = spark._jvm
     folder = f"{path.rstrip('/')}/_months"
-    sizes = raw.groupBy(F.col("Period").alias("month")).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("parts"))
-    # one row per month
-    dealt = raw.join(F.broadcast(sizes), F.col("Period").eqNullSafe(F.col("month")))
-    dealt = dealt.withColumn("part", F.pmod(F.xxhash64(*JOB_COLUMNS), F.col("parts")))
-    (dealt.drop("month", "parts").repartition("Period", "part").write.mode("overwrite").partitionBy("Period", "part")
-     .option("sep", DELIMITER).option("header", True).csv(folder))
+    sizes = {r["Period"]: r["n"] for r in raw.groupBy("Period").agg(F.count(F.lit(1)).alias("n")).collect()}
+    long = [m for m, n in sizes.items() if n > rows_per_file]
+    is_long = F.coalesce(F.col("Period").isin([m for m in long if m is not None]), F.lit(None in long))
+    tasks = max(spark.sparkContext.defaultParallelism, -(-sum(sizes.values()) // (rows_per_file * max(len(sizes), 1))))
+    short = raw.where(~is_long).repartition("Period")
+    with side_by_side(spark):
+        for mode, rows in (("overwrite", raw.where(is_long).coalesce(tasks) if long else None),
+                           ("append", short if len(long) < len(sizes) or not sizes else None)):
+            if rows is not None:
+                (rows.write.mode(mode).partitionBy("Period").option("maxRecordsPerFile", rows_per_file)
+                 .option("sep", DELIMITER).option("header", True).csv(folder))
     # the parts are renamed, not copied
     root = jvm.org.apache.hadoop.fs.Path(folder)
     fs = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     for month in fs.listStatus(root):
         token = month.getPath().getName().partition("=")[2]
-        for part in fs.listStatus(month.getPath()) if token else ():
-            number = int(part.getPath().getName().partition("=")[2])
+        parts = [p.getPath() for p in fs.listStatus(month.getPath())] if token else []
+        for number, part in enumerate(sorted(parts, key=lambda p: p.getName())):
             name = f"jobs_{token}.{number}.txt" if number else f"jobs_{token}.txt"
-            for written in fs.listStatus(part.getPath()):
-                fs.rename(written.getPath(), jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}"))
+            fs.rename(part, jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}"))
     fs.delete(root, True)
 
 
@@ -167,7 +180,9 @@ def period_tokens(spark: SparkSession, data_dir: str, glob: str = "jobs*",
         token = F.regexp_extract(F.element_at(F.split(path, "/"), -1),
                                  LEGACY_PERIOD_PATTERN if legacy_naming else PERIOD_PATTERN, 1)
         reader = reader.option("pathGlobFilter", glob)
-    rows = reader.load(data_dir).select(token.alias("token")).where("token <> ''").distinct()
+    with listed_in_few_tasks(spark):
+        files = reader.load(data_dir)
+    rows = files.select(token.alias("token")).where("token <> ''").distinct()
     return sorted(r["token"] for r in rows.collect())
 
 
@@ -208,13 +223,14 @@ def land_jobs(raw: DataFrame, path: str) -> None:
     Replaces the months that ``raw`` holds and no others, so landing a month
     again after its export was rewritten, or a late month, loses nothing.
 
-    No shuffle: there are at most a dozen period values, so each scan task
-    writes at most that many files. Hashing rows by ``Period`` instead would
+    No shuffle and no sort: there are at most a dozen period values, so each scan
+    task writes at most that many files, side by side. Hashing rows by ``Period`` instead would
     funnel a whole month (a twelfth of the data, or more when one month is
     hot) through a single task.
     """
-    (raw.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("Period").parquet(path))
+    with side_by_side(raw.sparkSession):
+        (raw.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("parquet.block.size", LANDED_GROUP_BYTES)
+         .partitionBy("Period").parquet(path))
 
 
 def read_landed_jobs(spark: SparkSession, path: str, months: Iterable[str] | None = None,

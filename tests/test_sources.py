@@ -241,3 +241,55 @@ def test_flat_exports_in_parts(spark, tmp_path):
     assert _counts(read_job_files(spark, out, months=["May"])) == {"May": _counts(raw)["May"]}
     assert period_tokens(spark, out) == sorted(_counts(raw))
     assert _counts(read_job_files_per_month(spark, out, legacy_naming=True)) == _counts(raw)
+
+
+def test_exports_are_written_without_moving_or_sorting_rows(spark, tmp_path, monkeypatch):
+    """Long months are written where their rows are read: no shuffle, sort or spill that grows with them."""
+    from pyspark.sql import DataFrameWriter
+
+    from jobtally.sources.jobfiles import write_flat_job_files
+
+    plans = []
+
+    def noting(name):
+        write = getattr(DataFrameWriter, name)
+
+        def noted(self, path, *args, **kwargs):
+            write(self, path, *args, **kwargs)
+            assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) >= 13
+            plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+
+        monkeypatch.setattr(DataFrameWriter, name, noted)
+
+    noting("csv")
+    noting("parquet")
+    raw = read_job_view(spark, SMALL).repartition(2).localCheckpoint()
+    flat, folders, land = (str(tmp_path / n) for n in ("flat", "folders", "land"))
+    write_flat_job_files(raw, flat, rows_per_file=100)
+    write_job_files(raw, folders)
+    land_jobs(read_job_files(spark, flat), land)
+    assert len(plans) == 3 and not [p for p in plans if "Exchange" in p or "Sort" in p]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == "0"
+    for back in (read_job_files(spark, flat), read_job_files(spark, folders, layout="partitioned"), read_landed_jobs(spark, land)):
+        assert _rows_of(back) == _rows_of(raw)
+
+
+def test_flat_exports_with_short_long_and_missing_months(spark, tmp_path):
+    from jobtally.sources.jobfiles import write_flat_job_files
+
+    raw = read_job_view(spark, SMALL).limit(300).withColumn(
+        "Period", F.when(F.col("JobID").endswith("1"), "May").when(F.col("JobID").endswith("2"), "Jun").when(F.col("JobID").endswith("3"), None).otherwise("Jul"))
+    raw = raw.repartition(5).localCheckpoint()
+    counts = {r["Period"]: r["count"] for r in raw.groupBy("Period").count().collect()}
+    out = str(tmp_path / "flat")
+    write_flat_job_files(raw, out, rows_per_file=counts["Jun"])
+    files = [f for f in os.listdir(out) if not f.startswith(".")]
+    assert [f for f in files if "Jun" in f] == ["jobs_Jun.txt"] and len([f for f in files if "Jul" in f]) > 1
+    back = {r["Period"]: r["count"] for r in read_job_files(spark, out).groupBy("Period").count().collect()}
+    assert back == {m or "__HIVE_DEFAULT_PARTITION__": n for m, n in counts.items()}
+
+
+def _rows_of(df):
+    from jobtally.sources.jobfiles import JOB_COLUMNS
+
+    return sorted((tuple(r) for r in df.select(*JOB_COLUMNS, "Period").collect()), key=repr)
