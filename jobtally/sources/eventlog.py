@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jobtally.session import listed_in_few_tasks
 
 # Suffixes of zstd-compressed logs.
 ZSTD_SUFFIXES = (".zstd", ".zst")
@@ -62,14 +63,15 @@ def read_event_logs(spark: SparkSession, paths: str | list[str],
     hold both.
     """
     path_list = [paths] if isinstance(paths, str) else list(paths)
-    plain = spark.read.text(path_list)
+    with listed_in_few_tasks(spark):
+        plain, packed = spark.read.text(path_list), _zstd_lines(spark, path_list)
     uri = F.col("_metadata.file_path")
     # A split's rows are scanned in order, so the generated id grows within it;
     # the splits of a file are ordered by where they begin.
     plain = plain.filter(~_is_zstd(uri)).select(
         _plain_path(uri).alias("path"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("ord"), F.col("value").alias("line"))
-    lines = plain.unionByName(_zstd_lines(spark, path_list))
+    lines = plain.unionByName(packed)
     run, seq = _labels(F.col("path"), label, label_from)
     lines = lines.withColumn("seq", seq)
     file = F.when(F.col("seq") > 0, F.regexp_replace("path", "/[^/]*$", "")).otherwise(F.col("path"))
