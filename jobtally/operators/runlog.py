@@ -18,7 +18,7 @@ task_span_s, executor_run_s, executors, lines, parse_errors.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -262,16 +262,46 @@ def write_run_metrics(metrics: DataFrame, path: str, all_columns: bool = False)
     out.write.mode("append").option("header", True).csv(path)
 
 
+#: folders of a replacing metrics folder; no more than Spark lists without a job
+RUN_BUCKETS = 32
+
+
 def replace_run_metrics(metrics: DataFrame, path: str, all_columns: bool = False) -> None:
     """Put run rows into a metrics folder in place of what it holds of the same runs.
 
-    One subfolder per run label (``run=<label>``), replaced as a whole when the
-    write commits: a job that is tried again, or a log that is analysed again,
-    leaves one row per run. Rows of other runs, and those that
-    :func:`write_run_metrics` appended, stay as they are.
+    Runs are dealt to subfolders (``bucket=<n>``) by a hash of their label. The
+    rows of other runs in the buckets concerned are written again beside the new
+    ones, and each bucket is replaced as a whole when the write commits: a job
+    that is tried again, or a log that is analysed again, leaves one row per
+    run. Other buckets, and the rows that :func:`write_run_metrics` appended,
+    stay as they are. A bucket holds either the ten columns or all.
+
+    The files are as many as the buckets touched, whatever the number of runs;
+    ``metrics`` is computed once.
     """
-    out = metrics.select(*(METRICS_COLUMNS if all_columns else METRICS_FILE_COLUMNS), F.col("run_label").alias("run"))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").option("header", True).csv(path))
+    spark = metrics.sparkSession
+    columns = METRICS_COLUMNS if all_columns else METRICS_FILE_COLUMNS
+    if _found(spark, f"{path}/run=*"):
+        raise ValueError(f"{path} holds a folder per run, as an earlier version wrote them: put those runs into a new folder")
+    rows = metrics.select(*columns, F.lit(1).alias("new"))
+    if _found(spark, f"{path}/bucket=*"):
+        # as text, so that what stays is written as it was
+        stored = (spark.read.option("header", True).option("enforceSchema", False).option("multiLine", True)
+                  .schema(T.StructType([T.StructField(c, S) for c in columns])).csv(f"{path}/bucket=*"))
+        text_rows = rows.select(*(F.col(c).cast("string").alias(c) for c in columns), "new")
+        rows = text_rows.unionByName(stored.select("*", F.lit(0).alias("new")))
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("run_label"), F.lit(RUN_BUCKETS))).repartition(RUN_BUCKETS, "bucket")
+    of_run, of_bucket = Window.partitionBy("bucket", "run_label"), Window.partitionBy("bucket")
+    kept = rows.withColumns({"newest": F.max("new").over(of_run), "touched": F.max("new").over(of_bucket)})
+    (kept.where("touched = 1 AND new = newest").select(*columns, "bucket").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").option("header", True).csv(path))
+
+
+def _found(spark: SparkSession, pattern: str) -> bool:
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(at)
+    return found is not None and len(found) > 0
 
 
 # Types of the metrics columns.
