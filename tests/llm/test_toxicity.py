@@ -174,3 +174,29 @@ def test_score_does_not_read_language(spark):
     a = T.classify(spark.createDataFrame(rows, SCHEMA), marks)
     b = T.classify(spark.createDataFrame([(i, t, "xx", None) for i, t, _, _ in rows], SCHEMA), marks)
     assert {r.doc_id: r.score for r in a.collect()} == {r.doc_id: r.score for r in b.collect()}
+
+
+def test_every_labelled_row_trains(spark, monkeypatch):
+    """Rows beyond one shard train the network and set its cuts; no part of them is left out."""
+    rows, labels = corpus(1500)
+    # a stem of its own in rows of a single shard but the first
+    shard = {r.doc_id: r.shard for r in spark.createDataFrame([(i,) for i, *_ in rows], "doc_id long").selectExpr(
+        "doc_id", "pmod(xxhash64(doc_id, 7), 4) AS shard").collect()}
+    rare = {i for i, _, y in labels if y and shard[i] == 3}
+    rows = [(i, t.replace("vermuk", "dwyffg").replace("quoxzel", "dwyffg") if i in rare else t, lang, s) for i, t, lang, s in rows]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(T, "calibrate", lambda model, shards, whole, real=T.calibrate: (
+        seen.append((shards.getNumPartitions(), shards.count())), real(model, shards, whole))[1])
+    training = T.crc_of_id(T.F.col("doc_id")) % 3 != 1
+    want = docs.where(training).count()
+    model = T.fit(docs, marks, training, shard_rows=-(-want // 4))
+    again = T.fit(docs.repartition(7), marks.repartition(3), training, shard_rows=-(-want // 4))
+    assert seen == [(4, want)] * 2
+    assert all((a == b).all() for a, b in zip([model.embedding, *model.filters], [again.embedding, *again.filters]))
+    truth = {i: y for i, _, y in labels}
+    held = [r for r in T.score(docs.where(~training), model).collect()]
+    assert sum((r.score >= T.CUT) == truth[r.doc_id] for r in held) / len(held) > 0.95
+    rare_held = [r for r in held if r.doc_id in rare]
+    assert rare_held and sum(r.score >= T.CUT for r in rare_held) / len(rare_held) > 0.9
