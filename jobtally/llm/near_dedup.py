@@ -12,10 +12,12 @@
    pairs that pass size and sketch are verified on the full sets.
 4. Verified links make components (alternating stars). In a bucket whose nodes
    are not yet one component, the nodes outside its largest component are
-   paired with all that lie in other components, dealt over several tasks; a
-   pair is taken in the first bucket that both share, once, and verified as
-   well. So pairs inside a component are never listed, and no link between
-   components is missed. The links found then join components, not nodes.
+   compared with all that lie in other components. Both sides are dealt into
+   pieces of about ``PIECE`` rows, and Spark deals the pairs of pieces over its
+   tasks, where numpy compares the sketches; a pair is taken in the first bucket
+   that both share, once, and verified as well. So pairs inside a component are
+   never listed, and no link between components is missed. The links found then
+   join components, not nodes.
 
 Defined cases: a null or empty text, or one without words, has the empty set
 and is linked with nothing; with fewer words than a shingle the whole sequence
@@ -30,6 +32,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +48,7 @@ ROWS = 4
 MISS = 1e-7
 SAMPLES = 1 << 14
 SKETCH_LONGS = 32
-SPLIT = 16
+PIECE = 1024
 
 _U = np.uint64
 
@@ -156,7 +159,12 @@ def _own(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
-def _most(mean: Column) -> Column:
+#: the functions of ``sketch_limit``, on columns and on arrays
+_COLUMNS = SimpleNamespace(least=F.least, greatest=F.greatest, exp=F.exp, sqrt=F.sqrt, log=F.log, number=F.lit)
+_ARRAYS = SimpleNamespace(least=np.minimum, greatest=np.maximum, exp=np.exp, sqrt=np.sqrt, log=np.log, number=float)
+
+
+def _most(mean, on):
     """A count that a sum of rare events with this mean exceeds with a chance of at most ``MISS``.
 
     Chernoff's bound for Poisson counts, which holds for small means too: the
@@ -164,11 +172,11 @@ def _most(mean: Column) -> Column:
     it, and a step of Newton's from there comes nearer without passing it.
     """
     need = -math.log(MISS)
-    most = mean + need / 3 + F.sqrt(need * need / 9 + 2 * need * mean)
-    return (most - mean + need) / F.log(most / mean)
+    most = mean + need / 3 + on.sqrt(need * need / 9 + 2 * need * mean)
+    return (most - mean + need) / on.log(most / mean)
 
 
-def sketch_limit(a: Column, b: Column, percent: int) -> Column:
+def sketch_limit(a, b, percent: int, on=_COLUMNS):
     """Set bits that the XOR of the sketches of a linked pair of sets of these sizes may have.
 
     Linked sets differ in at most ``gap`` elements, and a sample differs only
@@ -177,18 +185,20 @@ def sketch_limit(a: Column, b: Column, percent: int) -> Column:
     differing sample flips one bit, or two where its bin is occupied in both
     sets: rare in small sets, so their number is bounded by ``_most``, and by
     the differing samples. Bits that are flipped twice only lower the count.
+
+    ``a`` and ``b`` are columns, or arrays with ``on`` set to ``_ARRAYS``.
     """
     share = percent / 100
     union = (a + b) * 100 / (100 + percent)
     gap = (a + b) * (100 - percent) / (100 + percent)  # exact where it is a whole number
-    samples = SAMPLES * (1 - F.exp(-union / SAMPLES))
-    differ = F.least(gap, samples * (1 - share) + 6 * F.sqrt(samples * (share * (1 - share))) + 4)
+    samples = SAMPLES * (1 - on.exp(-union / SAMPLES))
+    differ = on.least(gap, samples * (1 - share) + 6 * on.sqrt(samples * (share * (1 - share))) + 4)
     # at least the chance that the other set has the bin; without exp, as it is computed for each pair
-    both = F.least(F.lit(1.0), F.greatest(a, b) * -math.log1p(-1 / SAMPLES))
+    both = on.least(on.number(1.0), on.greatest(a, b) * -math.log1p(-1 / SAMPLES))
     # at 100 percent nothing differs: the mean stays above 0 for the logarithm
-    flips = differ + F.least(differ, _most(F.greatest(gap * both, F.lit(1e-9))))
+    flips = differ + on.least(differ, _most(on.greatest(gap * both, on.number(1e-9)), on))
     bits = 64 * SKETCH_LONGS
-    return F.least(flips, bits / 2 * (1 - F.exp(-2 * flips / bits)) + 3 * math.sqrt(bits))
+    return on.least(flips, bits / 2 * (1 - on.exp(-2 * flips / bits)) + 3 * math.sqrt(bits))
 
 
 def _xor_bits(a: Column, b: Column) -> Column:
@@ -253,24 +263,92 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def _remaining(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs that share a bucket and lie in different components."""
+def _dealt(buckets: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of the buckets with several components, once or more per side, as units (key, i, j) of bounded size.
+
+    On the left a bucket has its nodes outside its largest component (``main``), in pieces i;
+    on the right all its nodes, in pieces j. Each piece stands in the units with all of the other side.
+    """
     placed = _labelled(buckets, labels)
     counts = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("rows"))
-    main = counts.groupBy("key").agg(F.max_by("label", F.struct("rows", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
-    open_ = placed.join(main.where("labels > 1"), "key").join(nodes, "node")
-    open_ = written(open_.select("key", "main", "label", "node", F.struct("n", "sketch").alias("of"), "bands"), "open")
-    # the rows of a bucket are dealt over SPLIT tasks; those outside its largest component visit all of them
-    right = open_.select(F.col("key"), F.col("node").alias("b"), F.col("label").alias("label_b"), F.col("of").alias("y"), F.col("bands").alias("bands_b"),
-                         F.pmod(F.xxhash64("node"), F.lit(SPLIT)).cast("int").alias("piece"))
-    left = open_.where("label != main").select(
-        F.col("key"), F.col("main"), F.col("node").alias("a"), F.col("label").alias("label_a"), F.col("of").alias("x"), F.col("bands").alias("bands_a"),
-        F.explode(F.sequence(F.lit(0), F.lit(SPLIT - 1))).alias("piece"))
-    apart = (F.col("label_a") != F.col("label_b")) & ((F.col("label_b") == F.col("main")) | (F.col("a") < F.col("b")))
-    # components that differ differ in all buckets that they share, so the first one has the pair
-    first = F.get(F.array_intersect("bands_a", "bands_b"), 0) == F.col("key")
-    met = left.join(right, ["key", "piece"]).where(apart & _likely("x", "y", percent) & first)
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    main = counts.groupBy("key").agg(
+        F.max_by("label", F.struct("rows", "label")).alias("main"), F.count(F.lit(1)).alias("labels"),
+        F.sum("rows").alias("all"), (F.sum("rows") - F.max("rows")).alias("outside"))
+    main = main.where("labels > 1").select("key", "main", *[F.ceil(F.col(c) / PIECE).cast("long").alias(c) for c in ("all", "outside")])
+    open_ = written(placed.join(main, "key").join(nodes, "node"), "open")
+
+    def side(rows: DataFrame, number: int, own: str, pieces: str, other: str, others: str) -> DataFrame:
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(others) - 1)).alias(other)
+        piece = F.pmod(F.xxhash64("node", F.lit(number)), F.col(pieces)).alias(own)
+        out = rows.select("key", piece, every, F.lit(number).alias("side"), "main", "label", "node", "n", "sketch", "bands")
+        return out.select("key", "i", "j", "side", "main", "label", "node", "n", "sketch", "bands")
+
+    left = side(open_.where("label != main"), 0, "i", "outside", "j", "all")
+    return left.unionByName(side(open_, 1, "j", "all", "i", "outside"))
+
+
+def _remaining(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Likely pairs that share a bucket and lie in different components."""
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _units(batches):
+            a, b = _met(rows, percent)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    unit = ["key", "i", "j"]
+    dealt = _dealt(buckets, nodes, labels).repartition(*unit).sortWithinPartitions(*unit)
+    return dealt.mapInArrow(compare, "a long, b long").distinct()
+
+
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+    """The columns of each unit, from batches in which the rows of a unit follow each other."""
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
+        rows = _arrays(table, ("key", "i", "j"))
+        cuts = np.flatnonzero((rows["key"][1:] != rows["key"][:-1]) | (rows["i"][1:] != rows["i"][:-1]) | (rows["j"][1:] != rows["j"][:-1])) + 1
+        if len(cuts):
+            rows = _arrays(table.slice(0, int(cuts[-1])), table.column_names)
+            for low, high in zip([0, *cuts[:-1].tolist()], cuts.tolist()):
+                yield {name: column[low:high] for name, column in rows.items()}
+        held = table.slice(int(cuts[-1])) if len(cuts) else table
+    if held is not None and held.num_rows:
+        yield _arrays(held, held.column_names)
+
+
+def _arrays(table: pa.Table, names) -> dict[str, np.ndarray]:
+    """Number columns as arrays, columns of equally long lists as matrices."""
+    out = {}
+    for name in names:
+        column = table.column(name).combine_chunks()
+        nested = pa.types.is_list(column.type)
+        flat = (column.flatten() if nested else column).to_numpy(zero_copy_only=False)
+        out[name] = flat.reshape(len(column), -1) if nested else flat
+    return out
+
+
+def _met(rows: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The likely pairs (left node, right node) of a unit for which its bucket is the first that both share."""
+    left, right = np.flatnonzero(rows["side"] == 0), np.flatnonzero(rows["side"] == 1)
+    node, label, n = rows["node"], rows["label"], rows["n"]
+    main = rows["main"][0]
+    apart = label[left][:, None] != label[right]
+    apart &= (label[right] == main) | (node[left][:, None] < node[right])
+    few, many = np.minimum(n[left][:, None], n[right]), np.maximum(n[left][:, None], n[right])
+    x, y = np.nonzero(apart & (few * 100 >= many * percent))
+    x, y = left[x], right[y]
+    found = [np.zeros(0, np.int64)] * 2
+    sketch, bands = rows["sketch"].view(_U), rows["bands"]
+    for low in range(0, len(x), 1 << 15):  # 8 MB of sketches at a time
+        a, b = x[low:low + (1 << 15)], y[low:low + (1 << 15)]
+        bits = np.bitwise_count(sketch[a] ^ sketch[b]).sum(axis=1, dtype=np.int64)
+        good = bits <= sketch_limit(n[a], n[b], percent, _ARRAYS)
+        a, b = a[good], b[good]
+        # components that differ differ in all buckets that they share, so the first one has the pair
+        first = (bands[a] == bands[b]).argmax(axis=1)
+        here = bands[a, first] == rows["key"][0]
+        found = [np.concatenate([old, node[new[here]]]) for old, new in zip(found, (a, b))]
+    return found[0], found[1]
 
 
 def _found(docs: DataFrame, size: int, percent: int) -> DataFrame:

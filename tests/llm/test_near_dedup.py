@@ -138,3 +138,30 @@ def test_sketch_keeps_small_sets_at_the_limit(spark, percent):
     limits = {(r.a, r.b): r.most for r in sizes.select("a", "b", N.sketch_limit(F.col("a"), F.col("b"), percent).alias("most")).collect()}
     lost = [r for r in rows if r[2] > limits[r[:2]]]
     assert not lost, f"{len(lost)} of {len(rows)}"
+
+
+def test_open_buckets_in_pieces(spark, monkeypatch):
+    """Rows of small buckets are moved once a side; large buckets are compared piece by piece, with the same links."""
+    nodes = spark.range(60).selectExpr(
+        "id AS node", "10L AS n", "transform(sequence(1, 32), x -> 0L) AS sketch", "array(7L + id % 20, 100L) AS bands")
+    small_buckets = nodes.select((7 + F.col("node") % 20).alias("key"), "node")
+    none = spark.createDataFrame([], "node long, label long")
+    dealt = N._dealt(small_buckets, nodes, none).collect()
+    assert len(dealt) == 60 + 40  # two of three nodes lie outside the largest component
+    monkeypatch.setattr(N, "PIECE", 8)
+    whole = nodes.select(F.lit(100).cast("long").alias("key"), "node")
+    units = N._dealt(whole, nodes, none).groupBy("key", "i", "j", "side").count().collect()
+    assert len({(r.i, r.j) for r in units}) == 64 and max(r["count"] for r in units) < 32
+    got = {tuple(r) for r in N._remaining(whole.unionByName(small_buckets), nodes, none, 85).collect()}
+    assert got == {(a, b) for a in range(60) for b in range(a + 1, 60)}
+    made = near_rows(200, 8)
+    assert found(spark.createDataFrame(made, "doc_id long, text string"), 3, 85) == want(made, 3, 85)
+
+
+def test_limit_of_arrays_is_that_of_columns(spark):
+    sizes = [(a, b) for a in (1, 5, 90, 3000, 40_000) for b in (1, 6, 100, 3100, 41_000)]
+    df = spark.createDataFrame(sizes, "a long, b long")
+    for percent in (80, 85, 100):
+        here = N.sketch_limit(*np.array(sizes, np.int64).T, percent, N._ARRAYS)
+        there = {(r.a, r.b): r.most for r in df.select("a", "b", N.sketch_limit(F.col("a"), F.col("b"), percent).alias("most")).collect()}
+        assert here.tolist() == pytest.approx([there[s] for s in sizes])
