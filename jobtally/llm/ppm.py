@@ -27,6 +27,7 @@ other columns are not read.
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -85,8 +86,10 @@ class Block:
                 return number, len(kinds)
             seen = np.zeros(size, bool)
             seen[joint] = True
-            rank = np.cumsum(seen, dtype=np.int32) - 1
-            return rank[joint], int(rank[-1]) + 1
+            kinds = np.flatnonzero(seen)
+            rank = np.empty(size, np.int32)  # filled and read at the distinct values only
+            rank[kinds] = np.arange(len(kinds), dtype=np.int32)
+            return rank[joint], len(kinds)
 
         # contexts end before each place; those that reach over a border are numbered, never used
         stop = len(dense) - ORDER
@@ -113,7 +116,8 @@ class Block:
             found += text.split()
             found.append(END_WORD)
             sizes.append(len(found) - before)
-        numbers = {w: i for i, w in enumerate(dict.fromkeys(found, 0) | {END_WORD: 0})}
+        numbers: defaultdict[bytes, int] = defaultdict()
+        numbers.default_factory = numbers.__len__  # a word not seen before gets the next number
         of = np.fromiter(map(numbers.__getitem__, found), np.int64, len(found))
         keys = np.array([xxhash.xxh3_64_intdigest(w) for w in numbers], _U)
         by = np.argsort(keys)  # the same order however the rows of the block arrive

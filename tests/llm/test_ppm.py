@@ -87,3 +87,21 @@ def test_nothing_learned_and_empty_table(spark, nothing):
     assert rows[1].score == pytest.approx(-3 * 2.4099331) and rows[1].held_out and rows[1].train_tokens == 0
     assert rows[2].n_tokens == 1 and rows[2].n_known == 0
     assert ppm.score(nothing, ppm.learned_rows()).count() == 0
+
+
+def test_block_numbers_words_and_pairs():
+    """Each word and each context with its symbol has one number, also with many letters in a block."""
+    import numpy as np
+    import xxhash
+
+    texts = ["Ab ab  c\n".encode(), b"", "".join(chr(0x100 + i * 37 % 3000) for i in range(4000)).encode(), b"c ab"]
+    block = ppm.Block(texts)
+    found = [w for t in texts for w in [*t.lower().split(), ppm.END_WORD]]
+    assert block.word_keys[block.word].tolist() == [xxhash.xxh3_64_intdigest(w) for w in found]
+    assert len(block.word_keys) == len(set(found)) and block.word_sizes.tolist() == [4, 1, 2, 3]
+    want = []
+    for t in texts:
+        padded = [0] * ppm.ORDER + list(t.lower()) + [ppm.END]
+        for i in range(ppm.ORDER, len(padded)):
+            want.append(int.from_bytes(bytes(padded[i - ppm.ORDER:i]), "big") << 9 | padded[i])
+    assert block.codes[block.pair].tolist() == want and len(block.codes) == len(set(want)) == len(np.unique(block.codes))
