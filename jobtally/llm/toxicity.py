@@ -28,9 +28,10 @@ empty result; other columns are not read.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -58,16 +59,14 @@ _PREFIXES = (4, 5, 6)
 _EDGE = b".,!?;:\"'()[]"
 _PADS = max(WIDTHS)
 _CACHE = 150_000
+_BATCH_BYTES = 100_000
 
 
 def features(word: bytes) -> tuple[int, ...]:
     """Buckets of a word: of itself and of its first bytes."""
     word = word.strip(_EDGE) or word
-    mask = BUCKETS - 1
-    return (
-        xxhash.xxh32_intdigest(word) & mask,
-        *(xxhash.xxh32_intdigest(word[:n], n) & mask for n in _PREFIXES),
-    )
+    mask, digest = BUCKETS - 1, xxhash.xxh32_intdigest
+    return (digest(word) & mask, *[digest(word[:n], n) & mask for n in _PREFIXES])
 
 
 def words(text: bytes) -> list[bytes]:
@@ -265,14 +264,22 @@ def _learned(shards: RDD, whole: bool) -> list[np.ndarray]:
     return params
 
 
+def _usable(docs: DataFrame, labels: DataFrame, training: Column) -> tuple[DataFrame, DataFrame]:
+    """The labels that training may use, and the texts with them.
+
+    Never a broadcast join: the labels grow with the input, and so does what is shuffled, at every size.
+    """
+    usable = labels.where(training & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "toxic")
+    short = F.coalesce(F.octet_length("text"), F.lit(0)) <= MAX_FIT_BYTES
+    return usable, docs.where(training & short).select("doc_id", "text", "lang").join(usable.hint("merge"), "doc_id")
+
+
 def fit(docs: DataFrame, labels: DataFrame, training: Column, shard_rows: int = SHARD_ROWS) -> Model | None:
     """Model from the labelled rows for which ``training`` (of doc_id) holds; None without both classes.
 
     A fifth of the rows is kept out of the fit and sets the cuts.
     """
-    usable = labels.where(training & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "toxic")
-    short = F.coalesce(F.octet_length("text"), F.lit(0)) <= MAX_FIT_BYTES
-    rows = docs.where(training & short).select("doc_id", "text", "lang").join(usable, "doc_id")
+    usable, rows = _usable(docs, labels, training)
     n = max(1, -(-usable.count() // shard_rows))
     dealt = rows.select(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(n)).alias("shard"), "doc_id", "text", "lang", "toxic",
                         (F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(5)) == 4).alias("kept_out"))
@@ -337,41 +344,46 @@ class _Scorer:
         self.clear()
 
     def clear(self):
-        self.known: dict[bytes, int] = {}
+        self.known: defaultdict[bytes, int] = defaultdict()
+        self.known.default_factory = self.known.__len__  # a word not seen before gets the next number
+        self.known[b""]  # no word: the pad, number 0, whose products stay zero
         self.products = np.zeros((_CACHE + 1, self.weights.shape[1]), np.float32)
 
     def lookup(self, texts: list[list[bytes]]) -> np.ndarray:
-        fresh = list({w for t in texts for w in t if w not in self.known})
-        if len(self.known) + len(fresh) > _CACHE:
+        """Numbers of the words of the texts, each followed by its pads."""
+        if len(self.known) > _CACHE:
             self.clear()
-            fresh = list({w for t in texts for w in t})
-            if len(fresh) > _CACHE:
-                self.products = np.zeros((len(fresh) + 1, self.weights.shape[1]), np.float32)
-        if fresh:
-            at = len(self.known) + 1
-            ids = np.array([features(w) for w in fresh])
-            self.products[at:at + len(fresh)] = self.model.embedding[ids].mean(axis=1) @ self.weights
-            self.known.update(zip(fresh, range(at, at + len(fresh))))
-        pads = [0] * _PADS
-        known = self.known
-        return np.array([i for t in texts for i in (*[known[w] for w in t], *pads)], np.int64)
+        before = len(self.known)
+        pads = [b""] * _PADS
+        flat = []
+        for t in texts:
+            flat += t
+            flat += pads
+        ids = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+        count = len(self.known)
+        if count > len(self.products):
+            self.products = np.concatenate([self.products, np.zeros((count - len(self.products), self.weights.shape[1]), np.float32)])
+        if count > before:
+            fresh = np.array([features(w) for w in islice(reversed(self.known), count - before)])[::-1]
+            self.products[before:count] = self.model.embedding[fresh].mean(axis=1) @ self.weights
+        return ids
 
     def logits(self, texts: list[list[bytes]]) -> np.ndarray:
         ids = self.lookup(texts)
+        products = self.products.take(ids, axis=0)  # once for all filters
         n = np.array([len(t) for t in texts])
         starts = np.concatenate([[0], np.cumsum(n + _PADS)[:-1]])
-        last = len(ids) - _PADS + 1
-        outside = np.ones(len(ids), bool)
-        for s, k in zip(starts, np.maximum(n, 1)):
-            outside[s:s + k] = False
-        pooled, column = [], 0
-        for width in WIDTHS:
-            z = np.full((len(ids), FILTERS), -np.inf, np.float32)
-            z[:last] = sum(self.products[ids[j:j + last], column + j * FILTERS:column + (j + 1) * FILTERS] for j in range(width))
-            z[outside] = -np.inf
-            pooled.append(np.maximum.reduceat(z, starts, axis=0))
+        last = len(products) - _PADS + 1
+        # a row more, so that every text has an end among the rows
+        z = np.zeros((last + 1, len(WIDTHS) * FILTERS), np.float32)
+        column = 0
+        for k, width in enumerate(WIDTHS):
+            z[:last, k * FILTERS:(k + 1) * FILTERS] = sum(
+                products[j:j + last, column + j * FILTERS:column + (j + 1) * FILTERS] for j in range(width))
             column += width * FILTERS
-        hidden = np.tanh(np.concatenate(pooled, axis=1) + self.model.bias)
+        # the largest from each start to its end; what lies between an end and the next start is left
+        pooled = np.maximum.reduceat(z, np.stack([starts, starts + np.maximum(n, 1)], axis=1).ravel(), axis=0)[::2]
+        hidden = np.tanh(pooled + self.model.bias)
         return hidden @ self.model.out + self.model.shift
 
     def __call__(self, texts: list[list[bytes]]) -> np.ndarray:
@@ -391,7 +403,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
             for text in text_bytes(batch.column(1)):
                 group.append(words(text))
                 size += len(text)
-                if size > 400_000:
+                if size > _BATCH_BYTES:
                     out.append(scorer(group))
                     group, size = [], 0
             if group:

@@ -28,3 +28,10 @@ def nothing(spark):
 @pytest.fixture(scope="session")
 def small(spark):
     return spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+
+
+@pytest.fixture(scope="module", autouse=True)
+def nothing_cached(spark):
+    """What the tests of a module cached is gone after it."""
+    yield
+    spark.catalog.clearCache()

@@ -200,3 +200,26 @@ def test_every_labelled_row_trains(spark, monkeypatch):
     assert sum((r.score >= T.CUT) == truth[r.doc_id] for r in held) / len(held) > 0.95
     rare_held = [r for r in held if r.doc_id in rare]
     assert rare_held and sum(r.score >= T.CUT for r in rare_held) / len(rare_held) > 0.9
+
+
+def test_labels_are_never_broadcast(spark):
+    """The shuffled bytes grow with the input from the smallest tables on: labels and texts are both dealt."""
+    rows, labels = corpus(60)
+    docs, marks = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    joined = T._usable(docs, marks, T.F.lit(True))[1]
+    assert joined.count() == 60
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_words_beyond_the_cache(monkeypatch):
+    """The scorer numbers each word once, keeps no more words than its cache and one call's, and pads stay zero."""
+    rows, _ = corpus(40)
+    texts = [T.words(r[1].encode()) for r in rows]
+    model = T.train([np.zeros((1, 4), np.int64)], np.ones(1, np.float32))
+    want = T._Scorer(model)(texts)
+    monkeypatch.setattr(T, "_CACHE", 50)
+    scorer = T._Scorer(model)
+    assert np.concatenate([scorer([t]) for t in texts]) == pytest.approx(want, abs=1e-6)
+    assert scorer.known[b""] == 0 and not scorer.products[0].any()
+    assert len(scorer.known) <= 50 + max(len(t) for t in texts)
