@@ -59,7 +59,6 @@ _PREFIXES = (4, 5, 6)
 _EDGE = b".,!?;:\"'()[]"
 _PADS = max(WIDTHS)
 _CACHE = 150_000
-_BATCH_BYTES = 100_000
 
 
 def features(word: bytes) -> tuple[int, ...]:
@@ -403,7 +402,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
             for text in text_bytes(batch.column(1)):
                 group.append(words(text))
                 size += len(text)
-                if size > _BATCH_BYTES:
+                if size > 400_000:
                     out.append(scorer(group))
                     group, size = [], 0
             if group:
