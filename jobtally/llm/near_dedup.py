@@ -8,8 +8,10 @@
    bitmap by parity: the set bits of the XOR of two sketches estimate how many
    samples differ, and a pair beyond the limit is no candidate. (Bitmaps of
    sets beyond some 9,000 shingles fill up and then exclude nothing.)
-3. In each band bucket every node is paired with the smallest one only. The
-   pairs that pass size and sketch are verified on the full sets.
+3. In each band bucket every node is paired with two centers only: the smallest
+   node and one that a hash of node and bucket chooses, so that a group of near
+   copies has other centers in its other buckets. The pairs that pass size and
+   sketch are verified on the full sets.
 4. Verified links make components (alternating stars). In a bucket whose nodes
    are not yet one component, the nodes outside its largest component are
    compared with all that lie in other components. Both sides are dealt into
@@ -263,6 +265,12 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
+def _stars(buckets: DataFrame) -> DataFrame:
+    """Each node with the centers of its buckets, as pairs a < b."""
+    stars = buckets.select("node", F.explode("centers").alias("center")).where("node != center")
+    return stars.select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct()
+
+
 def _dealt(buckets: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of the buckets with several components, once or more per side, as units (key, i, j) of bounded size.
 
@@ -361,10 +369,10 @@ def _found(docs: DataFrame, size: int, percent: int) -> DataFrame:
     groups = written(groups.withColumn("node", F.monotonically_increasing_id()), "nodes")
     nodes = groups.select("node", "n", "sketch")
     buckets = groups.select("node", F.explode("bands").alias("key"))
-    shared = buckets.groupBy("key").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    buckets = written(buckets.join(shared, "key").select("key", "node", "center").distinct(), "buckets")
-    stars = buckets.where("node != center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-    pairs = written(_with_nodes(stars, nodes).where(_likely("x", "y", percent)).select("a", "b").distinct(), "pairs")
+    shared = buckets.groupBy("key").agg(
+        F.array(F.min("node"), F.min_by("node", F.xxhash64("key", "node"))).alias("centers"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    buckets = written(buckets.join(shared, "key").select("key", "node", "centers").distinct(), "buckets")
+    pairs = written(_with_nodes(_stars(buckets), nodes).where(_likely("x", "y", percent)).select("a", "b").distinct(), "pairs")
     # the texts of all nodes that share a bucket, fetched once, each from the row that stands for it
     wanted = groups.join(buckets.select("node").distinct(), "node").select("node", "row.doc_id", "row.own")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), _own(F.col("text")).alias("key"), "text")

@@ -165,3 +165,20 @@ def test_limit_of_arrays_is_that_of_columns(spark):
         here = N.sketch_limit(*np.array(sizes, np.int64).T, percent, N._ARRAYS)
         there = {(r.a, r.b): r.most for r in df.select("a", "b", N.sketch_limit(F.col("a"), F.col("b"), percent).alias("most")).collect()}
         assert here.tolist() == pytest.approx([there[s] for s in sizes])
+
+
+def test_near_copies_leave_few_pairs(spark, monkeypatch):
+    """A group whose members are linked to some of the others only: most of it is joined before pairs are listed."""
+    rng = random.Random(4)
+    base = [f"a{i}" for i in range(120)]
+    rows = []
+    for k in range(160):
+        words = list(base)
+        for at in rng.sample(range(120), rng.choice((2, 3, 4, 5))):
+            words[at] = f"c{k}x{at}"
+        rows.append((k, " ".join(words)))
+    listed = []
+    monkeypatch.setattr(N, "_remaining", lambda *a, real=N._remaining: (out := real(*a), listed.append(out.count()))[0])
+    got = found(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85)
+    assert got == want(rows, 3, 85)
+    assert sum(not r[3] for r in got) > 20 and listed[0] < 10 * len(rows), listed
