@@ -74,7 +74,7 @@ DEALT_DDL = "share long, block long, sent binary"
 
 def deal(key: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
     """(share, its indices in order) of the elements dealt by ``key`` into ``n`` shares."""
-    share = (key % np.uint64(n)).astype(np.int64)
+    share = (key % np.uint64(n)).astype(np.uint16 if n <= 1 << 16 else np.int64)  # 16 bits are sorted by radix
     by = np.argsort(share, kind="stable")
     for part in np.split(by, np.flatnonzero(np.diff(share[by])) + 1):
         if len(part):

@@ -27,7 +27,8 @@ other columns are not read.
 from __future__ import annotations
 
 import math
-from collections import defaultdict
+from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,9 @@ SYMBOLS = 257
 END_WORD = b"\n"  # the end as a token; no word holds a line break
 BLOCK_BYTES = 4 << 20
 _DENSE = 1 << 25
+_STEP = 1 << 15
+_BLANKS = b" \t\n\x0b\x0c\r"
+_IN_WORD = bytes(b not in _BLANKS for b in range(256))
 
 _U = np.uint64
 _MIX = _U(0x9E3779B97F4A7C15)
@@ -55,77 +59,92 @@ class Block:
     """Symbols of the texts of a block, and the distinct (context, symbol) pairs and words in them."""
 
     def __init__(self, texts: list[bytes]):
-        texts = [t.lower() for t in texts]
-        pad = bytes(ORDER)
-        sizes = np.array([len(t) for t in texts], np.int64)
-        # each text: its padding, its bytes, the end
-        data = np.frombuffer(b"".join(pad + t + b"\0" for t in texts), np.uint8).astype(np.int32)
-        stop = np.cumsum(sizes + ORDER + 1)
-        data[stop - 1] = END
-        self.first = stop - 1 - sizes
-        self.size = sizes + 1
-        place = np.ones(len(data), bool)
-        for k in range(1, ORDER + 1):
-            place[self.first - k] = False
-        self.place = np.flatnonzero(place).astype(np.int32)
+        self.size = np.array([len(t) + 1 for t in texts], np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.size)[:-1]])
-        self._pairs(data)
+        self._pairs(texts)
         self._words(texts)
 
-    def _pairs(self, data: np.ndarray) -> None:
-        """``pair``: number of the distinct pair at each place; ``codes``: its context and symbol."""
-        seen = np.zeros(SYMBOLS, bool)
-        seen[data] = True
-        letters = int(seen.sum())
-        dense = (np.cumsum(seen, dtype=np.int32) - 1)[data]
-
-        def numbered(joint: np.ndarray, size: int) -> tuple[np.ndarray, int]:
-            """Distinct values of ``joint`` (below ``size``) numbered from 0, and how many there are."""
-            if size > _DENSE:
-                kinds, number = np.unique(joint, return_inverse=True)
-                return number, len(kinds)
-            seen = np.zeros(size, bool)
-            seen[joint] = True
-            kinds = np.flatnonzero(seen)
-            rank = np.empty(size, np.int32)  # filled and read at the distinct values only
-            rank[kinds] = np.arange(len(kinds), dtype=np.int32)
-            return rank[joint], len(kinds)
+    def _pairs(self, texts: list[bytes]) -> None:
+        """``pair``: number of the distinct pair at each place; ``codes``: its context and symbol, ascending."""
+        pad = bytes(ORDER)
+        # each text: its padding, its bytes, the end
+        data = b"".join([pad + t + b"\0" for t in texts]).lower()
+        stop = np.cumsum(self.size + ORDER)
+        raw = np.frombuffer(data, np.uint8)
+        seen = np.zeros(256, bool)
+        for part in _steps(len(raw)):
+            seen[raw[part]] = True
+        letters = np.flatnonzero(seen)
+        table = (np.cumsum(seen) - seen).astype(np.uint8).tobytes()
+        dense = np.frombuffer(data.translate(table), np.uint8).astype(np.int32)
+        dense[stop - 1] = len(letters)
+        letters = np.append(letters, END).astype(_U)
 
         # contexts end before each place; those that reach over a border are numbered, never used
-        stop = len(dense) - ORDER
-        number, count = dense[:stop], letters
-        for j in range(1, ORDER):
-            kind = np.int32 if count * letters <= _DENSE else np.int64
-            number, count = numbered(number.astype(kind) * kind(letters) + dense[j:stop + j], count * letters)
-        kind = np.int32 if count * letters <= _DENSE else np.int64
-        number = number[self.place - ORDER].astype(kind) * kind(letters) + dense[self.place]
-        number, count = numbered(number, count * letters)
-        self.pair = number
-        sample = np.zeros(count, np.int64)
-        sample[number] = self.place
-        code = np.zeros(count, _U)
-        for back in range(ORDER, 0, -1):
-            code = (code << _U(8)) | data[sample - back].astype(_U)
-        self.codes = (code << _SYM_BITS) | data[sample].astype(_U)
+        size = len(dense) - ORDER
+        two, codes2 = _numbered(dense[:-1], dense[1:], letters, letters, _U(8))
+        number, codes = _numbered(two[:size], two[2:size + 2], codes2, codes2, _U(16))
+        for j in range(4, ORDER):
+            number, codes = _numbered(number, dense[j:size + j], codes, letters, _U(8))
+        place = np.ones(len(dense), bool)
+        for k in range(ORDER):
+            place[stop - self.size - 1 - k] = False
+        place = place[ORDER:]
+        self.pair, self.codes = _numbered(number[place], dense[ORDER:][place], codes, letters, _SYM_BITS)
 
     def _words(self, texts: list[bytes]) -> None:
-        found: list[bytes] = []
-        sizes = []
-        for text in texts:
-            before = len(found)
-            found += text.split()
-            found.append(END_WORD)
-            sizes.append(len(found) - before)
-        numbers: defaultdict[bytes, int] = defaultdict()
-        numbers.default_factory = numbers.__len__  # a word not seen before gets the next number
-        of = np.fromiter(map(numbers.__getitem__, found), np.int64, len(found))
-        keys = np.array([xxhash.xxh3_64_intdigest(w) for w in numbers], _U)
+        data = b"\n".join([b"", *texts, b""]).lower()
+        flags = np.frombuffer(data.translate(_IN_WORD), np.uint8)
+        edges = np.flatnonzero(flags[1:] != flags[:-1])
+        begin, end = edges[::2], edges[1::2]
+        offsets = np.concatenate([[0], np.cumsum(end - begin)])
+        letters = data.translate(None, _BLANKS)
+        found = pa.Array.from_buffers(
+            pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]).dictionary_encode()
+        until = np.searchsorted(begin, np.cumsum(self.size))
+        _, offsets, letters = found.dictionary.buffers()
+        offsets = np.frombuffer(offsets, np.int64, len(found.dictionary) + 1).tolist()
+        letters = letters.to_pybytes()
+        words = [letters[a:b] for a, b in pairwise(offsets)]
+        of = np.insert(found.indices.to_numpy(), until, len(words))
+        words.append(END_WORD)
+        keys = np.fromiter(map(xxhash.xxh3_64_intdigest, words), _U, len(words))
         by = np.argsort(keys)  # the same order however the rows of the block arrive
         rank = np.empty(len(keys), np.int64)
         rank[by] = np.arange(len(keys))
         self.word_keys = keys[by]
         self.word = rank[of]
-        self.word_sizes = np.array(sizes, np.int64)
+        self.word_sizes = np.diff(until, prepend=0) + 1
+
+
+def _steps(n: int) -> Iterator[slice]:
+    """Slices of ``n`` places that are small enough for what is made of one to stay in the processor's cache."""
+    return (slice(at, at + _STEP) for at in range(0, n, _STEP))
+
+
+def _numbered(
+    left: np.ndarray, right: np.ndarray, left_codes: np.ndarray, right_codes: np.ndarray, bits: np.uint64
+) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the distinct (left, right) at each place, in their order, and the code of each: the left
+    one's, shifted by ``bits``, and the right one's."""
+    many = len(right_codes)
+    size = len(left_codes) * many
+    if size > _DENSE:
+        kinds, number = np.unique(left.astype(np.int64) * many + right, return_inverse=True)
+        number = number.astype(np.int32)
+    else:
+        seen = np.zeros(size, bool)
+        number = np.empty(len(left), np.int32)
+        for part in _steps(len(left)):
+            joint = left[part] * np.int64(many) + right[part]
+            number[part] = joint
+            seen[joint] = True
+        kinds = np.flatnonzero(seen)
+        rank = np.empty(size, np.int32)  # filled and read at the distinct values only
+        rank[kinds] = np.arange(len(kinds), dtype=np.int32)
+        for part in _steps(len(left)):
+            np.take(rank, number[part], out=number[part], mode="clip")
+    return number, (left_codes[kinds // many] << bits) | right_codes[kinds % many]
 
 
 def at_order(codes: np.ndarray, k: int) -> np.ndarray:
@@ -139,9 +158,28 @@ def share_key(codes: np.ndarray) -> np.ndarray:
     return key ^ (key >> _U(29))
 
 
+def _first(ordered: np.ndarray) -> np.ndarray:
+    """Where each distinct value of an ordered array begins."""
+    return np.flatnonzero(np.concatenate([np.ones(min(1, len(ordered)), bool), ordered[1:] != ordered[:-1]]))
+
+
 def _summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    kinds, of = np.unique(codes, return_inverse=True)
-    return kinds, np.bincount(of, weights=counts, minlength=len(kinds)).astype(_U)
+    """The distinct codes, ascending, and the sums of their counts; quick where the codes come in ascending runs."""
+    by = np.argsort(codes, kind="stable")
+    codes = codes[by]
+    first = _first(codes)
+    return codes[first], np.add.reduceat(counts[by].astype(_U), first) if len(first) else counts.astype(_U)
+
+
+def _by_order(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of pairs (of full order, ascending) at every order, each summed from the one above it."""
+    orders = [(codes, counts.astype(_U))]
+    for k in range(ORDER - 1, -1, -1):
+        orders.append(_summed(at_order(orders[-1][0], k), orders[-1][1]))
+    return (
+        np.concatenate([at_order(own, k) for k, (own, _) in zip(range(ORDER, -1, -1), orders)][::-1]),
+        np.concatenate([n for _, n in orders][::-1]),
+    )
 
 
 def _ask(shares: int):
@@ -151,8 +189,7 @@ def _ask(shares: int):
         learned = np.array(table.column("learned").to_pylist(), bool)
         block = Block(texts)
         counts = np.bincount(block.pair[np.repeat(learned, block.size)], minlength=len(block.codes))
-        pairs = [_summed(at_order(block.codes, k), counts) for k in range(ORDER + 1)]
-        codes, counts = (np.concatenate([p[i] for p in pairs]) for i in (0, 1))
+        codes, counts = _by_order(block.codes, counts)
         words = np.bincount(block.word[np.repeat(learned, block.word_sizes)], minlength=len(block.word_keys))
         keys, words = block.word_keys, words.astype(_U)
         sent: dict[int, list[bytes]] = {}
@@ -191,6 +228,11 @@ def _split(sent: bytes) -> tuple[memoryview, memoryview]:
     return whole[8:8 + size], whole[8 + size:]
 
 
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of all the ranges of ``size`` from ``start``, range by range."""
+    return np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
 def _answer(table: pa.Table) -> pa.Table:
     """Corpus totals of one share, for each block that asked: all symbols of the contexts it holds, the
     counts of its words in the order sent, and, for the first block alone, the share's tokens and distinct tokens."""
@@ -203,14 +245,16 @@ def _answer(table: pa.Table) -> pa.Table:
     keys, totals = _summed(np.concatenate([k for k, _ in words]), np.concatenate([n for _, n in words]))
     heads = np.array([totals.sum(), (totals > 0).sum()], _U).tobytes()
     told = min(a[0] for a in asked)
-    contexts, start, size = np.unique(codes >> _SYM_BITS, return_index=True, return_counts=True)
+    contexts = codes >> _SYM_BITS
+    start = _first(contexts)
+    contexts, size = contexts[start], np.diff(np.append(start, len(codes)))
     rows = []
     for (number, _, _), (own, _), (mine, _) in zip(asked, pairs, words):
-        wanted = np.unique(own >> _SYM_BITS)
+        wanted = own >> _SYM_BITS
+        wanted = wanted[_first(wanted)]
         at = np.searchsorted(contexts, wanted)
         at = at[np.append(contexts, _U(0))[at] == wanted]
-        many = size[at]
-        held = np.repeat(start[at], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        held = _ranges(start[at], size[at])
         found = _pack(codes[held], counts[held])
         known = totals[np.searchsorted(keys, mine)]
         known = np.ascontiguousarray(known.view(np.uint8).reshape(-1, 8).T).tobytes()
@@ -223,53 +267,63 @@ class Trie:
     """Totals of the contexts that a block holds, by order."""
 
     def __init__(self, codes: np.ndarray, counts: np.ndarray):
-        by = np.argsort(codes)
-        codes, counts = codes[by], counts[by]
-        order = codes >> _LEVEL
-        self.codes, self.counts, self.contexts, self.total, self.kinds, self.shadow = [], [], [], [], [], []
-        for k in range(ORDER + 1):
-            here = order == k + 1
-            own, n = codes[here], counts[here].astype(np.float64)
-            context, start, of = np.unique(own >> _SYM_BITS, return_index=True, return_inverse=True)
+        by = np.argsort(codes, kind="stable")  # they come in ascending runs
+        codes, counts = codes[by], counts[by].astype(np.float64)
+        bounds = np.searchsorted(codes, np.arange(1, ORDER + 3, dtype=_U) << _LEVEL)
+        self.codes, self.counts, self.contexts, self.start, self.total, self.kinds = [], [], [], [], [], []
+        for here in map(slice, bounds[:-1], bounds[1:]):
+            own, n = codes[here], counts[here]
+            context = own >> _SYM_BITS
+            start = _first(context)
             self.codes.append(own)
             self.counts.append(n)
-            self.contexts.append(context)
+            self.contexts.append(context[start])
+            self.start.append(start)
             self.total.append(np.add.reduceat(n, start) if len(n) else n)
-            self.kinds.append(np.diff(np.append(start, len(n))).astype(np.float64))
-            # what the symbols of each context count one order below
-            below = self.find(k - 1, at_order(own, k - 1))[1] if k else np.zeros(len(n))
-            self.shadow.append(np.bincount(of, weights=below, minlength=len(context)))
+            self.kinds.append(np.diff(np.append(start, len(n))))
 
-    def find(self, k: int, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of each code at order ``k`` and its count, 0 where it is not."""
+    def find(self, k: int, codes: np.ndarray) -> np.ndarray:
+        """Count of each code at order ``k``, 0 where it is not."""
         if not len(self.codes[k]):
-            return np.zeros(len(codes), np.int64), np.zeros(len(codes))
+            return np.zeros(len(codes))
         at = np.minimum(np.searchsorted(self.codes[k], codes), len(self.codes[k]) - 1)
-        return at, np.where(self.codes[k][at] == codes, self.counts[k][at], 0.0)
+        return np.where(self.codes[k][at] == codes, self.counts[k][at], 0.0)
+
+    def shadow(self, k: int, at: np.ndarray) -> np.ndarray:
+        """What the symbols of the contexts ``at`` order ``k`` count one order below."""
+        if not k:
+            return np.zeros(len(at))
+        kinds, of = np.unique(at, return_inverse=True)
+        size = self.kinds[k][kinds]
+        own = self.codes[k][_ranges(self.start[k][kinds], size)]
+        below = self.find(k - 1, at_order(own, k - 1))
+        return np.bincount(np.repeat(np.arange(len(kinds)), size), weights=below, minlength=len(kinds))[of]
 
     def log10(self, codes: np.ndarray) -> np.ndarray:
         """log10 probability of the symbol of each pair (of full order) after its context."""
         out = np.zeros(len(codes))
-        open_ = np.ones(len(codes), bool)
+        # the pairs not coded yet, and what the order above takes from theirs
+        left = np.arange(len(codes))
         lost_total, lost_kinds = np.zeros(len(codes)), np.zeros(len(codes))
         for k in range(ORDER, -1, -1):
-            own = at_order(codes, k)
-            context = own >> _SYM_BITS
-            if not len(self.contexts[k]):
+            if not len(self.contexts[k]) or not len(left):
                 continue
+            own = at_order(codes[left], k)
+            context = own >> _SYM_BITS
             at = np.minimum(np.searchsorted(self.contexts[k], context), len(self.contexts[k]) - 1)
             known = self.contexts[k][at] == context
             kinds = self.kinds[k][at] - lost_kinds
             whole = 2 * (self.total[k][at] - lost_total)
-            count = self.find(k, own)[1]
-            hit = open_ & known & (count > 0)
-            out[hit] += np.log10((2 * count[hit] - 1) / whole[hit])
-            miss = open_ & known & (count == 0) & (kinds > 0)
-            out[miss] += np.log10(kinds[miss] / whole[miss])
-            open_ &= ~hit
-            lost_total = np.where(known, self.shadow[k][at], 0.0)
-            lost_kinds = np.where(known, self.kinds[k][at], 0.0)
-        out[open_] -= np.log10(SYMBOLS - lost_kinds[open_])
+            count = self.find(k, own)
+            hit = known & (count > 0)
+            out[left[hit]] += np.log10((2 * count[hit] - 1) / whole[hit])
+            miss = known & (count == 0) & (kinds > 0)
+            out[left[miss]] += np.log10(kinds[miss] / whole[miss])
+            left, at, known = left[~hit], at[~hit], known[~hit]
+            lost_total, lost_kinds = np.zeros(len(left)), np.zeros(len(left))
+            lost_total[known] = self.shadow(k, at[known])
+            lost_kinds[known] = self.kinds[k][at[known]]
+        out[left] -= np.log10(SYMBOLS - lost_kinds)
         return out
 
 
@@ -295,7 +349,10 @@ def _score(shares: int):
         tokens, kinds = (int(sum(int(h[i]) for h in heads)) for i in (0, 1))
         trie = Trie(np.concatenate(codes), np.concatenate(counts))
         logs = trie.log10(block.codes)
-        scores = np.add.reduceat(logs[block.pair], block.starts)
+        scores = np.empty(len(block.size))
+        bounds, cuts = np.append(block.starts, len(block.pair)), _first(block.starts // _STEP)
+        for a, b in zip(cuts, np.append(cuts[1:], len(scores))):  # a few texts at a time
+            scores[a:b] = np.add.reduceat(np.take(logs, block.pair[bounds[a]:bounds[b]]), bounds[a:b] - bounds[a])
         count = np.zeros(len(block.word_keys))
         for share, part in deal(block.word_keys, shares):
             count[part] = known[share]

@@ -105,3 +105,33 @@ def test_block_numbers_words_and_pairs():
         for i in range(ppm.ORDER, len(padded)):
             want.append(int.from_bytes(bytes(padded[i - ppm.ORDER:i]), "big") << 9 | padded[i])
     assert block.codes[block.pair].tolist() == want and len(block.codes) == len(set(want)) == len(np.unique(block.codes))
+
+
+def test_lower_orders_see_only_what_is_left(monkeypatch):
+    """A pair coded at one order is not looked up below it, and counts of an order are summed from the one above."""
+    import numpy as np
+
+    looked = []
+    find = ppm.Trie.find
+    monkeypatch.setattr(ppm.Trie, "find", lambda self, k, codes: looked.append(len(codes)) or find(self, k, codes))
+    block = ppm.Block([b"the cat sat on the mat ", b"the rat ate the cat", b""] * 40)
+    counts = np.bincount(block.pair, minlength=len(block.codes))
+    parts = [ppm._summed(ppm.at_order(block.codes, k), counts) for k in range(ppm.ORDER + 1)]
+    trie = ppm.Trie(*(np.concatenate([p[i] for p in parts]) for i in (0, 1)))
+    logs = trie.log10(block.codes)
+    assert sum(looked) == len(block.codes) and (logs < 0).all()
+    for got, want in zip(ppm._by_order(block.codes, counts), zip(*parts)):
+        assert got.tolist() == np.concatenate(want).tolist()
+
+
+def test_wide_alphabet_is_numbered_in_order(monkeypatch):
+    """Pairs have the same numbers whether or not all that could occur fit the table."""
+    import random
+
+    rng = random.Random(4)
+    texts = [bytes(rng.randrange(256) for _ in range(3000)), b"\xff\x00" * 9, b"a b"]
+    block = ppm.Block(texts)
+    assert (block.codes[1:] > block.codes[:-1]).all()
+    monkeypatch.setattr(ppm, "_DENSE", 10)
+    again = ppm.Block(texts)
+    assert again.codes.tolist() == block.codes.tolist() and again.pair.tolist() == block.pair.tolist()
