@@ -16,6 +16,8 @@ on data that grows with the test tables.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,8 @@ ZSTD_MAGIC = b"\x28\xb5\x2f\xfd"
 BATCH_BYTES = 8 << 20
 #: a task decodes groups of frames of about this many compressed bytes
 GROUP_BYTES = 4 << 20
+#: opening a log takes about as long as parsing this many bytes of it
+OPEN_BYTES = 128 << 10
 
 
 def _labels(path: Column, label: str | None, label_from: str) -> tuple[Column, Column]:
@@ -38,8 +42,10 @@ def _labels(path: Column, label: str | None, label_from: str) -> tuple[Column, C
         run = F.element_at(F.split(path, "/"), -2)
     else:
         run = F.regexp_replace(name, r"\.json", "")
-    rolled = F.regexp_extract(name, r"^events_(\d+)_", 1).try_cast("bigint")
-    part = F.regexp_extract(name, r"^part-(\d+)-", 1).try_cast("bigint") + 1  # as Spark names the files it writes
+    # null where there is none: to try the cast of an empty text costs an exception, for every line
+    digits = lambda pattern: F.nullif(F.regexp_extract(name, pattern, 1), F.lit("")).try_cast("bigint")
+    rolled = digits(r"^events_(\d+)_")
+    part = digits(r"^part-(\d+)-") + 1  # as Spark names the files it writes
     seq = F.coalesce(rolled, part, F.lit(0).cast("bigint"))
     return run, seq
 
@@ -50,7 +56,7 @@ def _plain_path(uri: Column) -> Column:
 
 
 def read_event_logs(spark: SparkSession, paths: str | list[str],
-                    label: str | None = None, label_from: str = "file") -> DataFrame:
+                    label: str | None = None, label_from: str = "file", recursive: bool = False) -> DataFrame:
     """(run_label, file, seq, block, ord, line) for every line of the given log files.
 
     ``label``: one fixed run label for everything read; otherwise the label
@@ -61,28 +67,49 @@ def read_event_logs(spark: SparkSession, paths: str | list[str],
     Files ending in ``.zstd`` or ``.zst`` are decoded as zstd, all others read
     as text (gzip and bzip2 by the text reader), file by file: a folder may
     hold both.
+
+    ``recursive``: read the files at any depth below the paths. One folder that
+    holds very many logs is listed far faster so than by a glob, of which the
+    driver looks at every match several times.
     """
     path_list = [paths] if isinstance(paths, str) else list(paths)
-    with listed_in_few_tasks(spark):
-        plain, packed = spark.read.text(path_list), _zstd_lines(spark, path_list)
     uri = F.col("_metadata.file_path")
+    with listed_in_few_tasks(spark):
+        plain = _read_text(spark, path_list, recursive)
+        # a scan of the files of a suffix has no partition if there are none; nothing is read for this
+        found = [s for s in ZSTD_SUFFIXES if plain.filter(uri.endswith(s)).rdd.getNumPartitions()]
+        packed = _zstd_lines(spark, path_list, found, recursive) if found else None
     # A split's rows are scanned in order, so the generated id grows within it;
     # the splits of a file are ordered by where they begin.
     plain = plain.filter(~_is_zstd(uri)).select(
         _plain_path(uri).alias("path"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("ord"), F.col("value").alias("line"))
-    lines = plain.unionByName(packed)
+    lines = plain.unionByName(packed) if found else plain
     run, seq = _labels(F.col("path"), label, label_from)
     lines = lines.withColumn("seq", seq)
     file = F.when(F.col("seq") > 0, F.regexp_replace("path", "/[^/]*$", "")).otherwise(F.col("path"))
     return lines.select(run.alias("run_label"), file.alias("file"), "seq", "block", "ord", "line")
 
 
+def _read_text(spark: SparkSession, paths: list[str], recursive: bool) -> DataFrame:
+    """``spark.read.text`` whose tasks read as many short files as their bytes allow.
+
+    Spark counts the opening of a file as 4 MB, so that a task reads 32 logs
+    however short they are. The scan takes that figure from the session that
+    made it, when it runs: here from a copy of this one.
+    """
+    session = spark._jsparkSession.cloneSession()
+    session.conf().set("spark.sql.files.openCostInBytes", str(OPEN_BYTES))
+    reader = session.read().option("recursiveFileLookup", recursive)
+    scan = reader.text(spark._jvm.PythonUtils.toSeq(paths)).queryExecution().analyzed()
+    return DataFrame(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, scan), spark)
+
+
 def _is_zstd(path: Column) -> Column:
     return path.endswith(ZSTD_SUFFIXES[0]) | path.endswith(ZSTD_SUFFIXES[1])
 
 
-def _zstd_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+def _zstd_lines(spark: SparkSession, paths: list[str], suffixes: list[str], recursive: bool) -> DataFrame:
     """(path, block, ord, line) of the zstd files under ``paths``.
 
     A file is read once, as it is and as a stream: one row per piece between
@@ -92,8 +119,8 @@ def _zstd_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     decoded by many tasks. (A log of a single frame is one group.)
     """
     groups = None
-    for suffix in ZSTD_SUFFIXES:
-        reader = spark.read.option("pathGlobFilter", f"*{suffix}")
+    for suffix in suffixes:
+        reader = spark.read.option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", recursive)
         # the magic as line separator; the suffix read as it is, not decompressed
         reader = reader.option("encoding", "ISO-8859-1").option("lineSep", ZSTD_MAGIC.decode("latin-1"))
         reader = reader.option("io.compression.codecs", "org.apache.hadoop.io.compress.PassthroughCodec")
@@ -231,11 +258,77 @@ def write_rolling_logs(lines: DataFrame, path: str, rows_per_file: int = 1_000_0
     is sorted and written by many tasks, a file each; the files' numbers grow
     with ``ord``. There are as many ranges as make about ``rows_per_file`` lines
     each, and no fewer than ``least``.
+
+    In a folder of the ``file`` scheme the tasks write the files themselves:
+    without its native library, Hadoop starts a process (chmod) three times per
+    file that it creates there, far longer than writing a short log takes.
     """
     keys = ["run_label", "ord"]
     ranges = max(least, -(-lines.count() // rows_per_file))
-    (lines.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys).select("run_label", "line")
-     .write.mode("overwrite").partitionBy("run_label").text(path))
+    dealt = lines.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
+    folder = _emptied_local_folder(lines.sparkSession, path)
+    if folder is None:
+        dealt.select("run_label", "line").write.mode("overwrite").partitionBy("run_label").text(path)
+    else:
+        names = lines.sparkSession._jvm.System.getProperty("sun.jnu.encoding")  # of file names, as the reader has it
+        written = dealt.select("run_label", F.col("line").cast("binary").alias("line"))
+        written.mapInArrow(_run_writer(folder, uuid.uuid4().hex, names), "files long").agg(F.sum("files")).collect()
+
+
+def _emptied_local_folder(spark: SparkSession, path: str) -> str | None:
+    """The folder as tasks open it, new and empty, if its scheme is ``file``; else None."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if fs.getUri().getScheme() != "file":
+        return None
+    fs.delete(at, True)
+    if not fs.mkdirs(at):
+        raise OSError(f"cannot make the folder {path}")
+    return fs.makeQualified(at).toUri().getPath()
+
+
+def _run_writer(folder: str, job: str, encoding: str):
+    """Rows (run_label, line), sorted by run -> a file per run in its folder, named as Spark names it.
+
+    A file is written under a hidden name and renamed once it is whole; a task
+    that is tried again puts the same file in place of the first.
+    """
+    # as partition folders are named: escaped, and one name for what is null or empty
+    escaped = {c: f"%{c:02X}" for c in (*range(1, 32), 127, *map(ord, "\"#%'*/:=?\\{[]^"))}
+
+    def write(batches):
+        import os
+
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        from pyspark import TaskContext
+
+        task = TaskContext.get()
+        name = f"part-{task.partitionId():05d}-{job}.c000.txt"
+        run, out, files = None, None, 0
+
+        def finish():
+            out.close()
+            os.replace(out.name, os.path.join(run, name.encode()))
+
+        for batch in batches:
+            lines, begin = batch.column(1).to_pylist(), 0
+            runs = pc.run_end_encode(batch.column(0))
+            for label, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()):
+                label = label.translate(escaped) if label else "__HIVE_DEFAULT_PARTITION__"
+                here = f"{folder}/run_label={label}".encode(encoding, "replace")
+                if here != run:
+                    if out:
+                        finish()
+                    os.makedirs(here, exist_ok=True)
+                    run, out, files = here, open(os.path.join(here, f".{name}.{task.taskAttemptId()}".encode()), "wb"), files + 1
+                out.write(b"".join((line or b"") + b"\n" for line in lines[begin:end]))
+                begin = end
+        if out:
+            finish()
+        yield pa.RecordBatch.from_arrays([pa.array([files], pa.int64())], names=["files"])
+
+    return write
 
 
 def _ms(ts_col: str = "ts"):
