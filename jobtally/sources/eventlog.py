@@ -76,15 +76,15 @@ def read_event_logs(spark: SparkSession, paths: str | list[str],
     uri = F.col("_metadata.file_path")
     with listed_in_few_tasks(spark):
         plain = _read_text(spark, path_list, recursive)
-        # a scan of the files of a suffix has no partition if there are none; nothing is read for this
-        found = [s for s in ZSTD_SUFFIXES if plain.filter(uri.endswith(s)).rdd.getNumPartitions()]
-        packed = _zstd_lines(spark, path_list, found, recursive) if found else None
+        # a scan of the zstd files has no partition if there are none; nothing is read for this
+        zstd = plain.filter(_is_zstd(uri)).rdd.getNumPartitions() > 0
+        packed = _zstd_lines(spark, path_list, recursive) if zstd else None
     # A split's rows are scanned in order, so the generated id grows within it;
     # the splits of a file are ordered by where they begin.
     plain = plain.filter(~_is_zstd(uri)).select(
         _plain_path(uri).alias("path"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("ord"), F.col("value").alias("line"))
-    lines = plain.unionByName(packed) if found else plain
+    lines = plain.unionByName(packed) if zstd else plain
     run, seq = _labels(F.col("path"), label, label_from)
     lines = lines.withColumn("seq", seq)
     file = F.when(F.col("seq") > 0, F.regexp_replace("path", "/[^/]*$", "")).otherwise(F.col("path"))
@@ -109,7 +109,7 @@ def _is_zstd(path: Column) -> Column:
     return path.endswith(ZSTD_SUFFIXES[0]) | path.endswith(ZSTD_SUFFIXES[1])
 
 
-def _zstd_lines(spark: SparkSession, paths: list[str], suffixes: list[str], recursive: bool) -> DataFrame:
+def _zstd_lines(spark: SparkSession, paths: list[str], recursive: bool) -> DataFrame:
     """(path, block, ord, line) of the zstd files under ``paths``.
 
     A file is read once, as it is and as a stream: one row per piece between
@@ -119,7 +119,7 @@ def _zstd_lines(spark: SparkSession, paths: list[str], suffixes: list[str], recu
     decoded by many tasks. (A log of a single frame is one group.)
     """
     groups = None
-    for suffix in suffixes:
+    for suffix in ZSTD_SUFFIXES:
         reader = spark.read.option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", recursive)
         # the magic as line separator; the suffix read as it is, not decompressed
         reader = reader.option("encoding", "ISO-8859-1").option("lineSep", ZSTD_MAGIC.decode("latin-1"))
@@ -251,20 +251,21 @@ def _decoder(batch_bytes: int):
     return decode
 
 
-def write_rolling_logs(lines: DataFrame, path: str, rows_per_file: int = 1_000_000, least: int = 1) -> None:
+def write_rolling_logs(lines: DataFrame, path: str, rows_per_file: int = 1_000_000, least: int = 1, rows: int | None = None) -> None:
     """Write lines (run_label, ord, line) as one log folder ``run_label=<run>`` per run, in rolling files.
 
     Lines are dealt by ranges of (run, ord), so a run with a third of all lines
     is sorted and written by many tasks, a file each; the files' numbers grow
     with ``ord``. There are as many ranges as make about ``rows_per_file`` lines
-    each, and no fewer than ``least``.
+    each, and no fewer than ``least``. ``rows``: how many lines there are, where
+    that is known without building them; it says nothing of which are written.
 
     In a folder of the ``file`` scheme the tasks write the files themselves:
     without its native library, Hadoop starts a process (chmod) three times per
     file that it creates there, far longer than writing a short log takes.
     """
     keys = ["run_label", "ord"]
-    ranges = max(least, -(-lines.count() // rows_per_file))
+    ranges = max(least, -(-(lines.count() if rows is None else rows) // rows_per_file))
     dealt = lines.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
     folder = _emptied_local_folder(lines.sparkSession, path)
     if folder is None:
